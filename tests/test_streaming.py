@@ -1,0 +1,101 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import types as T
+
+from tidemark.model import Destination, SyncJob
+from tidemark.plans.sync import Workspace
+from tidemark.sources.failure_log import FAILURES, FailureLog
+from tidemark.sources.tables import UpsertTable
+from tidemark.streaming.failure_state import failure_state
+from tidemark.streaming.loop import DeliveryPaused, guarded, stream_sync
+
+SNAPSHOT = "id int, name string, taken int"
+
+
+def arrive(spark, folder, *rows):
+    spark.createDataFrame(list(rows), SNAPSHOT).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+
+def staff(spark, folder):
+    schema = T.StructType.fromDDL("id int, name string")
+    return sorted(tuple(r) for r in UpsertTable(spark, f"{folder}/d/staff", schema, ["id"]).read().collect())
+
+
+def run(spark, folder, work, out):
+    stream = spark.readStream.schema(SNAPSHOT).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    job = SyncJob("people", "unused", "staff", ["id"])
+    query = stream_sync(stream, work, job, out, "taken", f"{folder}/checkpoint", poll=None)
+    query.awaitTermination(120)
+    return query
+
+
+def test_snapshots_are_synced_as_they_arrive(spark, folder):
+    work, out = Workspace(spark, f"{folder}/work"), [Destination("d", f"{folder}/d")]
+    arrive(spark, folder, (1, "A", 1), (2, "B", 1))
+    run(spark, folder, work, out)
+    assert staff(spark, folder) == [(1, "A"), (2, "B")]
+    # two snapshots in one file: the newer row of a key counts
+    arrive(spark, folder, (1, "A", 2), (2, "B2", 2), (2, "B3", 3), (3, "C", 3))
+    run(spark, folder, work, out)
+    assert staff(spark, folder) == [(1, "A"), (2, "B3"), (3, "C")]
+    changes = [r["changes"] for r in work.run_metrics().orderBy("cycle_id").collect()]
+    assert changes == [2, 2]
+
+
+def test_latched_stream_stops_before_writing_and_resumes(spark, folder):
+    work, out = Workspace(spark, f"{folder}/work", threshold=1), [Destination("d", f"{folder}/d")]
+    work.failures.record("global", dt.datetime(2026, 1, 1), "people", "d", "down")
+    arrive(spark, folder, (1, "A", 1))
+    with pytest.raises(Exception, match="paused"):
+        run(spark, folder, work, out)
+    assert staff(spark, folder) == []
+    work.failures.clear("global", dt.datetime(2026, 1, 2))
+    run(spark, folder, work, out)
+    assert staff(spark, folder) == [(1, "A")]
+
+
+def test_guard():
+    done = []
+    run_ = guarded(lambda df, epoch: done.append(epoch), lambda: bool(done))
+    run_(None, 1)
+    with pytest.raises(DeliveryPaused):
+        run_(None, 2)
+    assert done == [1]
+
+
+def test_streamed_failures_trip_the_latch_once_per_epoch(spark, folder):
+    log = FailureLog(spark, f"{folder}/errors", hours=1, threshold=3)
+    start = dt.datetime(2026, 1, 1)
+
+    def arrive_failures(scope, *minutes):
+        rows = [(scope, start + dt.timedelta(minutes=m), "s", "d", "r") for m in minutes]
+        spark.createDataFrame(rows, FAILURES).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def watch():
+        stream = spark.readStream.schema(FAILURES).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        failure_state(stream, log, f"{folder}/checkpoint", poll=None).awaitTermination(120)
+
+    arrive_failures("a", 0, 10)
+    watch()
+    assert not log.is_latched("a")
+    arrive_failures("a", 20, 30)
+    arrive_failures("b", 0)
+    watch()
+    assert log.is_latched("a") and not log.is_latched("b")
+    assert [r["tripped_at"] for r in log.latches().collect()] == [start + dt.timedelta(minutes=20)]
+    log.clear("a", start + dt.timedelta(minutes=40))
+    arrive_failures("a", 41, 42)
+    watch()
+    assert not log.is_latched("a")
+    arrive_failures("a", 43)
+    watch()
+    assert log.is_latched("a") and log.latches().count() == 2
+
+
+def test_a_replayed_batch_counts_once(spark, folder):
+    log = FailureLog(spark, f"{folder}/errors", hours=1, threshold=3)
+    rows = spark.createDataFrame([("a", dt.datetime(2026, 1, 1), "s", "d", "r")] * 2, FAILURES)
+    for _ in range(2):
+        log.absorb(rows, batch="stream-0")
+    assert log.failures().count() == 2 and not log.is_latched("a")

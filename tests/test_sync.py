@@ -1,0 +1,305 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.fingerprint import stream_id
+from tidemark.model import Destination, SyncJob, check_destinations, check_jobs, extracts
+from tidemark.operators.quality import ConformanceError
+from tidemark.plans import sync
+from tidemark.plans.sync import Workspace, run_cycle
+from tidemark.sources.tables import SlotTable, StateTable, UpsertTable, read_history
+
+
+class Clock:
+    def __init__(self):
+        self.now = dt.datetime(2026, 1, 1)
+
+    def __call__(self):
+        self.now += dt.timedelta(minutes=1)
+        return self.now
+
+
+def people(spark, *rows):
+    return spark.createDataFrame(list(rows), "id int, name string")
+
+
+def job(df, **options):
+    return SyncJob(**{"name": "people", "extract": lambda _: df, "target_table": "staff", "keys": ["id"], **options})
+
+
+def target(spark, root, table="staff", ddl="id int, name string"):
+    return sorted((tuple(r) for r in UpsertTable(spark, f"{root}/{table}", T.StructType.fromDDL(ddl), ["id"]).read().collect()), key=str)
+
+
+@pytest.fixture
+def place(spark, folder):
+    return Workspace(spark, f"{folder}/work", clock=Clock()), folder
+
+
+def numbers(metrics, *names):
+    return [tuple(m[n] for n in names) for m in metrics]
+
+
+def test_new_then_nothing_then_updated(spark, place):
+    work, folder = place
+    out = [Destination("d1", f"{folder}/d1"), Destination("d2", f"{folder}/d2", mode="history")]
+    first = people(spark, (1, "A"), (2, "B"))
+    assert numbers(run_cycle(work, [job(first)], out), "destination", "changes", "inserted", "updated", "errors") == [
+        ("d1", 2, 2, 0, 0), ("d2", 2, 2, 0, 0),
+    ]
+    assert numbers(run_cycle(work, [job(first)], out), "rows_read", "changes", "errors") == [(2, 0, 0), (2, 0, 0)]
+    second = people(spark, (2, "b"), (3, "C"))
+    assert numbers(run_cycle(work, [job(second)], out), "changes", "inserted", "updated") == [(2, 1, 1), (2, 2, 0)]
+    # 1 vanished from the extract and stays in the target
+    assert target(spark, f"{folder}/d1") == [(1, "A"), (2, "b"), (3, "C")]
+    history = read_history(spark, f"{folder}/d2/staff", first.schema)
+    assert sorted(history.select("id", "name").collect()) == [(1, "A"), (2, "B"), (2, "b"), (3, "C")]
+    # and is not sent again when it comes back unchanged
+    again = people(spark, (1, "A"), (2, "b"), (3, "C"))
+    assert numbers(run_cycle(work, [job(again)], out), "changes") == [(0,), (0,)]
+    assert work.run_metrics().count() == 8
+    flags = work.audit()
+    assert {tuple(r) for r in flags.groupBy("destination", "event").count().collect()} == {
+        ("d1", "NEW", 3), ("d1", "UPDATED", 1), ("d2", "NEW", 3), ("d2", "UPDATED", 1),
+    }
+    work.state.compact()
+    assert work.state.slots.depth() == 1
+    assert numbers(run_cycle(work, [job(again)], out), "changes") == [(0,), (0,)]
+
+
+def test_back_to_an_old_value_is_kept_twice_in_history(spark, place):
+    work, folder = place
+    out = [Destination("h", f"{folder}/h", mode="history")]
+    for name in ("A", "B", "A"):
+        run_cycle(work, [job(people(spark, (1, name)))], out)
+    rows = read_history(spark, f"{folder}/h/staff", people(spark, (1, "A")).schema)
+    assert sorted(r["name"] for r in rows.collect()) == ["A", "A", "B"]
+
+
+def test_new_to_the_state_is_an_update_in_the_target(spark, place):
+    work, folder = place
+    schema = T.StructType.fromDDL("id int, name string, made string")
+    table = UpsertTable(spark, f"{folder}/d/staff", schema, ["id"], buckets=4)
+    table.store(spark.createDataFrame([(1, "old", "2020"), (8, "other", "2021")], schema))
+    out = [Destination("d", f"{folder}/d", schemas={"staff": schema}, defaults={"made": F.lit("now")})]
+    metrics = run_cycle(work, [job(people(spark, (1, "A"), (2, "B")))], out)
+    assert numbers(metrics, "changes", "inserted", "updated") == [(2, 1, 1)]
+    assert target(spark, f"{folder}/d", ddl=schema.simpleString()[7:-1].replace(":", " ")) == [
+        (1, "A", "2020"), (2, "B", "now"), (8, "other", "2021"),
+    ]
+    bad = run_cycle(work, [job(people(spark, (1, "Z")).withColumn("nope", F.lit(1)))], out)
+    assert numbers(bad, "errors") == [(1,)]
+
+
+def test_added_column_resends_and_widens(spark, place):
+    work, folder = place
+    out = [Destination("d", f"{folder}/d")]
+    run_cycle(work, [job(people(spark, (1, "A"), (2, "B")))], out)
+    wider = people(spark, (1, "A")).withColumn("mail", F.lit("a@x"))
+    assert numbers(run_cycle(work, [job(wider)], out), "changes", "updated") == [(1, 1)]
+    assert target(spark, f"{folder}/d", ddl="id int, name string, mail string") == [(1, "A", "a@x"), (2, "B", None)]
+
+
+def test_two_origins_do_not_collide(spark, place):
+    work, folder = place
+    out = [Destination("d", f"{folder}/d")]
+    jobs = [
+        job(people(spark, (10, "Ana")), name="North", origin_column="source_name"),
+        job(people(spark, (10, "Luis")), name="South", origin_column="source_name"),
+    ]
+    assert numbers(run_cycle(work, jobs, out), "changes", "inserted") == [(1, 1), (1, 1)]
+    assert target(spark, f"{folder}/d", ddl="id int, name string, source_name string") == [
+        (10, "Ana", "North"), (10, "Luis", "South"),
+    ]
+
+
+def test_sql_text_and_landing(spark, place):
+    work, folder = place
+    people(spark, (1, "A"), (2, "B")).createOrReplaceTempView("employees")
+    sql = job(None, extract="SELECT id AS ID, upper(name) AS name FROM employees WHERE id > 1;", land=True)
+    run_cycle(work, [sql], [Destination("d", f"{folder}/d")])
+    assert target(spark, f"{folder}/d") == [(2, "B")]
+    assert list(extracts(spark, [sql])) == ["people"]
+
+
+def test_duplicate_and_null_keys_are_refused(spark, place):
+    work, folder = place
+    out = [Destination("d1", f"{folder}/d1"), Destination("d2", f"{folder}/d2")]
+    twice = job(people(spark, (1, "A"), (1, "A")))
+    assert numbers(run_cycle(work, [twice], out), "changes", "errors") == [(0, 1), (0, 1)]
+    assert numbers(run_cycle(work, [job(people(spark, (1, "A"), (None, "N")))], out), "errors") == [(1,), (1,)]
+    reasons = [r["reason"] for r in work.failures.failures().collect()]
+    assert len(reasons) == 4 and all("key" in r for r in reasons)
+    assert work.state.version() == 0
+
+
+def test_empty_extract(spark, place):
+    work, folder = place
+    nothing = people(spark, (1, "A")).limit(0)
+    assert numbers(run_cycle(work, [job(nothing)], [Destination("d", f"{folder}/d")]), "rows_read", "changes") == [(0, 0)]
+
+
+def test_one_broken_destination_does_not_stop_the_other(spark, place):
+    work, folder = place
+
+    def refuse(changes, table, keys):
+        raise OSError("no route")
+
+    sent = []
+
+    def accept(changes, table, keys):
+        sent.append((table, keys, sorted(tuple(r) for r in changes.collect())))
+        return len(sent[-1][2]), 0
+
+    out = [Destination("bad", deliver=refuse), Destination("good", deliver=accept, table_override="db.rh_empleado")]
+    data = job(people(spark, (1, "A")))
+    assert numbers(run_cycle(work, [data], out), "destination", "errors") == [("bad", 1), ("good", 0)]
+    assert sent == [("db.erp_organizacion_empleado", ["id"], [(1, "A")])]
+    # only the broken one is tried again; its flags were written before each try
+    assert numbers(run_cycle(work, [data], out), "destination", "changes") == [("bad", 1), ("good", 0)]
+    assert work.audit().where("destination = 'bad'").count() == 2
+
+
+def test_latch_pauses_everything_until_cleared(spark, folder):
+    work = Workspace(spark, f"{folder}/work", hours=1, threshold=3, clock=Clock())
+    calls = []
+
+    def refuse(changes, table, keys):
+        calls.append(table)
+        raise OSError("down")
+
+    out, data = [Destination("bad", deliver=refuse)], job(people(spark, (1, "A")))
+    for _ in range(5):
+        run_cycle(work, [data], out)
+    assert len(calls) == 3 and work.failures.is_latched("global")
+    work.failures.clear("global", work.clock())
+    assert not work.failures.is_latched("global")
+    run_cycle(work, [data], out)
+    assert len(calls) == 4 and not work.failures.is_latched("global")
+
+
+def test_failing_extract_is_one_failure(spark, place):
+    work, folder = place
+
+    def broken(_):
+        raise RuntimeError("source is down")
+
+    jobs = [job(None, extract=broken, name="first"), job(people(spark, (1, "A")), name="second")]
+    metrics = run_cycle(work, jobs, [Destination("d", f"{folder}/d")])
+    assert numbers(metrics, "job", "destination", "errors") == [("first", None, 1), ("second", "d", 0)]
+
+
+@pytest.mark.parametrize("mode", ["upsert", "history"])
+def test_crash_between_write_and_commit(spark, place, monkeypatch, mode):
+    work, folder = place
+    out = [Destination("d", f"{folder}/d", mode=mode)]
+    commit, broken = StateTable.commit, []
+
+    def crash(self, delivered):
+        if not broken:
+            broken.append(1)
+            raise OSError("lost the driver")
+        commit(self, delivered)
+
+    monkeypatch.setattr(StateTable, "commit", crash)
+    run_cycle(work, [job(people(spark, (1, "A"), (2, "B")))], out)
+    # the source moved on before the retry
+    metrics = run_cycle(work, [job(people(spark, (1, "A2"), (2, "B")))], out)
+    assert numbers(metrics, "changes", "errors") == [(2, 0)]
+    if mode == "upsert":
+        assert target(spark, f"{folder}/d") == [(1, "A2"), (2, "B")]
+    else:
+        rows = read_history(spark, f"{folder}/d/staff", people(spark, (1, "A")).schema)
+        assert sorted((r["id"], r["name"]) for r in rows.collect()) == [(1, "A2"), (2, "B")]
+    assert numbers(run_cycle(work, [job(people(spark, (1, "A2"), (2, "B")))], out), "changes") == [(0,)]
+
+
+def test_renamed_table_keeps_its_state(spark, place):
+    work, folder = place
+    data = people(spark, (1, "A"))
+    legacy = stream_id("people", "erp_rh_empleado", ["id"])
+    from tidemark.functions.fingerprint import with_fingerprints
+
+    old = with_fingerprints(data, ["id"]).withColumns(
+        {"stream_id": F.lit(legacy), "destination_id": F.lit("d"), "batch_id": F.lit("b")}
+    )
+    work.state.commit(old)
+    moved = job(data, target_table="erp_organizacion_empleado")
+    assert numbers(run_cycle(work, [moved], [Destination("d", f"{folder}/d")]), "changes") == [(0,)]
+    current = stream_id("people", "erp_organizacion_empleado", ["id"])
+    assert not work.state.migrate(legacy, current)
+    assert [r["stream_id"] for r in work.state.read().collect()] == [current]
+
+
+def test_migration_keeps_entries_of_the_target_stream(spark, folder):
+    state = StateTable(spark, f"{folder}/state")
+
+    def rows(stream, destination, *hashes):
+        data = [(k, d, "b", stream, destination) for k, d in hashes]
+        return spark.createDataFrame(data, "key_hash string, data_hash string, batch_id string, stream_id string, destination_id string")
+
+    state.commit(rows("old", "d1", ("k", "1"), ("l", "1")))
+    state.commit(rows("old", "d2", ("k", "1")))
+    state.commit(rows("new", "d2", ("k", "2")))
+    state.commit(rows("old", "d1", ("k", "3")))
+    assert state.migrate("old", "new") and not state.migrate("old", "new")
+    assert not state.migrate("new", "new")
+    found = {tuple(r) for r in state.read().select("stream_id", "destination_id", "key_hash", "data_hash").collect()}
+    assert found == {("new", "d1", "k", "3"), ("new", "d1", "l", "1"), ("new", "d2", "k", "2")}
+
+
+def test_slot_table_reads_only_committed_slots(spark, folder):
+    schema = T.StructType.fromDDL("v int, slot int")
+    table = SlotTable(spark, f"{folder}/t", schema, ["slot"])
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    assert table.read().count() == 0 and table.version() == 0
+    table.append(frame((1, 1), (2, 2)))
+    table.append(frame((3, 1)))
+    assert table.version() == 2 and table.depth() == 2
+    table.replace(table.read(F.col("slot") == 1).select("v", "slot").withColumn("v", F.col("v") * 10))
+    assert sorted(r["v"] for r in table.read().collect()) == [2, 10, 30]
+    # files without a log entry do not exist for readers
+    frame((99, 2)).write.partitionBy("slot").parquet(f"{folder}/t/data/folder=crashed/seq=4")
+    assert sorted(r["v"] for r in table.read().collect()) == [2, 10, 30]
+    pruned = table.read(F.col("slot") == 2)
+    assert len(pruned.inputFiles()) == 1
+    assert len(table.stale_folders()) == 1
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, folder):
+    schema = T.StructType.fromDDL("id bigint, v bigint")
+    table = UpsertTable(spark, f"{folder}/t", schema, ["id"], buckets=32)
+    table.store(spark.range(2000).selectExpr("id", "id as v"))
+    before = set(table.read().inputFiles())
+    changed = spark.createDataFrame([(5, -5)], schema)
+    buckets = table.touched(changed)
+    assert len(buckets) == 1
+    current = table.rows_in(buckets)
+    table.store(sync.merge_upsert(current, changed, ["id"]))
+    after = set(table.read().inputFiles())
+    assert len(before - after) == 1 and len(after - before) == 1
+    assert table.read().count() == 2000 and table.read().where("id = 5").first()["v"] == -5
+    assert UpsertTable(spark, f"{folder}/t", schema, ["id"], buckets=7).buckets == 32
+
+
+def test_configuration_errors(spark):
+    with pytest.raises(ConformanceError):
+        SyncJob("j", "select 1", "t", [])
+    with pytest.raises(ConformanceError):
+        SyncJob("j", "select 1", "t", ["a"], origin_column="ID", auto_id="id")
+    with pytest.raises(ConformanceError):
+        Destination("a/b", "x")
+    with pytest.raises(ConformanceError):
+        Destination("a")
+    with pytest.raises(ConformanceError):
+        Destination("a", "x", mode="mirror")
+    with pytest.raises(ConformanceError):
+        check_destinations([])
+    with pytest.raises(ConformanceError):
+        check_destinations([Destination(f"d{i}", "x") for i in range(11)])
+    with pytest.raises(ConformanceError):
+        check_destinations([Destination("d", "x"), Destination("d", "y")])
+    with pytest.raises(ConformanceError):
+        check_jobs([SyncJob("J", "q", "t", ["a"]), SyncJob("j", "q", "t", ["a"])])
