@@ -66,16 +66,9 @@ def having_parent(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> Data
 def guard_source(df: DataFrame, identity: DataFrame, column: str, expected) -> DataFrame:
     """No rows at all unless ``identity`` holds ``expected``.
 
-    The guard is one row at most (an aggregate, then a literal key), so the
-    broadcast below is bounded whatever the size of ``identity``.
+    The test becomes a scalar subquery, evaluated once: no join, no shuffle of ``df``.
     """
-    proof = identity.where(F.col(column) == F.lit(expected)).agg(F.count(F.lit(1)).alias("_hits"))
-    proof = proof.where("_hits > 0").select(F.lit(1).alias("_proof"))
-    return (
-        df.withColumn("_guard", F.lit(1))
-        .join(F.broadcast(proof), F.col("_guard") == F.col("_proof"), "left_semi")
-        .drop("_guard")
-    )
+    return df.where(identity.where(F.col(column) == F.lit(expected)).exists())
 
 
 def tag_origin(df: DataFrame, name: str, origin_col: str | None, auto_id: str | None = None) -> DataFrame:

@@ -2,14 +2,14 @@
 
 Each report counts per foreign key *before* it meets the parent table, so the
 join sees one row per distinct key and a hot parent cannot make a hot task.
-Ordering is left to the caller, ``ordered`` gives the reports' own order.
+Ordering is left to the caller's ``orderBy``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.conform import among, lookup, orphans
@@ -54,6 +54,3 @@ def shared_values(df: DataFrame, value: str, by: str) -> DataFrame:
         .where(F.col("parents") > 1)
     )
 
-
-def ordered(report: DataFrame, *columns: Column | str) -> DataFrame:
-    return report.orderBy(*columns)

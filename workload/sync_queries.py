@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.fingerprint import stream_id, with_fingerprints
+from tidemark.functions.fingerprint import batch_id, fingerprint, stream_id, with_fingerprints
 from tidemark.model import Destination, SyncJob
 from tidemark.operators.audit import audit_flags
 from tidemark.operators.changes import change_counts, classify, classify_all, commit, migrate, state_summary
@@ -228,22 +228,25 @@ NEW_STREAM = stream_id("parties", "erp_organizacion_empleado", ["id"])
 
 
 def party_state(spark, sf):
-    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    """Customers under the old stream for d0 to d2, suppliers under the new one for d0 and d1."""
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), (F.col("c_nationkey") % 3).alias("at")
+    )
+    suppliers = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), (F.col("s_nationkey") % 2).alias("at")
+    )
 
-    def state(df, stream, destination):
-        ids = [F.lit(stream).alias("stream_id"), F.lit(destination).alias("destination_id")]
-        return with_fingerprints(df, ["id"]).select(*ids, "key_hash", "data_hash")
+    def state(df, stream):
+        ids = [F.lit(stream).alias("stream_id"), F.concat(F.lit("d"), F.col("at").cast("string")).alias("destination_id")]
+        hashes = [fingerprint(df, ["id"]).alias("key_hash"), fingerprint(df, ["id", "name"]).alias("data_hash")]
+        return df.select(*ids, *hashes)
 
-    return (
-        state(customers, OLD_STREAM, "d1")
-        .unionByName(state(customers, OLD_STREAM, "d2"))
-        .unionByName(state(suppliers, NEW_STREAM, "d2"))
-    )
+    return state(customers, OLD_STREAM).unionByName(state(suppliers, NEW_STREAM))
 
 
 _PARTY_SQL = (
-    fingerprint_sql(id=("i", "CAST(id AS VARCHAR)")) + " AS key_hash, "
+    "'d' || at AS destination_id, "
+    + fingerprint_sql(id=("i", "CAST(id AS VARCHAR)")) + " AS key_hash, "
     + fingerprint_sql(id=("i", "CAST(id AS VARCHAR)"), name=("s", "name")) + " AS data_hash"
 )
 
@@ -251,10 +254,11 @@ _PARTY_SQL = (
 @query(
     "state_migrate",
     f"""
-    SELECT '{NEW_STREAM}' AS stream_id, 'd1' AS destination_id, {_PARTY_SQL}
-    FROM (SELECT c_custkey AS id, c_name AS name FROM customer)
+    SELECT '{NEW_STREAM}' AS stream_id, {_PARTY_SQL}
+    FROM (SELECT c_custkey AS id, c_name AS name, c_nationkey % 3 AS at FROM customer)
+    WHERE at NOT IN (SELECT s_nationkey % 2 FROM supplier)
     UNION ALL
-    SELECT '{NEW_STREAM}', 'd2', {_PARTY_SQL} FROM (SELECT s_suppkey AS id, s_name AS name FROM supplier)
+    SELECT '{NEW_STREAM}', {_PARTY_SQL} FROM (SELECT s_suppkey AS id, s_name AS name, s_nationkey % 2 AS at FROM supplier)
     """,
 )
 def state_migrate(spark, sf):
@@ -265,9 +269,9 @@ def state_migrate(spark, sf):
 @query(
     "state_summary",
     f"""
-    SELECT '{OLD_STREAM}' AS stream_id, d AS destination_id, (SELECT count(*) FROM customer) AS tracked
-    FROM (VALUES ('d1'), ('d2')) v(d)
-    UNION ALL SELECT '{NEW_STREAM}', 'd2', (SELECT count(*) FROM supplier)
+    SELECT '{OLD_STREAM}' AS stream_id, 'd' || c_nationkey % 3 AS destination_id, count(*) AS tracked FROM customer GROUP BY ALL
+    UNION ALL
+    SELECT '{NEW_STREAM}', 'd' || s_nationkey % 2, count(*) FROM supplier GROUP BY ALL
     """,
 )
 def state_summary_query(spark, sf):
@@ -317,11 +321,5 @@ def history_append(spark, sf):
     path = two_cycles(spark, sf, "history")
     rows = read_history(spark, path, _line_schema(spark, sf))
     # batch ids are hashes; the first delivery is the one made from an empty state
-    first = _first_batch()
-    return rows.withColumn("delivery", F.when(F.col("batch_id") == first, "first").otherwise("second")).drop("batch_id")
-
-
-def _first_batch() -> str:
-    from tidemark.functions.fingerprint import batch_id
-
-    return batch_id(STREAM, "erp", 0)
+    first = F.col("batch_id") == batch_id(STREAM, "erp", 0)
+    return rows.withColumn("delivery", F.when(first, "first").otherwise("second")).drop("batch_id")
