@@ -245,7 +245,7 @@ def party_state(spark, sf):
 
 
 _PARTY_SQL = (
-    "'d' || at AS destination_id, "
+    "'d' || place AS destination_id, "
     + fingerprint_sql(id=("i", "CAST(id AS VARCHAR)")) + " AS key_hash, "
     + fingerprint_sql(id=("i", "CAST(id AS VARCHAR)"), name=("s", "name")) + " AS data_hash"
 )
@@ -255,10 +255,10 @@ _PARTY_SQL = (
     "state_migrate",
     f"""
     SELECT '{NEW_STREAM}' AS stream_id, {_PARTY_SQL}
-    FROM (SELECT c_custkey AS id, c_name AS name, c_nationkey % 3 AS at FROM customer)
-    WHERE at NOT IN (SELECT s_nationkey % 2 FROM supplier)
+    FROM (SELECT c_custkey AS id, c_name AS name, c_nationkey % 3 AS place FROM customer)
+    WHERE place NOT IN (SELECT s_nationkey % 2 FROM supplier)
     UNION ALL
-    SELECT '{NEW_STREAM}', {_PARTY_SQL} FROM (SELECT s_suppkey AS id, s_name AS name, s_nationkey % 2 AS at FROM supplier)
+    SELECT '{NEW_STREAM}', {_PARTY_SQL} FROM (SELECT s_suppkey AS id, s_name AS name, s_nationkey % 2 AS place FROM supplier)
     """,
 )
 def state_migrate(spark, sf):
