@@ -143,7 +143,7 @@ def test_duplicate_and_null_keys_are_refused(spark, place):
     assert numbers(run_cycle(work, [job(people(spark, (1, "A"), (None, "N")))], out), "errors") == [(1,)]
     reasons = [r["reason"] for r in work.failures.failures().collect()]
     assert len(reasons) == 2 and all("key" in r for r in reasons)
-    assert work.state.version() == 0
+    assert work.state.slots.version() == 0
 
 
 def test_empty_extract(spark, place):
@@ -200,26 +200,27 @@ def test_failing_extract_is_one_failure(spark, place):
 @pytest.mark.parametrize("mode", ["upsert", "history"])
 def test_crash_between_write_and_commit(spark, place, monkeypatch, mode):
     work, folder = place
-    out = [Destination("d", f"{folder}/d", mode=mode)]
+    # the second destination commits although the first one does not
+    out = [Destination("d", f"{folder}/d", mode=mode), Destination("other", deliver=memory([]))]
     commit, broken = StateTable.commit, []
 
-    def crash(self, delivered):
-        if not broken:
+    def crash(self, delivered, stream, destination):
+        if destination == "d" and not broken:
             broken.append(1)
             raise OSError("lost the driver")
-        commit(self, delivered)
+        commit(self, delivered, stream, destination)
 
     monkeypatch.setattr(StateTable, "commit", crash)
     run_cycle(work, [job(people(spark, (1, "A"), (2, "B")))], out)
     # the source moved on before the retry
     metrics = run_cycle(work, [job(people(spark, (1, "A2"), (2, "B")))], out)
-    assert numbers(metrics, "changes", "errors") == [(2, 0)]
+    assert numbers(metrics, "changes", "errors") == [(2, 0), (1, 0)]
     if mode == "upsert":
         assert target(spark, f"{folder}/d") == [(1, "A2"), (2, "B")]
     else:
         rows = read_history(spark, f"{folder}/d/staff", people(spark, (1, "A")).schema)
         assert sorted((r["id"], r["name"]) for r in rows.collect()) == [(1, "A2"), (2, "B")]
-    assert numbers(run_cycle(work, [job(people(spark, (1, "A2"), (2, "B")))], out), "changes") == [(0,)]
+    assert numbers(run_cycle(work, [job(people(spark, (1, "A2"), (2, "B")))], out), "changes") == [(0,), (0,)]
 
 
 def test_renamed_table_keeps_its_state(spark, place):
@@ -231,7 +232,7 @@ def test_renamed_table_keeps_its_state(spark, place):
     old = with_fingerprints(data, ["id"]).withColumns(
         {"stream_id": F.lit(legacy), "destination_id": F.lit("d"), "batch_id": F.lit("b")}
     )
-    work.state.commit(old)
+    work.state.commit(old, legacy, "d")
     moved = job(data, target_table="erp_organizacion_empleado")
     assert numbers(run_cycle(work, [moved], [Destination("d", f"{folder}/d")]), "changes") == [(0,)]
     current = stream_id("people", "erp_organizacion_empleado", ["id"])
@@ -246,12 +247,16 @@ def test_migration_keeps_entries_of_the_target_stream(spark, folder):
         data = [(k, d, "b", stream, destination) for k, d in hashes]
         return spark.createDataFrame(data, "key_hash string, data_hash string, batch_id string, stream_id string, destination_id string")
 
-    state.commit(rows("old", "d1", ("k", "1"), ("l", "1")))
-    state.commit(rows("old", "d2", ("k", "1")))
-    state.commit(rows("new", "d2", ("k", "2")))
-    state.commit(rows("old", "d1", ("k", "3")))
+    state.commit(rows("old", "d1", ("k", "1"), ("l", "1")), "old", "d1")
+    state.commit(rows("old", "d2", ("k", "1")), "old", "d2")
+    state.commit(rows("new", "d2", ("k", "2")), "new", "d2")
+    state.commit(rows("old", "d1", ("k", "3")), "old", "d1")
+    assert state.slots.depth() == 2 and state.version("old", "d1") == 4 and state.version("new", "d9") == 0
     assert state.migrate("old", "new") and not state.migrate("old", "new")
     assert not state.migrate("new", "new")
+    # another process sees the same
+    state = StateTable(spark, f"{folder}/state")
+    assert not state.migrate("old", "new")
     found = {tuple(r) for r in state.read().select("stream_id", "destination_id", "key_hash", "data_hash").collect()}
     assert found == {("new", "d1", "k", "3"), ("new", "d1", "l", "1"), ("new", "d2", "k", "2")}
 
