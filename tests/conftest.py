@@ -5,7 +5,7 @@ from tidemark.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*", partitions=4)
+    session = local_session("*", partitions=2, **{"spark.default.parallelism": "2"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
