@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from workload.registry import QUERIES, SQL
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -18,12 +19,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - LONG))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LONG))
 def test_query(spark, duck, name):
-    assert compare(spark, duck, name, SF, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert compare(spark, duck, name, SF, QUERIES[name], SQL[name]) is None
 
 
 def test_flagship(spark):
@@ -31,10 +32,10 @@ def test_flagship(spark):
 
 
 def plan(spark, name):
-    return entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - LONG))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LONG))
 def test_no_python_workers_and_no_pair_joins(spark, name):
     text = plan(spark, name)
     assert not re.search(r"Python|Pandas|Cartesian", text)
