@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.decontaminate import leaks
 from tidemark.llm.exact_dedup import exact_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +27,24 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
 WINDOW same AS (PARTITION BY body)
 """
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op9_decontaminate"] = op9_decontaminate
+SQL["op9_decontaminate"] = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS tokens FROM documents),
+     i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS tokens FROM benchmark),
+     parts AS (SELECT DISTINCT item_id, width, array_to_string(tokens[k:k + width - 1], ' ') AS shingle
+               FROM (SELECT item_id, tokens, width, unnest(range(1, len(tokens) - width + 2)) AS k
+                     FROM (SELECT *, least(5, len(tokens)) AS width FROM i WHERE len(tokens) > 0))),
+     runs AS (SELECT DISTINCT doc_id, width, array_to_string(tokens[k:k + width - 1], ' ') AS shingle
+              FROM (SELECT doc_id, tokens, width, unnest(range(1, len(tokens) - width + 2)) AS k
+                    FROM d, (SELECT DISTINCT width FROM parts) WHERE len(tokens) >= width)),
+     sizes AS (SELECT item_id, count(*) AS n_item FROM parts GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS containment
+FROM runs JOIN parts USING (width, shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
+"""
