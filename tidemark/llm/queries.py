@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,3 +49,19 @@ SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS conta
 FROM runs JOIN parts USING (width, shingle) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
 """
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"), revisit_from=0)
+
+
+QUERIES["op3_warc"] = op3_warc
+SQL["op3_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p
+"""
