@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.jaccard_join import similar_sets
 from tidemark.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +66,10 @@ SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p
 """
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_sets(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+QUERIES["op8_jaccard_join"] = op8_jaccard_join
