@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import remainder, table
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import similar_sets
+from tidemark.llm.language import identify, learn
 from tidemark.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +75,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_jaccard_join"] = op8_jaccard_join
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
+    model = learn(docs.where(~F.col("held_out")))
+    return identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES["op10_language"] = op10_language
