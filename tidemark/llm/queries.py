@@ -12,6 +12,7 @@ from tidemark.llm.decontaminate import leaks
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import similar_sets
 from tidemark.llm.language import identify, learn
+from tidemark.llm.toxicity import toxicity
 from tidemark.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +85,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_language"] = op10_language
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    return toxicity(docs, labels, ~held_out).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+QUERIES["op1_toxicity"] = op1_toxicity
