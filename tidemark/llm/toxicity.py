@@ -80,7 +80,11 @@ def learn_lexicon(sample: DataFrame, text: str, label: str, min_docs: int = 5, p
     """
     words = F.array_distinct(F.regexp_extract_all(F.lower(sample[text]), F.lit(r"\p{L}+"), 0))
     whole = F.transform("words", lambda w: F.concat(w, F.lit("$")))
-    starts = [F.transform(F.filter("words", lambda w, n=n: F.length(w) >= n), lambda w, n=n: F.substring(w, 1, n)) for n in BEGINNINGS]
+
+    def beginnings(n: int) -> Column:
+        return F.transform(F.filter("words", lambda w: F.length(w) >= n), lambda w: F.substring(w, 1, n))
+
+    starts = [beginnings(n) for n in BEGINNINGS]
     pieces = sample.select(words.alias("words"), F.col(label).alias("label")).select("label", F.explode(F.array_distinct(F.concat(whole, *starts))).alias("piece"))
     counts = pieces.groupBy("piece").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
     pure = counts.where((F.col("toxic") >= min_docs) & (F.col("toxic") >= purity * F.col("n")))
