@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import remainder, table
@@ -12,6 +12,7 @@ from tidemark.llm.decontaminate import leaks
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import similar_sets
 from tidemark.llm.language import identify, learn
+from tidemark.llm import secrets
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.warc import round_trip
 
@@ -94,3 +95,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_toxicity"] = op1_toxicity
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs.select("doc_id", "text"), secrets.learn(docs))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    base = F.filter("spans", lambda s: s.kind != "random")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+QUERIES["op4_secrets"] = op4_secrets
