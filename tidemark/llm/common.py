@@ -30,6 +30,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# So many narrow rows take some 100 MB on an executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, a written table of narrow rows, broadcast if counted to be small; else Spark shuffles it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def remainder(key: Column, n: int) -> Column:
     """crc32 of the key's text, modulo ``n``; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n

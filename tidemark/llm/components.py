@@ -11,7 +11,7 @@ from tidemark.llm.common import saved
 def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) for every node of ``links`` (columns a, b: long).
 
-    Alternates two steps until nothing changes: every node hands the smallest
+    Alternates two steps until only stars are left: every node hands the smallest
     node it sees to its larger neighbours, then to its smaller ones. Minima are
     folded before they are shuffled and no node's neighbours are collected, so a
     node may have any number of links. Each step is written, so that no plan grows.
@@ -25,10 +25,11 @@ def components(links: DataFrame) -> DataFrame:
         low = wide.groupBy("a").agg(F.min("b").alias("low"))
         near = wide.join(low, "a").select(F.greatest("b", "low").alias("a"), F.col("low").alias("b"))
         near = near.unionByName(low.select("a", F.col("low").alias("b"))).where("a <> b")
-        after = saved(near.distinct(), "links")
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+        edges = saved(near.distinct(), "links")
+        # a star: every larger node has one link, and no smaller node is a larger one too
+        ends = edges.select("a", F.lit(1).alias("n")).unionByName(edges.select(F.col("b").alias("a"), F.lit(1).alias("n")).distinct())
+        if ends.groupBy("a").agg(F.sum("n").alias("n")).where("n > 1").isEmpty():
             break
-        edges = after
-    nodes = after.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = after.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.unionByName(roots)

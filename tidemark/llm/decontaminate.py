@@ -18,10 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved
-
-# A sketch row is four numbers; so many of them take some 100 MB on an executor.
-BROADCAST_ROWS = 1_000_000
+from tidemark.llm.common import saved, small
 
 
 def words(text: Column) -> Column:
@@ -40,11 +37,6 @@ def joined(*tokens: Column) -> Column:
     return F.concat_ws(" ", *tokens)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, a written table, broadcast if it was counted to be small; else Spark shuffles it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def item_shingles(items: DataFrame, text: str, width: int) -> DataFrame:
     """item (a digest of its words), width, shingle: distinct."""
     tokens = items.select(words(items[text]).alias("tokens")).where(F.size("tokens") > 0)

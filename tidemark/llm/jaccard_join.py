@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import saved, small
 from tidemark.llm.components import components
 from tidemark.llm.shingles import documents
 
@@ -162,12 +162,17 @@ def similar_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width:
     own = shared.select("token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("at").alias("aat"))
     stars = saved(own.join(hubs, "token").where(F.col("a") != F.col("b")).where(may_link("a", "b", percent)).select("a", "an", "b", "bn").distinct(), "jaccard-stars")
 
-    meeting = shared.select("node").distinct().join(classes, "node").select("name", "node", "first_id")
-    texts = rows.join(meeting, rows.id.eqNullSafe(meeting.first_id), "left_semi")
-    cut = segments(texts, width, shared_rank, cuts).join(meeting.select("name", "node"), "name").dropDuplicates(["name", "fragment"])
-    parts = saved(cut.select("node", "fragment", "tokens"), "jaccard-segments")
-
-    links = saved(counted(stars, parts, percent), "jaccard-links")
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The links among ``pairs``: the texts of their sets are read again and cut into fragments."""
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        nodes = saved(nodes.join(classes, "node").select("node", "name", "first_id"), "jaccard-nodes")
+        ids, names = small(nodes.select("first_id").distinct()), nodes.select("name", "node")
+        texts = rows.join(ids, rows.id.eqNullSafe(ids.first_id), "left_semi")
+        cut = segments(texts, width, shared_rank, cuts).join(names, "name").dropDuplicates(["name", "fragment"])
+        parts = saved(cut.select("node", "fragment", "tokens"), "jaccard-segments")
+        return saved(counted(pairs, parts, percent), "jaccard-links")
+
+    links = verified(stars)
     found = saved(components(links), "jaccard-components")
 
     owned = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -180,7 +185,7 @@ def similar_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width:
     pairs = minor.join(every, "token").where(F.col("ac") != F.col("bc")).where(may_link("a", "b", percent))
     swap = F.col("a") > F.col("b")
     pairs = pairs.select(*[F.when(swap, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("an", "bn"), ("b", "a"), ("bn", "an"))])
-    more = saved(counted(saved(pairs.distinct(), "jaccard-pairs"), parts, percent), "jaccard-links")
+    more = verified(saved(pairs.distinct(), "jaccard-pairs"))
     if not more.isEmpty():
         found = saved(components(links.unionByName(more)), "jaccard-components")
 

@@ -13,6 +13,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import similar_sets
 from tidemark.llm.language import identify, learn
 from tidemark.llm import secrets
+from tidemark.llm.tokens import token_counts
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.warc import round_trip
 
@@ -111,3 +112,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_secrets"] = op4_secrets
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_token_counts"] = op5_token_counts

@@ -156,17 +156,19 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     Files may be plain or gzip (by their ending .gz), with one or many members.
     A record without Content-Length is taken to have an empty block.
     """
-    lines = spark.read.option("lineSep", f"{END}{VERSION}").text(folder).select("value", F.col("_metadata.file_path").alias("file"))
+    # the separator begins with the last byte before a version line, because readers of
+    # separators that begin like what precedes them lose some at the ends of their buffers
+    lines = spark.read.option("lineSep", f"\n{VERSION}").text(folder).select("value", F.col("_metadata.file_path").alias("file"))
     lines = lines.where(F.trim(F.translate("value", "\r\n", "")) != "")
     at = F.instr("value", END)
     head = F.when(at > 0, F.col("value").substr(F.lit(1), at - 1)).otherwise(F.col("value")).alias("head")
     pieces = lines.select("file", head, F.when(at > 0, F.col("value").substr(at + 4, F.length("value"))).alias("block"))
-    said = header("Content-Length").cast("long")
-    size = F.octet_length("block")
-    tail = F.col("block").endswith(END) & (size == said + 4)  # the last record of a file keeps its blank lines
-    pieces = pieces.withColumn("block", F.when(tail, F.col("block").substr(F.lit(1), F.length("block") - 4)).otherwise(F.col("block")))
-    whole = (F.octet_length("block") == F.coalesce(said, F.lit(0))) & F.col("block").isNotNull()
-    broken = saved(pieces.where(~F.coalesce(whole, F.lit(False))).select("file").distinct(), "warc-broken")
+    extra = F.octet_length("block") - F.coalesce(header("Content-Length").cast("long"), F.lit(0))
+    inner, last = (extra == 3) & F.col("block").endswith(END[:3]), (extra == 4) & F.col("block").endswith(END)
+    pieces = pieces.withColumn("whole", F.coalesce(inner | last, F.lit(False)))
+    pieces = pieces.withColumn("block", F.when(F.col("whole"), F.col("block").substr(F.lit(1), F.length("block") - extra.cast("int"))))
+    broken = saved(pieces.where(~F.col("whole")).select("file").distinct(), "warc-broken")
+    pieces = pieces.select("file", "head", "block")
     if not broken.isEmpty():
         files = spark.read.format("binaryFile").load(folder).select("path", "content").join(broken, F.col("path") == F.col("file"), "left_semi")
         again = files.repartition("path").mapInPandas(reread, "file string, head string, block binary")
@@ -202,20 +204,22 @@ def assemble(records: DataFrame) -> DataFrame:
     ``payload`` of a revisit are those of the response it refers to, null if that
     is not in the archives.
     """
-    main = records.where(F.col("kind").isin("response", "revisit") & F.col("record_id").isNotNull())
-    side = records.where(F.col("kind").isin("request", "metadata") & F.col("record_id").isNotNull())
-    up = side.select("record_id", F.explode("concurrent_to").alias("other"))
-    down = main.select(F.col("record_id").alias("capture"), F.explode("concurrent_to").alias("record_id"))
-    anchors = main.select(F.col("record_id").alias("capture"))
-    direct = up.join(anchors, F.col("other") == F.col("capture")).select("record_id", "capture")
-    direct = direct.unionByName(down.select("record_id", "capture"))
+    size = F.when(F.col("kind") == "response", F.octet_length(payload_of(F.col("block"))).cast("long"))
+    index = saved(records.select("record_id", "kind", "concurrent_to", size.alias("size")).where("record_id is not null"), "warc-index")
+    anchors = index.where(F.col("kind").isin("response", "revisit"))
+    up = index.where(F.col("kind").isin("request", "metadata")).select("record_id", F.explode("concurrent_to").alias("other"))
+    down = anchors.select(F.col("record_id").alias("capture"), F.explode("concurrent_to").alias("record_id"))
+    direct = up.join(anchors.select(F.col("record_id").alias("capture")), F.col("other") == F.col("capture")).select("record_id", "capture")
+    direct = saved(direct.unionByName(down.select("record_id", "capture")), "warc-links")
     over = up.join(direct.withColumnRenamed("record_id", "middle"), F.col("other") == F.col("middle")).select("record_id", "capture")
     links = direct.unionByName(over).distinct()
+    main = records.where(F.col("kind").isin("response", "revisit") & F.col("record_id").isNotNull())
+    side = records.where(F.col("kind").isin("request", "metadata") & F.col("record_id").isNotNull())
     owned = side.select("record_id", "kind", "block").join(links, "record_id")
     part = lambda kind: F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.struct("record_id", "block"))))
     parts = owned.groupBy("capture").agg(part("request").alias("requests"), part("metadata").alias("metadata"))
     main = main.withColumn("payload", F.when(F.col("kind") == "response", payload_of(F.col("block"))))
-    targets = main.where("kind = 'response'").select(F.col("record_id").alias("target"), F.octet_length("payload").cast("long").alias("target_bytes"))
+    targets = index.where("kind = 'response'").select(F.col("record_id").alias("target"), F.col("size").alias("target_bytes"))
     nested = main.join(parts, main.record_id == parts.capture, "left").join(targets, F.col("refers_to") == F.col("target"), "left")
     none = F.array().cast("array<struct<record_id:string,block:binary>>")
     return nested.select(
