@@ -13,6 +13,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import similar_sets
 from tidemark.llm.language import identify, learn
 from tidemark.llm import secrets
+from tidemark.llm.pieces import decode, encode
 from tidemark.llm.tokens import token_counts
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.warc import round_trip
@@ -119,3 +120,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_token_counts"] = op5_token_counts
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = decode(encode(table(spark, sf_dir, "documents")))
+    parts = back.select("row", "doc_id", F.size("ids").cast("long").alias("n"), "n_chunks", F.xxhash64("chunk", "ids").alias("hash"), (F.col("decoded") == F.col("source")).alias("same"))
+    short = parts.where("row is null").select("doc_id", F.col("n").alias("n_tokens"), "n_chunks", F.col("hash").alias("ids_hash"), F.col("same").alias("round_trip"))
+    sums = [F.sum("n").alias("n_tokens"), F.first("n_chunks").alias("n_chunks"), F.bit_xor("hash").alias("ids_hash"), F.bool_and("same").alias("round_trip")]
+    long = parts.where("row is not null").groupBy("row", "doc_id").agg(*sums).drop("row")
+    return short.unionByName(long)
+
+
+QUERIES["op6_sentencepiece"] = op6_sentencepiece
