@@ -1,0 +1,88 @@
+import json
+
+import pytest
+
+from tidemark.llm.tool_calls import calls_of_chats, levels, link_calls
+
+CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after string, status string, level int"
+RESULTS = "conv_id long, turn long, call_id string, content string, json string"
+TOOLS = "name string, field string, type string, required boolean"
+SCHEMAS = [("f", "s", "string", True), ("f", "i", "integer", False), ("f", "n", "number", None), ("f", "b", "boolean", False),
+           ("f", "o", "object", False), ("f", "a", "array", False), ("f", "z", "null", False), ("f", "any", "whatever", False), ("g", None, None, None)]
+
+
+def call(conv, turn, own, arguments='{"s":"x"}', after=None, name="f"):
+    return (conv, turn, own, name, arguments, after, "x", 1)
+
+
+def linked(spark, calls, results=()):
+    tables = ((list(calls), CALLS), ([(*r, "x") for r in results], RESULTS), (SCHEMAS, TOOLS))
+    return link_calls(*(spark.createDataFrame(rows, schema) for rows, schema in tables)).collect()
+
+
+@pytest.mark.parametrize("arguments,errors", [
+    ('{"s":"x","i":5,"n":1.5,"b":true,"o":{},"a":[],"z":null,"any":{"q":1}}', []),
+    ('{"s":"x","i":5.0,"n":3}', []),
+    ('{"s":"x","n":1e3}', []),
+    ("{}", ["missing:s"]),
+    ('{"s":null,"i":1.5,"b":"true","o":[],"a":{},"z":0}', ["type:a", "type:b", "type:i", "type:o", "type:s", "type:z"]),
+    ('{"s":"x","more":1}', ["unexpected:more"]),
+    ('{"s":"x","s":"y"}', ["malformed"]),
+    ("[1]", ["malformed"]), ("nope", ["malformed"]), ("", ["malformed"]), (None, ["malformed"]),
+])
+def test_schema(spark, arguments, errors):
+    (row,) = linked(spark, [call(1, 1, "c", arguments)], [(1, 2, "c", "done")])
+    assert row.errors == errors and row.status == ("invalid" if errors else "ok")
+
+
+def test_canonical_json(spark):
+    (row,) = linked(spark, [call(1, 1, "c", ' { "s" : "\\u00e9\\n" , "o":{"z":1,"a":[{"y":1,"x":2.50}]},  "i": 1}')], [(1, 2, "c", 'a "b"')])
+    assert row.json == (
+        '{"arguments":{"i":1,"o":{"a":[{"x":2.5,"y":1}],"z":1},"s":"é\\n"},"call_id":"c","level":0,"name":"f","result":"a \\"b\\"","status":"ok","turn":1}'
+    )
+
+
+def test_links_order_and_ties(spark):
+    calls = [
+        call(1, 5, "a", after="b"), call(1, 6, "b", after="c"), call(1, 7, "c"), call(1, 8, "d", after="gone"),
+        call(1, 9, "e", after="f"), call(1, 10, "f", after="e"), call(1, 11, "g", after="e"), call(1, 12, "h", after="h"),
+        call(1, 1, None), call(1, 20, "c"), call(2, 1, "c"), call(2, 1, "c"), call(None, 1, "c"), call(None, 2, "k", after="c"),
+        call(3, 1, "u", name="unknown"), call(3, 1, "v", "{}", name="g"), call(3, 4, "w"),
+    ]
+    results = [(1, 8, "c", "one"), (1, 8, "c", "two"), (1, 30, "a", None), (None, 9, "k", "null conversation"), (9, 1, "c", "lost"), (1, 3, None, "no id"),
+               (3, 2, "v", "v"), (3, 4, "w", "early")]
+    rows = {}
+    for r in linked(spark, calls, results):
+        assert json.dumps(json.loads(r.json), sort_keys=True, separators=(",", ":"), ensure_ascii=False) == r.json
+        rows.setdefault((r.conv_id, r.call_id, r.turn), []).append((r.level, r.status, ",".join(r.errors)))
+    assert rows == {
+        (1, "a", 5): [(2, "ok", "")], (1, "b", 6): [(1, "no_result", "")], (1, "c", 7): [(0, "ok", "")],
+        (1, "d", 8): [(0, "invalid", "unknown_call")], (1, "e", 9): [(None, "cycle", "")], (1, "f", 10): [(None, "cycle", "")],
+        (1, "g", 11): [(None, "cycle", "")], (1, "h", 12): [(None, "cycle", "")], (1, None, 1): [(None, "no_id", "")],
+        (1, "c", 20): [(None, "duplicate_id", "early_result")], (2, "c", 1): [(0, "no_result", "")] * 2, (None, "c", 1): [(0, "no_result", "")],
+        (None, "k", 2): [(1, "ok", "")], (3, "u", 1): [(0, "invalid", "unknown_tool")], (3, "v", 1): [(0, "ok", "")],
+        (3, "w", 4): [(0, "invalid", "early_result")], (1, "c", 8): [(None, "extra_result", "")],
+        (9, "c", 1): [(None, "orphan_result", "")], (1, None, 3): [(None, "orphan_result", "")],
+    }
+
+
+def test_long_chain(spark):
+    chain = [(7, f"c{k}", f"c{k - 1}" if k else None) for k in range(300)] + [(8, "c5", "c4")]
+    got = {(r.conv_id, r.call_id): r.level for r in levels(spark.createDataFrame(chain, "conv_id long, call_id string, after string")).collect()}
+    assert got == {(7, f"c{k}"): k for k in range(300)} | {(8, "c5"): 0}
+
+
+def test_empty(spark):
+    assert linked(spark, []) == []
+    chats = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    calls, results = calls_of_chats(chats)
+    assert calls.collect() == [] and results.collect() == []
+
+
+def test_chats(spark):
+    rows = [(1, 0, "system", None), (1, 1, "user", "é"), (1, 2, "assistant", "b" * 100000), (1, 3, "user", ""), (2, 4, None, "x"), (None, 0, "user", None)]
+    calls, results = calls_of_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert sorted((r.call_id, r.after, r.arguments) for r in calls.where("conv_id = 1").collect()) == [
+        ("call-0", None, '{"turn":0}'), ("call-1", None, '{"text":"é","turn":1,"length":1}'), ("call-3", "call-1", '{"text":"","turn":3,"length":0}'),
+    ]
+    assert [(r.call_id, len(r.content)) for r in results.collect()] == [("call-1", 100000)]

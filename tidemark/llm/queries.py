@@ -15,6 +15,7 @@ from tidemark.llm.language import identify, learn
 from tidemark.llm import secrets
 from tidemark.llm.pieces import decode, encode
 from tidemark.llm.tokens import token_counts
+from tidemark.llm.tool_calls import calls_of_chats, link_calls
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.warc import round_trip
 
@@ -132,3 +133,44 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_sentencepiece"] = op6_sentencepiece
+
+
+# The tools that op7 calls: a reply needs a text, an instruction its length as well and nothing else.
+CHAT_TOOLS = [("reply", "text", "string", True), ("reply", "turn", "integer", True), ("reply", "length", "integer", False),
+              ("instruct", "text", "string", True), ("instruct", "length", "number", True)]
+
+
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = calls_of_chats(table(spark, sf_dir, "conversations"))
+    tools = spark.createDataFrame(CHAT_TOOLS, "name string, field string, type string, required boolean")
+    linked = link_calls(calls, results, tools)
+    return linked.withColumn("errors", F.array_join("errors", ","))
+
+
+QUERIES["op7_tool_calls"] = op7_tool_calls
+SQL["op7_tool_calls"] = r"""
+WITH RECURSIVE said AS (SELECT conv_id, turn, role, text, 'call-' || turn AS call_id FROM conversations),
+     calls AS (SELECT s.conv_id, s.turn, s.call_id, s.text, CASE s.role WHEN 'user' THEN 'reply' ELSE 'instruct' END AS name,
+                      CASE WHEN s.role = 'user' AND b.turn IS NOT NULL THEN b.call_id END AS after
+               FROM said s LEFT JOIN (SELECT DISTINCT conv_id, turn, call_id FROM said WHERE role = 'user') b ON b.conv_id = s.conv_id AND b.turn = s.turn - 2
+               WHERE s.role IN ('user', 'system')),
+     results AS (SELECT conv_id, turn, 'call-' || (turn - 1) AS call_id, text AS content FROM said WHERE role = 'assistant'),
+     depth AS (SELECT conv_id, call_id, 0::BIGINT AS level FROM calls WHERE after IS NULL
+               UNION ALL SELECT c.conv_id, c.call_id, d.level + 1 FROM calls c JOIN depth d ON d.conv_id = c.conv_id AND d.call_id = c.after),
+     linked AS (SELECT c.*, d.level, r.content,
+                       list_sort(list_concat(CASE WHEN c.text IS NULL THEN ['missing:text'] ELSE [] END,
+                                             CASE WHEN name = 'instruct' THEN ['unexpected:turn'] ELSE [] END,
+                                             CASE WHEN name = 'instruct' AND c.text IS NULL THEN ['missing:length'] ELSE [] END)) AS errors
+                FROM calls c JOIN depth d USING (conv_id, call_id) LEFT JOIN results r USING (conv_id, call_id)),
+     judged AS (SELECT *, CASE WHEN len(errors) > 0 THEN 'invalid' WHEN content IS NULL THEN 'no_result' ELSE 'ok' END AS status FROM linked)
+SELECT conv_id, level, turn, call_id, name, status, array_to_string(errors, ',') AS errors,
+       '{"arguments":{' || coalesce('"length":' || length(text) || ',"text":' || to_json(text) || ',', '') || '"turn":' || turn
+       || '},"call_id":"' || call_id || '"' || CASE WHEN len(errors) > 0 THEN ',"errors":' || to_json(errors) ELSE '' END
+       || ',"level":' || level || ',"name":"' || name || '"' || coalesce(',"result":' || to_json(content), '')
+       || ',"status":"' || status || '","turn":' || turn || '}' AS json
+FROM judged
+UNION ALL
+SELECT conv_id, NULL, turn, call_id, NULL, 'orphan_result', '',
+       '{"call_id":"' || call_id || '"' || coalesce(',"result":' || to_json(content), '') || ',"status":"orphan_result","turn":' || turn || '}'
+FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
+"""
