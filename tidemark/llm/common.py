@@ -18,18 +18,24 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def saved(df: DataFrame, name: str, under: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or to a folder in it, and read it back.
 
     This cuts the lineage: what follows survives lost executors without
     computing ``df`` again, and Spark knows the size of what it reads.
     """
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = f"{under}/{name}-{uuid.uuid4().hex}" if under else new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of written tables that no plan reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # So many narrow rows take some 100 MB on an executor.
 BROADCAST_ROWS = 1_000_000
 

@@ -115,4 +115,4 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc
 def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **rule) -> DataFrame:
     """The documents that hold no item."""
     found = saved(leaks(docs, items, text, key, **rule).select(F.col(key).alias("leaking")).distinct(), "leaking")
-    return docs.join(found, docs[key].eqNullSafe(found.leaking), "left_anti")
+    return docs.join(small(found), docs[key].eqNullSafe(F.col("leaking")), "left_anti")

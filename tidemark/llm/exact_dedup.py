@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLANKS, saved
+from tidemark.llm.common import BLANKS, saved, small
 
 VERDICT = ["keep_id", "group_size", "kept", "text_sha256"]
 
@@ -76,12 +76,13 @@ def drop_copies(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
 
     Where ``key`` repeats within a group, one of the repeated rows stays.
     """
-    verdict = saved(exact_dedup(df, text, key), "dedup-verdict")
-    kept = verdict.where("kept").select(F.col(key).alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
-    repeats = not kept.groupBy("kept_id", "kept_sha").count().where("count > 1").isEmpty()
-    kept = kept.dropDuplicates() if repeats else kept
-    sha = F.sha2(normalised(df[text]), 256)
-    out = df.join(kept, df[key].eqNullSafe(kept.kept_id) & (sha == kept.kept_sha), "left_semi")
-    if repeats:
-        out = out.withColumn("repeat_sha", F.sha2(normalised(F.col(text)), 256)).dropDuplicates([key, "repeat_sha"]).drop("repeat_sha")
-    return out
+    verdict = saved(exact_dedup(df, text, key).select(F.col(key).alias("id"), "kept", "text_sha256"), "dedup-verdict")
+    keys = verdict.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    if keys.where("n > 1").isEmpty():
+        gone = saved(verdict.where("not kept").select("id"), "dedup-gone")
+        return df.join(small(gone), df[key].eqNullSafe(F.col("id")), "left_anti")
+    # keys repeat, so rows are told apart by key and text
+    kept = verdict.where("kept").select("id", "text_sha256").distinct()
+    sha = F.sha2(normalised(F.col(text)), 256)
+    out = df.withColumn("own_sha256", sha).join(kept, F.col(key).eqNullSafe(F.col("id")) & (F.col("own_sha256") == F.col("text_sha256")), "left_semi")
+    return out.dropDuplicates([key, "own_sha256"]).drop("own_sha256")
