@@ -21,6 +21,7 @@ from tidemark.functions.clean import (
 )
 from tidemark.operators.conform import project, require
 from tidemark.operators.latest import keep_latest, newest_first
+from tidemark.operators.quality import assert_subset
 
 KEYS = ["id"]
 PROTECTED = ["creado_en"]
@@ -90,4 +91,5 @@ def company_extract(raw: DataFrame, status: str = "ACTIVO") -> DataFrame:
             "actualizado_en": coalesce_ts("TimeStamp", "FechaInicioHistoria"),
         },
     )
+    assert_subset(mapped, COMPANY_COLUMNS, PROTECTED)
     return require(mapped, F.col("codigo").isNotNull(), F.col("nombre").isNotNull())

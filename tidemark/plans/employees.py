@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.clean import clean_text, compose_code, is_guid, iso_date, money
 from tidemark.operators.conform import lookup, project, require
 from tidemark.operators.latest import keep_latest, newest_first
+from tidemark.operators.quality import assert_subset
 
 KEYS = ["empresa_id", "numero_empleado"]
 
@@ -21,6 +22,16 @@ EMPLOYEE_TEXT = {
     "lugar_nacimiento": ("lugarnacimiento", 150, 150),
 }
 
+# Columns of the target table.
+EMPLOYEE_COLUMNS = [
+    "id", "empresa_id", "area_contpaqi", "puesto_contpaqi", "numero_empleado",
+    "nombre_completo", "correo_electronico", "genero", "fecha_nacimiento",
+    "curp", "rfc", "numero_fonacot", "estado_civil", "lugar_nacimiento",
+    "estatus_laboral", "fecha_alta", "fecha_baja", "fecha_baja_contpaqi",
+    "fecha_reingreso", "motivo_baja", "motivo_baja_contpaqi", "salario_diario",
+    "transporte", "vales", "vacaciones_totales", "vacaciones_disponibles",
+]
+
 # Columns the extract must never write.
 PROTECTED = [
     "id", "source_name", "fecha_baja", "motivo_baja", "transporte", "vales",
@@ -40,13 +51,10 @@ def latest_employees(raw: DataFrame) -> DataFrame:
     return keep_latest(numbered, ["numero_empleado"], newest_first("timestamp", "idempleado"))
 
 
-def employee_extract(
-    raw: DataFrame, departments: DataFrame, positions: DataFrame, company_id: str, system: str
-) -> DataFrame:
-    """Rows for the employee target.
+def employee_extract(raw: DataFrame, departments: DataFrame, positions: DataFrame, company_id: str) -> DataFrame:
+    """Rows for the employee target, with target columns only and no protected one.
 
-    ``system`` names the payroll system; columns that hold its own wording end
-    in that name. Lookups run after the newest row is chosen, so superseded
+    Lookups run after the newest row is chosen, so superseded
     rows are never joined. Dates leave as text.
     """
     current = latest_employees(raw)
@@ -61,8 +69,8 @@ def employee_extract(
             "empresa_id": F.lit(company_id),
             "numero_empleado": "numero_empleado",
             "nombre_completo": text["nombre_completo"],
-            f"area_{system}": clean_text("_department", 200),
-            f"puesto_{system}": clean_text("_position", 200),
+            "area_contpaqi": clean_text("_department", 200),
+            "puesto_contpaqi": clean_text("_position", 200),
             "correo_electronico": text["correo_electronico"],
             "genero": text["genero"],
             "fecha_nacimiento": iso_date("fechanacimiento"),
@@ -73,10 +81,11 @@ def employee_extract(
             "lugar_nacimiento": text["lugar_nacimiento"],
             "estatus_laboral": clean_text("estadoempleado", 50, upper=True),
             "fecha_alta": iso_date("fechaalta"),
-            f"fecha_baja_{system}": iso_date("fechabaja"),
+            "fecha_baja_contpaqi": iso_date("fechabaja"),
             "fecha_reingreso": iso_date("fechareingreso"),
-            f"motivo_baja_{system}": clean_text("causabaja", 255),
+            "motivo_baja_contpaqi": clean_text("causabaja", 255),
             "salario_diario": money("sueldodiario"),
         },
     )
+    assert_subset(mapped, EMPLOYEE_COLUMNS, PROTECTED)
     return require(mapped, is_guid("empresa_id"), F.col("nombre_completo").isNotNull())

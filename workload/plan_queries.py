@@ -44,6 +44,7 @@ def line_extract(spark, sf):
     )
 
 
+# The column names on the left, those of the payroll source.
 # Raw companies and employees cast from the orders, in text that both engines read.
 _HEX = "md5(CAST(o_custkey AS STRING))"
 _GUID = (f"substring({_HEX}, 1, 8) || '-' || substring({_HEX}, 9, 4) || '-' || substring({_HEX}, 13, 4) || '-' || "
@@ -154,15 +155,15 @@ COMPANY_ID = "00000000-AAAA-4BBB-8CCC-000000000001"
       SELECT id, max(name) AS name FROM (SELECT n_nationkey AS id, n_name AS name FROM nation
                                          UNION ALL SELECT n_regionkey, n_name FROM nation) GROUP BY id)
     SELECT '{COMPANY_ID}' AS empresa_id, numero_empleado, {_cut("nombrelargo", 250)} AS nombre_completo,
-           {_cut("d.name", 200)} AS area_nomina, {_cut("p_name", 200)} AS puesto_nomina,
+           {_cut("d.name", 200)} AS area_contpaqi, {_cut("p_name", 200)} AS puesto_contpaqi,
            {_cut("CorreoElectronico", 254)} AS correo_electronico, {_cut("sexo", 20)} AS genero,
            strftime(fechanacimiento, '%Y-%m-%d') AS fecha_nacimiento,
            left(upper({_cut("curpi", 30)} || strftime(fechanacimiento, '%y%m%d') || {_cut("curpf", 30)}), 18) AS curp,
            left(upper({_cut("rfc", 30)} || strftime(fechanacimiento, '%y%m%d') || {_cut("homoclave", 20)}), 20) AS rfc,
            {_cut("NumeroFonacot", 50)} AS numero_fonacot, {_cut("estadocivil", 50)} AS estado_civil,
            {_cut("lugarnacimiento", 150)} AS lugar_nacimiento, upper({_cut("estadoempleado", 50)}) AS estatus_laboral,
-           strftime(fechaalta, '%Y-%m-%d') AS fecha_alta, strftime(fechabaja, '%Y-%m-%d') AS fecha_baja_nomina,
-           strftime(fechareingreso, '%Y-%m-%d') AS fecha_reingreso, {_cut("causabaja", 255)} AS motivo_baja_nomina,
+           strftime(fechaalta, '%Y-%m-%d') AS fecha_alta, strftime(fechabaja, '%Y-%m-%d') AS fecha_baja_contpaqi,
+           strftime(fechareingreso, '%Y-%m-%d') AS fecha_reingreso, {_cut("causabaja", 255)} AS motivo_baja_contpaqi,
            CAST(sueldodiario AS DECIMAL(12,2)) AS salario_diario
     FROM latest LEFT JOIN departments d ON d.id = iddepartamento LEFT JOIN part ON p_partkey = idpuesto
     WHERE {_cut("nombrelargo", 250)} IS NOT NULL
@@ -176,4 +177,4 @@ def conform_employee(spark, sf):
         nation.select(F.col("n_regionkey").alias("iddepartamento"), F.col("n_name").alias("descripcion"))
     )
     positions = table(spark, sf, "part").select(F.col("p_partkey").alias("idpuesto"), F.col("p_name").alias("descripcion"))
-    return employee_extract(raw, departments, positions, COMPANY_ID, "nomina")
+    return employee_extract(raw, departments, positions, COMPANY_ID)
