@@ -13,6 +13,8 @@
    shingle only those between different components follow, all of them.
 4. *Counting.* The order is cut into ``fragments`` of equal weight. The overlap of
    a candidate pair is counted in each fragment on its own and summed per pair.
+   Before that, the overlap in the part of the order that both prefixes cover bounds
+   the rest; most pairs that share no more than a passage end there.
 5. *Components* of the links found.
 
 The number of pairs follows the number of components that meet, not the square
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved, small
+from tidemark.llm.common import new_folder, removed, saved, small
 from tidemark.llm.components import components
 from tidemark.llm.shingles import documents
 
@@ -122,6 +124,23 @@ def may_link(x: str, y: str, percent: int) -> Column:
     return 100 * most >= percent * least_union
 
 
+def plausible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, an, b, bn) that can be links after counting the overlap where both prefixes reach.
+
+    Both sets are known in full up to the smaller of the last shingles of their
+    prefixes. Beyond it they share at most all that the smaller one has left.
+    """
+    left = heads.select(F.col("node").alias("a"), F.col("prefix").alias("of_a"))
+    right = heads.select(F.col("node").alias("b"), F.col("prefix").alias("of_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    reach = F.least(F.element_at("of_a", -1), F.element_at("of_b", -1))
+    known = lambda tokens: F.size(F.filter(tokens, lambda t: t <= F.col("reach")))
+    both = both.withColumn("reach", reach)
+    most = F.size(F.array_intersect("of_a", "of_b")) + F.least(F.col("an") - known("of_a"), F.col("bn") - known("of_b"))
+    both = both.withColumn("most", most)
+    return both.where(100 * F.col("most") >= percent * (F.col("an") + F.col("bn") - F.col("most"))).select("a", "an", "b", "bn")
+
+
 def counted(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The links among ``pairs`` (a, an, b, bn): overlaps by fragment, summed per pair."""
     left = parts.select(F.col("node").alias("a"), "fragment", F.col("tokens").alias("of_a"))
@@ -143,41 +162,44 @@ def similar_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width:
     others. Other columns are not looked at. An empty input gives an empty result.
     """
     spark = df.sparkSession
+    folder = new_folder(spark, "jaccard")  # of what is written on the way
     rows = df.select(df[key].alias("id"), df[text].alias("text"))
     rank, cuts = order_of(slot_counts(rows, width), fragments)
     shared_rank = spark.sparkContext.broadcast(rank)
-    signed = saved(signatures(rows, width, percent, shared_rank), "jaccard-signatures")
+    signed = saved(signatures(rows, width, percent, shared_rank), "signatures", folder)
 
     full = signed.where("n > 0")
     classes = full.groupBy("name", "n").agg(F.min("id").alias("first_id"))
-    classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
+    classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes", folder)
     heads = full.join(classes, (full.name == classes.name) & full.id.eqNullSafe(classes.first_id), "left_semi").select("name", "prefix")
-    heads = heads.dropDuplicates(["name"]).join(classes.select("name", "node", "n"), "name")
+    heads = heads.dropDuplicates(["name"]).join(classes.select("name", "node", "n"), "name").select("node", "n", "prefix")
+    heads = saved(heads, "prefixes", folder)
     places = heads.select("node", "n", F.posexplode("prefix").alias("at", "token"))
     common = places.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("token")
-    shared = saved(places.join(common, "token", "left_semi").select("token", "node", "n", "at"), "jaccard-places")
+    shared = saved(places.join(common, "token", "left_semi").select("token", "node", "n", "at"), "places", folder)
 
     hubs = shared.groupBy("token").agg(F.min(F.struct("at", "n", "node")).alias("hub"))
     hubs = hubs.select("token", F.col("hub.node").alias("b"), F.col("hub.n").alias("bn"), F.col("hub.at").alias("bat"))
     own = shared.select("token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("at").alias("aat"))
-    stars = saved(own.join(hubs, "token").where(F.col("a") != F.col("b")).where(may_link("a", "b", percent)).select("a", "an", "b", "bn").distinct(), "jaccard-stars")
+    stars = own.join(hubs, "token").where(F.col("a") != F.col("b")).where(may_link("a", "b", percent)).select("a", "an", "b", "bn").distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The links among ``pairs``: the texts of their sets are read again and cut into fragments."""
+        """The links among ``pairs``: the texts of those that may be links are read again and cut into fragments."""
+        pairs = saved(plausible(pairs, heads, percent), "pairs", folder)
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        nodes = saved(nodes.join(classes, "node").select("node", "name", "first_id"), "jaccard-nodes")
+        nodes = saved(nodes.join(classes, "node").select("node", "name", "first_id"), "nodes", folder)
         ids, names = small(nodes.select("first_id").distinct()), nodes.select("name", "node")
         texts = rows.join(ids, rows.id.eqNullSafe(ids.first_id), "left_semi")
         cut = segments(texts, width, shared_rank, cuts).join(names, "name").dropDuplicates(["name", "fragment"])
-        parts = saved(cut.select("node", "fragment", "tokens"), "jaccard-segments")
-        return saved(counted(pairs, parts, percent), "jaccard-links")
+        parts = saved(cut.select("node", "fragment", "tokens"), "segments", folder)
+        return saved(counted(pairs, parts, percent), "links", folder)
 
     links = verified(stars)
-    found = saved(components(links), "jaccard-components")
+    found = saved(components(links, folder), "components", folder)
 
     owned = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     tokens = owned.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    mixed = saved(owned.join(tokens, "token", "left_semi"), "jaccard-mixed")
+    mixed = saved(owned.join(tokens, "token", "left_semi"), "mixed", folder)
     sizes = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("sets"))
     main = sizes.groupBy("token").agg(F.max(F.struct("sets", "component")).alias("main")).select("token", F.col("main.component").alias("main"))
     minor = mixed.join(main, "token").where("component <> main").select("token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("at").alias("aat"), F.col("component").alias("ac"))
@@ -185,28 +207,33 @@ def similar_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width:
     pairs = minor.join(every, "token").where(F.col("ac") != F.col("bc")).where(may_link("a", "b", percent))
     swap = F.col("a") > F.col("b")
     pairs = pairs.select(*[F.when(swap, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("an", "bn"), ("b", "a"), ("bn", "an"))])
-    more = verified(saved(pairs.distinct(), "jaccard-pairs"))
+    more = verified(pairs.distinct())
     if not more.isEmpty():
-        found = saved(components(links.unionByName(more)), "jaccard-components")
+        found = saved(components(links.unionByName(more), folder), "components", folder)
 
     labelled = classes.join(found, "node", "left").select("name", "first_id", F.coalesce("component", "node").alias("component"))
-    labelled = saved(labelled, "jaccard-labelled")
+    labelled = saved(labelled, "labelled", folder)
     least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     result = signed.select("id", "n", "name").join(labelled.join(least, "component").select("name", "component_id"), "name", "left")
-    return result.select(
+    result = result.select(
         F.col("id").alias(key),
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
+    result = saved(result, "jaccard-result")
+    removed(spark, folder)
+    shared_rank.unpersist()
+    return result
 
 
 def drop_similar(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component stays, that with the smallest key; documents without words stay.
 
-    Of rows that repeat the smallest key of a component, one stays.
+    Rows are told apart by key: a key that stays for one row stays for all, and of
+    rows that repeat the key of a component one stays. Null keys go where others stay for them.
     """
-    verdict = saved(similar_sets(df, text, key, width, percent), "jaccard-verdict")
-    kept = verdict.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("kept_id"))
-    repeats = not kept.groupBy("kept_id").count().where("count > 1").isEmpty()
-    out = df.join(kept.distinct(), df[key].eqNullSafe(kept.kept_id), "left_semi")
-    return out.dropDuplicates([key]) if repeats else out
+    verdict = similar_sets(df, text, key, width, percent).select(F.col(key).alias("id"), F.col(key).eqNullSafe(F.col("component_id")).alias("stays"))
+    keys = saved(verdict.groupBy("id").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")), "jaccard-keys")
+    gone = saved(keys.where("not stays").select("id"), "jaccard-gone")
+    out = df.join(small(gone), df[key].eqNullSafe(F.col("id")), "left_anti")
+    return out if keys.where("stays and n > 1").isEmpty() else out.dropDuplicates([key])
