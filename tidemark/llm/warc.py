@@ -4,7 +4,7 @@ Writing. Every capture becomes three records: ``request``, ``response`` (or
 ``revisit``) and ``metadata``. Request and metadata name their response in
 WARC-Concurrent-To. Captures with equal payloads of at least ``revisit_from`` bytes share one
 response, the one with the smallest key; the others revisit it. Equal payloads meet
-by whole content, folded within each map task first, and only the light columns of a
+by SHA-256, folded within each map task first, and only the light columns of a
 capture travel to its group.
 
 Reading. An archive is cut into records by Spark's text reader, at the blank lines
@@ -78,7 +78,7 @@ def plan_captures(pages: DataFrame, key: str, uri: str, payload: str, revisit_fr
         {"own_id": record_id(F.col("key"), F.col("uri"), F.hex("digest")),
          "first_id": record_id(F.col("first.key"), F.col("first.uri"), F.hex("digest"))}
     )
-    bodies = rows.groupBy("digest", "payload").agg(F.lit(1).alias("one")).select("digest", "payload")
+    bodies = rows.groupBy("digest").agg(F.any_value("payload").alias("payload"))
     return captures, bodies
 
 
@@ -159,20 +159,18 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     # the separator begins with the last byte before a version line, because readers of
     # separators that begin like what precedes them lose some at the ends of their buffers
     lines = spark.read.option("lineSep", f"\n{VERSION}").text(folder).select("value", F.col("_metadata.file_path").alias("file"))
-    lines = lines.where(F.trim(F.translate("value", "\r\n", "")) != "")
-    at = F.instr("value", END)
-    head = F.when(at > 0, F.col("value").substr(F.lit(1), at - 1)).otherwise(F.col("value")).alias("head")
-    pieces = lines.select("file", head, F.when(at > 0, F.col("value").substr(at + 4, F.length("value"))).alias("block"))
-    extra = F.octet_length("block") - F.coalesce(header("Content-Length").cast("long"), F.lit(0))
-    inner, last = (extra == 3) & F.col("block").endswith(END[:3]), (extra == 4) & F.col("block").endswith(END)
-    pieces = pieces.withColumn("whole", F.coalesce(inner | last, F.lit(False)))
-    pieces = pieces.withColumn("block", F.when(F.col("whole"), F.col("block").substr(F.lit(1), F.length("block") - extra.cast("int"))))
+    lines = lines.where(F.col("value").rlike(r"\S")).withColumn("head", F.substring_index("value", END, 1))
+    data, skipped = F.col("value").cast("binary"), F.octet_length("head") + 4
+    said = F.coalesce(header("Content-Length").cast("int"), F.lit(0))
+    pieces = lines.withColumn("said", said).withColumn("extra", F.octet_length("value") - skipped - said)
+    inner, last = (F.col("extra") == 3) & F.col("value").endswith(END[:3]), (F.col("extra") == 4) & F.col("value").endswith(END)
+    pieces = pieces.select("file", "head", (inner | last).alias("whole"), data.substr(skipped + 1, F.col("said")).alias("block"))
     broken = saved(pieces.where(~F.col("whole")).select("file").distinct(), "warc-broken")
     pieces = pieces.select("file", "head", "block")
     if not broken.isEmpty():
         files = spark.read.format("binaryFile").load(folder).select("path", "content").join(broken, F.col("path") == F.col("file"), "left_semi")
         again = files.repartition("path").mapInPandas(reread, "file string, head string, block binary")
-        pieces = pieces.withColumn("block", F.col("block").cast("binary")).join(broken, "file", "left_anti").unionByName(again)
+        pieces = pieces.join(broken, "file", "left_anti").unionByName(again)
     ids = lambda name: F.regexp_extract_all("head", F.lit(rf"(?im)^{name}:[ \t]*(<[^>\r\n]*>)"), 1)
     return pieces.select(
         "file",
@@ -182,27 +180,28 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         header("WARC-Refers-To").alias("refers_to"),
         header("WARC-Target-URI").alias("uri"),
         header("WARC-Payload-Digest").alias("payload_digest"),
-        F.col("block").cast("binary").alias("block"),
+        "block",
     )
 
 
 def payload_of(block: Column) -> Column:
     """What follows the header of an HTTP message, as bytes; all of it if it has no header."""
     text = block.cast("string")
-    at = F.instr(text, END)
-    return F.when(at > 0, text.substr(at + 4, F.length(text))).otherwise(text).cast("binary")
+    skipped = F.octet_length(F.substring_index(text, END, 1))
+    return F.when(skipped < F.octet_length(block), block.substr(skipped + 5, F.octet_length(block))).otherwise(block)
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One row per capture: record_id, kind, uri, payload, payload_digest, payload_bytes, refers_to, requests, metadata.
+    """One row per capture: record_id, kind, uri, payload, payload_sha1, payload_digest, payload_bytes, refers_to, requests, metadata.
 
     ``requests`` and ``metadata`` are arrays of (record_id, block), sorted by
     identifier, of the records that belong to the capture; empty if there are none.
     A record belongs to a capture if either names the other in concurrent-to, or
     both name the same third record in between. Records that no capture claims,
-    and records without an identifier, belong to none. ``payload_bytes`` and
-    ``payload`` of a revisit are those of the response it refers to, null if that
-    is not in the archives.
+    and records without an identifier, belong to none. A revisit has no
+    payload; its ``payload_bytes`` are those of the response it refers to, null if
+    that is not in the archives. ``payload_sha1`` (hex) is of the payload read,
+    ``payload_digest`` what the record says.
     """
     size = F.when(F.col("kind") == "response", F.octet_length(payload_of(F.col("block"))).cast("long"))
     index = saved(records.select("record_id", "kind", "concurrent_to", size.alias("size")).where("record_id is not null"), "warc-index")
@@ -219,12 +218,14 @@ def assemble(records: DataFrame) -> DataFrame:
     part = lambda kind: F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.struct("record_id", "block"))))
     parts = owned.groupBy("capture").agg(part("request").alias("requests"), part("metadata").alias("metadata"))
     main = main.withColumn("payload", F.when(F.col("kind") == "response", payload_of(F.col("block"))))
+    # before the joins, so that a reader of these columns alone does not shuffle payloads
+    main = main.withColumns({"payload_sha1": F.sha1("payload"), "own_bytes": F.octet_length("payload").cast("long")}).drop("block")
     targets = index.where("kind = 'response'").select(F.col("record_id").alias("target"), F.col("size").alias("target_bytes"))
     nested = main.join(parts, main.record_id == parts.capture, "left").join(targets, F.col("refers_to") == F.col("target"), "left")
     none = F.array().cast("array<struct<record_id:string,block:binary>>")
     return nested.select(
-        "record_id", "kind", "uri", "payload", "payload_digest",
-        F.when(F.col("kind") == "response", F.octet_length("payload").cast("long")).otherwise(F.col("target_bytes")).alias("payload_bytes"),
+        "record_id", "kind", "uri", "payload", "payload_sha1", "payload_digest",
+        F.when(F.col("kind") == "response", F.col("own_bytes")).otherwise(F.col("target_bytes")).alias("payload_bytes"),
         "refers_to", F.coalesce("requests", none).alias("requests"), F.coalesce("metadata", none).alias("metadata"),
     )
 
@@ -244,7 +245,7 @@ def round_trip(pages: DataFrame, key: str = "page_id", uri: str = "url", payload
     folder = new_folder(spark, "warc")
     write_archives(pages, folder, key, uri, payload, revisit_from)
     captures = assemble(read_archives(spark, folder))
-    sha1 = F.when(F.col("kind") == "response", base32(F.upper(F.sha1("payload")))).otherwise(F.regexp_replace("payload_digest", "^sha1:", ""))
+    sha1 = F.when(F.col("kind") == "response", base32(F.upper("payload_sha1"))).otherwise(F.regexp_replace("payload_digest", "^sha1:", ""))
     kind = pages.schema[key].dataType
     rows = saved(captures.select(
         "record_id", "refers_to", "payload_bytes", "kind", sha1.alias("payload_digest"), field("capture-key").cast(kind).alias("page"),
