@@ -1,10 +1,14 @@
 import pytest
 
+from tidemark.model import SyncJob
 from tidemark.operators.quality import ConformanceError
+from tidemark.plans.sync import Workspace, run_cycle
+from tidemark.sources import relational
 from tidemark.sources.relational import (
     Connection,
     Split,
     dialect_of,
+    jdbc_destination,
     jdbc_merge,
     read_options,
     select_text,
@@ -59,3 +63,78 @@ def test_merge_refuses_generated_ids_and_missing_keys(spark):
         jdbc_merge(df, SERVER, "staff", "stage", ["id"], lambda s: None, auto_id="ID")
     with pytest.raises(ConformanceError):
         jdbc_merge(df, SERVER, "staff", "stage", ["nope"], lambda s: None)
+
+
+def test_table_names_lose_their_quotes_and_have_three_parts_at_most():
+    found = upsert_statements("sqlserver", "[dbo].[staff]", '"Stage"', ["id"], ["id"])
+    assert found[0].startswith("INSERT INTO [dbo].[staff] ([id]) SELECT s.[id] FROM [Stage] s")
+    for name in ("a.b.c.d", " . ", ""):
+        with pytest.raises(ConformanceError):
+            upsert_statements("mysql", name, "s", ["a"], ["a"])
+
+
+class Server:
+    """Stands in for a database: keeps what is staged and the statements, and answers with given row counts."""
+
+    def __init__(self, monkeypatch, *counts):
+        self.staged, self.statements, self.counts = [], [], list(counts)
+        monkeypatch.setattr(relational, "_stage", lambda df, connection, staging, batch: self.staged.append(sorted(map(tuple, df.collect()), key=str)))
+
+    def __call__(self, statements):
+        self.statements.append(list(statements))
+        answer = self.counts.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+
+
+def cycle(spark, work, destination, *rows):
+    df = spark.createDataFrame(list(rows), "id int, name string")
+    (m,) = run_cycle(work, [SyncJob("people", lambda _: df, "dbo.staff", ["ID"])], [destination])
+    return m["changes"], m["inserted"], m["updated"], m["errors"]
+
+
+def test_upsert_through_a_cycle(spark, folder, monkeypatch):
+    # 3 target rows updated by 1 change, 2 inserted
+    server, work = Server(monkeypatch, [3, 2], OSError("down"), [1, 0]), Workspace(spark, f"{folder}/work")
+    to = jdbc_destination("erp", SERVER, "stage.staff", server)
+    assert cycle(spark, work, to, (1, "A"), (2, "B"), (3, "C")) == (3, 2, 1, 0)
+    assert cycle(spark, work, to, (1, "A"), (2, "B"), (3, "C")) == (0, 0, 0, 0)
+    assert cycle(spark, work, to, (1, "A2"), (2, "B"), (3, "C")) == (1, 0, 0, 1)
+    assert cycle(spark, work, to, (1, "A2"), (2, "B"), (3, "C")) == (1, 0, 1, 0)
+    assert server.staged == [[(1, "A"), (2, "B"), (3, "C")], [(1, "A2")], [(1, "A2")]]
+    assert server.statements[0][0].startswith('UPDATE "dbo"."staff" t SET "name" = s."name" FROM "stage"."staff" s')
+
+
+def test_history_through_a_cycle(spark, folder, monkeypatch):
+    server, work = Server(monkeypatch, OSError("lost"), [0, 1], [0, 1]), Workspace(spark, f"{folder}/work")
+    to = jdbc_destination("log", SERVER, "stage", server, mode="history", batch_column="batch")
+    assert cycle(spark, work, to, (1, "A")) == (1, 0, 0, 1)
+    assert cycle(spark, work, to, (1, "A")) == (1, 1, 0, 0)
+    assert cycle(spark, work, to, (1, "B")) == (1, 1, 0, 0)
+    first, again, other = ([row[2] for row in rows][0] for rows in server.staged)
+    assert first == again != other
+    assert server.statements[1][0] == f"""DELETE FROM "dbo"."staff" WHERE "batch" = '{again}'"""
+    assert server.statements[1][1].startswith('INSERT INTO "dbo"."staff" ("id", "name", "batch") SELECT')
+
+
+def test_the_writer_gets_the_name_as_the_statements_have_it(spark, monkeypatch):
+    seen = {}
+
+    class Writer:
+        def format(self, kind):
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def mode(self, _):
+            return self
+
+        def save(self):
+            pass
+
+    monkeypatch.setattr(type(spark.range(1)), "write", property(lambda self: Writer()))
+    relational._stage(spark.range(1), SERVER, "[Stage].Staff", 250)
+    assert seen["dbtable"] == '"Stage"."Staff"' and seen["batchsize"] == "250"

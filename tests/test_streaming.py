@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from tidemark.model import Destination, SyncJob
 from tidemark.plans.sync import Workspace
 from tidemark.sources.failure_log import FAILURES, FailureLog
-from tidemark.sources.tables import UpsertTable
+from tidemark.sources.tables import UpsertTable, read_history
 from tidemark.streaming.failure_state import failure_state
 from tidemark.streaming.loop import DeliveryPaused, guarded, stream_sync
 
@@ -55,6 +55,87 @@ def test_latched_stream_stops_before_writing_and_resumes(spark, folder):
     assert staff(spark, folder) == [(1, "A")]
 
 
+def failing(times, sent):
+    """A sink that fails some times and keeps what it gets afterwards."""
+    left = [times]
+
+    def deliver(changes, table, keys):
+        if left[0]:
+            left[0] -= 1
+            raise OSError("sink is down")
+        rows = sorted(map(tuple, changes.collect()))
+        sent.append(rows)
+        return len(rows), 0
+
+    return deliver
+
+
+def test_a_failed_delivery_is_sent_again(spark, folder):
+    sent = []
+    work, out = Workspace(spark, f"{folder}/work"), [Destination("d", deliver=failing(1, sent)), Destination("e", f"{folder}/d")]
+    arrive(spark, folder, (1, "A", 1))
+    with pytest.raises(Exception, match="did not reach all destinations"):
+        run(spark, folder, work, out)
+    assert sent == [] and staff(spark, folder) == [(1, "A")]
+    arrive(spark, folder, (2, "B", 2))
+    run(spark, folder, work, out)
+    assert sent == [[(1, "A")], [(2, "B")]]
+    # the tries of an epoch count once
+    found = sorted((r["cycle_id"], r["destination"], r["changes"], r["errors"]) for r in work.run_metrics().collect())
+    assert found == [("epoch-0", "d", 1, 0), ("epoch-0", "e", 1, 0), ("epoch-1", "d", 1, 0), ("epoch-1", "e", 1, 0)]
+    assert work.failures.failures().count() == 1
+
+
+def test_a_latch_that_trips_inside_an_epoch_leaves_nothing_out(spark, folder):
+    sent, later = [], []
+    work = Workspace(spark, f"{folder}/work", threshold=1)
+    out = [Destination("d", deliver=failing(1, sent)), Destination("e", deliver=failing(0, later))]
+    arrive(spark, folder, (1, "A", 1))
+    for text in ("did not reach", "paused"):
+        with pytest.raises(Exception, match=text):
+            run(spark, folder, work, out)
+    assert sent == later == []
+    work.failures.clear("global", dt.datetime(2100, 1, 1))
+    run(spark, folder, work, out)
+    assert sent == later == [[(1, "A")]]
+
+
+def test_history_gets_every_version_of_an_epoch_once(spark, folder):
+    sent = []
+    schema = T.StructType.fromDDL("id int, name string")
+    work = Workspace(spark, f"{folder}/work")
+    out = [Destination("h", f"{folder}/h", mode="history"), Destination("d", f"{folder}/d"), Destination("s", deliver=failing(2, sent))]
+    arrive(spark, folder, (1, "A", 1), (1, "B", 2), (2, "X", 2))
+    for _ in range(2):
+        with pytest.raises(Exception, match="did not reach"):
+            run(spark, folder, work, out)
+    run(spark, folder, work, out)
+    rows = read_history(spark, f"{folder}/h/staff", schema).collect()
+    assert sorted((r["id"], r["name"]) for r in rows) == [(1, "A"), (1, "B"), (2, "X")]
+    assert staff(spark, folder) == [(1, "B"), (2, "X")]
+    assert sent == [[(1, "A")], [(1, "B"), (2, "X")]]
+
+
+def test_keys_that_repeat_in_a_snapshot_are_refused(spark, folder):
+    work = Workspace(spark, f"{folder}/work")
+    for k, mode in enumerate(("upsert", "history")):
+        arrive(spark, f"{folder}/{k}", (1, "A", 1), (1, "B", 1))
+        with pytest.raises(Exception, match="did not reach"):
+            run(spark, f"{folder}/{k}", work, [Destination(f"d{k}", f"{folder}/{k}/d", mode=mode)])
+    assert [r["reason"][:4] for r in work.failures.failures().collect()] == ["keys"] * 2
+
+
+def test_an_extract_that_breaks_off_is_a_failure(spark, folder):
+    work = Workspace(spark, f"{folder}/work", threshold=2)
+    arrive(spark, folder, (1, "A", 1))
+    stream = spark.readStream.schema(SNAPSHOT).parquet(f"{folder}/in").drop("id")
+    for text in ("did not reach", "did not reach", "paused"):
+        query = stream_sync(stream, work, SyncJob("people", "unused", "staff", ["id"]), [Destination("d", f"{folder}/d")], "taken", f"{folder}/checkpoint", poll=None)
+        with pytest.raises(Exception, match=text):
+            query.awaitTermination(120)
+    assert work.failures.is_latched("global")
+
+
 def test_guard():
     done = []
     run_ = guarded(lambda df, epoch: done.append(epoch), lambda: bool(done))

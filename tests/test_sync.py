@@ -7,8 +7,9 @@ from pyspark.sql import types as T
 from tidemark.functions.fingerprint import stream_id
 from tidemark.model import Destination, SyncJob, check_destinations, check_jobs, extracts
 from tidemark.operators.quality import ConformanceError
-from tidemark.plans import sync
 from tidemark.plans.sync import Workspace, run_cycle
+from tidemark.session import subfolders
+from tidemark.sources import tables
 from tidemark.sources.tables import SlotTable, StateTable, UpsertTable, read_history
 
 
@@ -49,6 +50,11 @@ def memory(sent):
     return accept
 
 
+def history(spark, folder):
+    rows = read_history(spark, f"{folder}/d/staff", T.StructType.fromDDL("id int, name string"))
+    return sorted((r["id"], r["name"]) for r in rows.collect())
+
+
 def numbers(metrics, *names):
     return [tuple(m[n] for n in names) for m in metrics]
 
@@ -214,12 +220,13 @@ def test_crash_between_write_and_commit(spark, place, monkeypatch, mode):
     run_cycle(work, [job(people(spark, (1, "A"), (2, "B")))], out)
     # the source moved on before the retry
     metrics = run_cycle(work, [job(people(spark, (1, "A2"), (2, "B")))], out)
-    assert numbers(metrics, "changes", "errors") == [(2, 0), (1, 0)]
     if mode == "upsert":
+        assert numbers(metrics, "changes", "errors") == [(2, 0), (1, 0)]
         assert target(spark, f"{folder}/d") == [(1, "A2"), (2, "B")]
     else:
-        rows = read_history(spark, f"{folder}/d/staff", people(spark, (1, "A")).schema)
-        assert sorted((r["id"], r["name"]) for r in rows.collect()) == [(1, "A2"), (2, "B")]
+        # the delivered batch is committed first, so every version is there, and once
+        assert numbers(metrics, "changes", "errors") == [(1, 0), (1, 0)]
+        assert history(spark, folder) == [(1, "A"), (1, "A2"), (2, "B")]
     assert numbers(run_cycle(work, [job(people(spark, (1, "A2"), (2, "B")))], out), "changes") == [(0,), (0,)]
 
 
@@ -276,23 +283,134 @@ def test_slot_table_reads_only_committed_slots(spark, folder):
     assert sorted(r["v"] for r in table.read().collect()) == [2, 10, 30]
     pruned = table.read(lambda s: s["slot"] == 2)
     assert len(pruned.inputFiles()) == 1
-    assert len(table.stale_folders()) == 1
+    # one folder was replaced, one never committed
+    assert len(table.stale_folders()) == 2 and table.vacuum() == 2
+    assert table.stale_folders() == []
+    assert sorted(r["v"] for r in SlotTable(spark, f"{folder}/t", schema, ["slot"]).read().collect()) == [2, 10, 30]
+
+
+def test_log_is_read_from_its_last_block(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "BLOCK", 3)
+    schema = T.StructType.fromDDL("v int, slot int")
+    for k in range(8):
+        SlotTable(spark, f"{folder}/t", schema, ["slot"]).append(spark.createDataFrame([(k, k % 2)], schema))
+    table = SlotTable(spark, f"{folder}/t", schema, ["slot"])
+    assert table._blocks() == [0, 1, 2] and table.version() == 8
+    assert sorted(r["v"] for r in table.read().collect()) == list(range(8))
+    assert table.vacuum() == 0 and table._blocks() == [2]
+    assert SlotTable(spark, f"{folder}/t", schema, ["slot"]).read().count() == 8
+
+
+def written_rows(spark, before, after):
+    new = sorted(set(after) - set(before))
+    return spark.read.parquet(*new).count() if new else 0
 
 
-def test_upsert_rewrites_only_touched_buckets(spark, folder):
+def test_writes_follow_the_change(spark, place):
+    work, folder = place
+    out = [Destination("d", f"{folder}/d")]
+    many = spark.range(50_000).selectExpr("cast(id as int) id", "concat('n', id) name")
+    run_cycle(work, [job(many)], out)
+    table = lambda: UpsertTable(spark, f"{folder}/d/staff", many.schema, ["id"])
+    before = table().slots.read().inputFiles()
+    changed = many.withColumn("name", F.when(F.col("id") % 500 == 0, "new").otherwise(F.col("name")))
+    assert numbers(run_cycle(work, [job(changed)], out), "changes", "inserted", "updated", "errors") == [(100, 0, 100, 0)]
+    # the new versions, and a mark for each old one
+    assert written_rows(spark, before, table().slots.read().inputFiles()) == 200
+    assert table().read().where("name = 'new'").count() == 100 and table().read().count() == 50_000
+
+
+def test_layout_grows_from_a_small_first_load(spark, folder):
     schema = T.StructType.fromDDL("id bigint, v bigint")
-    table = UpsertTable(spark, f"{folder}/t", schema, ["id"], buckets=32)
-    table.store(spark.range(2000).selectExpr("id", "id as v"))
-    before = set(table.read().inputFiles())
-    changed = spark.createDataFrame([(5, -5)], schema)
-    buckets = table.touched(changed)
-    assert len(buckets) == 1
-    current = table.rows_in(buckets)
-    table.store(sync.merge_upsert(current, changed, ["id"]))
-    after = set(table.read().inputFiles())
-    assert len(before - after) == 1 and len(after - before) == 1
-    assert table.read().count() == 2000 and table.read().where("id = 5").first()["v"] == -5
-    assert UpsertTable(spark, f"{folder}/t", schema, ["id"], buckets=7).buckets == 32
+    table = lambda: UpsertTable(spark, f"{folder}/t", schema, ["id"], rows=10, rows_per_bucket=50)
+    first = table()
+    first.store(spark.range(10).selectExpr("id", "id as v"), count=10)
+    assert first.buckets == 1
+    sizes = []
+    for start, stop in ((10, 40), (40, 400), (400, 1000)):
+        own = table()
+        new = spark.range(start, stop).selectExpr("id", "id as v")
+        own.add(new, new.limit(0), own.touched(new), stop - start)
+        own.compact()
+        sizes.append(table().buckets)
+    assert sizes[0] == 1 and sizes[1] >= 8 and sizes[2] > sizes[1]
+    assert sorted(r["id"] for r in table().read().collect()) == list(range(1000))
+    assert table().vacuum() >= 3 and table().read().count() == 1000
+
+
+def test_upsert_updates_every_row_of_a_key(spark, place):
+    work, folder = place
+    schema = T.StructType.fromDDL("id int, name string, note string")
+    destination = Destination("d", f"{folder}/d", schemas={"staff": schema}, defaults={"note": F.lit("none")})
+    table = UpsertTable(spark, f"{folder}/d/staff", schema, ["id"], buckets=4)
+    table.store(spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "c", "z")], schema))
+    assert numbers(run_cycle(work, [job(people(spark, (1, "N"), (3, "M")))], [destination]), "inserted", "updated") == [(1, 1)]
+    expected = [(1, "N", "x"), (1, "N", "y"), (2, "c", "z"), (3, "M", "none")]
+    assert target(spark, f"{folder}/d", ddl="id int, name string, note string") == expected
+    # the same again, over marked rows
+    assert numbers(run_cycle(work, [job(people(spark, (1, "N2"), (3, "M")))], [destination]), "inserted", "updated") == [(0, 1)]
+    expected[:2] = [(1, "N2", "x"), (1, "N2", "y")]
+    assert target(spark, f"{folder}/d", ddl="id int, name string, note string") == expected
+
+
+def test_columns_spelled_in_another_case(spark, place):
+    work, folder = place
+    out = [Destination("d", f"{folder}/d")]
+    run_cycle(work, [job(people(spark, (1, "A"), (2, "B")))], out)
+    again = spark.createDataFrame([(1, "A2"), (3, "C")], "ID int, NAME string")
+    assert numbers(run_cycle(work, [job(again)], out), "inserted", "updated", "errors") == [(1, 1, 0)]
+    assert target(spark, f"{folder}/d") == [(1, "A2"), (2, "B"), (3, "C")]
+
+
+def test_source_columns_may_be_called_like_bookkeeping(spark, place):
+    work, folder = place
+    ddl = "key_hash int, data_hash string, change_kind string, stream_id string, destination_id string, copies int, row string"
+    out = [Destination("d", f"{folder}/d"), Destination("h", f"{folder}/h", mode="history")]
+    rows = [(1, "a", "b", "c", "e", 7, "r"), (2, None, None, None, None, None, None)]
+    metrics = run_cycle(work, [job(spark.createDataFrame(rows, ddl), keys=["key_hash"])], out)
+    assert numbers(metrics, "inserted", "errors") == [(2, 0), (2, 0)]
+    schema = T.StructType.fromDDL(ddl)
+    held = UpsertTable(spark, f"{folder}/d/staff", schema, ["key_hash"]).read()
+    assert sorted(map(tuple, held.collect())) == rows
+    assert sorted(map(tuple, read_history(spark, f"{folder}/h/staff", schema).drop("batch_id").collect())) == rows
+
+
+def test_history_survives_a_new_workspace(spark, folder):
+    out = [Destination("d", f"{folder}/d", mode="history")]
+    run_cycle(Workspace(spark, f"{folder}/one", clock=Clock()), [job(people(spark, (1, "A"), (2, "B")))], out)
+    run_cycle(Workspace(spark, f"{folder}/two", clock=Clock()), [job(people(spark, (3, "C")))], out)
+    assert history(spark, folder) == [(1, "A"), (2, "B"), (3, "C")]
+
+
+def test_history_keeps_values_that_come_back(spark, place):
+    work, folder = place
+    out = [Destination("d", f"{folder}/d", mode="history")]
+    for name in ("A", "B", "A", "A"):
+        run_cycle(work, [job(people(spark, (1, name)))], out)
+    assert history(spark, folder) == [(1, "A"), (1, "A"), (1, "B")]
+
+
+def test_a_failing_destination_does_not_stop_compaction_of_others(spark, folder):
+    work = Workspace(spark, f"{folder}/work", clock=Clock(), threshold=1000, max_depth=3)
+
+    def down(changes, table, keys):
+        raise OSError("down")
+
+    for k in range(8):
+        run_cycle(work, [job(people(spark, (1, f"v{k}")))], [Destination("bad", deliver=down), Destination("good", deliver=memory([]))])
+    assert work.state.slots.depth() <= 4
+
+
+def test_audit_flags_are_a_choice_and_old_days_can_go(spark, folder):
+    work = Workspace(spark, f"{folder}/work", flags=False)
+    run_cycle(work, [job(people(spark, (1, "A")))], [Destination("d", deliver=memory([]))])
+    assert work.audit().count() == 0
+    days = iter([dt.datetime(2026, 1, 1, 5), dt.datetime(2026, 3, 1, 5), dt.datetime(2026, 3, 1, 6)])
+    work = Workspace(spark, f"{folder}/other", clock=lambda: next(days))
+    for name in "AB":
+        run_cycle(work, [job(people(spark, (1, name)))], [Destination("d", deliver=memory([]))])
+    assert work.prune_audit() == [dt.date(2026, 1, 1)]
+    assert [p.split("=")[1] for p in subfolders(spark, f"{folder}/other/audit")] == ["2026-03-01"]
 
 
 def test_configuration_errors(spark):

@@ -111,7 +111,10 @@ def stream_id(job: str, table: str, keys: Sequence[str]) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()[:32]
 
 
-def batch_id(stream: str, destination: str, version: int) -> str:
-    """Name of the delivery that starts from state ``version``; a retry reuses it."""
-    text = _packed(stream, destination, str(version))
+def batch_id(stream: str, destination: str, version: int, lineage: str = "") -> str:
+    """Name of the delivery that starts from state ``version``; a retry reuses it.
+
+    ``lineage`` tells states apart that count from zero again.
+    """
+    text = _packed(stream, destination, str(version), lineage)
     return hashlib.sha256(text.encode("utf-8")).hexdigest()[:32]

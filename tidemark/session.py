@@ -39,3 +39,28 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the file system that ``path`` names."""
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens if there is none."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, none if it does not exist."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(place) if status.isDirectory()]

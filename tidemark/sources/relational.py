@@ -8,12 +8,16 @@ of one or two statements per row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators.quality import assert_absent, canonical_keys
+from tidemark.functions.names import plain_name
+from tidemark.model import Destination
+from tidemark.operators.quality import ConformanceError, assert_absent, canonical_keys
 
 
 @dataclass(frozen=True)
@@ -89,6 +93,18 @@ def quoted(name: str, dialect: str) -> str:
     return opening + name.replace(closing, closing * 2) + closing
 
 
+def table_parts(name: str) -> list[str]:
+    """One to three parts of a table name, without the quotes they may come in."""
+    parts = plain_name(name).split(".")
+    if not parts[0] or len(parts) > 3:
+        raise ConformanceError(f"{name!r} is not a table name of one to three parts")
+    return parts
+
+
+def quoted_table(name: str, dialect: str) -> str:
+    return ".".join(quoted(part, dialect) for part in table_parts(name))
+
+
 def upsert_statements(
     dialect: str, table: str, staging: str, columns: Sequence[str], keys: Sequence[str]
 ) -> list[str]:
@@ -98,8 +114,7 @@ def upsert_statements(
     updated; with key columns only there is nothing to set.
     """
     q = lambda name: quoted(name, dialect)
-    dotted = lambda name: ".".join(q(part) for part in name.split("."))
-    target, source = dotted(table), dotted(staging)
+    target, source = quoted_table(table, dialect), quoted_table(staging, dialect)
     same = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
     rest = [c for c in columns if c not in keys]
     statements = []
@@ -122,27 +137,54 @@ def upsert_statements(
     return statements
 
 
+Transaction = Callable[[Sequence[str]], Sequence[int]]
+
+
+def _stage(changes: DataFrame, connection: Connection, staging: str, batch_size: int) -> None:
+    # the writer gets the name as the statements have it, else servers fold its case differently
+    name = quoted_table(staging, dialect_of(connection.url))
+    options = {"url": connection.url, "dbtable": name, "batchsize": str(batch_size), **connection.options}
+    changes.write.format("jdbc").options(**options).mode("overwrite").save()
+
+
 def jdbc_merge(
     changes: DataFrame,
     connection: Connection,
     table: str,
     staging: str,
     keys: Sequence[str],
-    run_in_transaction: Callable[[Sequence[str]], None],
+    run_in_transaction: Transaction,
     auto_id: str | None = None,
     batch_size: int = 250,
-) -> None:
+) -> tuple[int, int]:
     """Stage ``changes`` in parallel, then apply them on the server in one transaction.
 
     ``run_in_transaction`` executes statements with whatever client the caller
-    uses for that server. Running it twice gives the same table, so a retry
-    after a lost executor or driver is safe.
+    uses for that server and returns the rows each affected. Running it twice gives
+    the same table, so a retry after a lost executor or driver is safe. Returns
+    inserted and updated change rows; a change counts once however many rows it updates.
     """
     assert_absent(changes, auto_id)
     keys = canonical_keys(changes, keys)
     statements = upsert_statements(dialect_of(connection.url), table, staging, changes.columns, keys)
-    _writer(changes, connection, staging, batch_size).mode("overwrite").save()
-    run_in_transaction(statements)
+    count = changes.count()
+    _stage(changes, connection, staging, batch_size)
+    inserted = list(run_in_transaction(statements))[-1]
+    return inserted, count - inserted
+
+
+def append_statements(
+    dialect: str, table: str, staging: str, columns: Sequence[str], batch_column: str | None, batch: str | None
+) -> list[str]:
+    """Insert all staged rows; with a batch column, what an earlier try of the batch left is deleted first."""
+    names = ", ".join(quoted(c, dialect) for c in columns)
+    target, source = quoted_table(table, dialect), quoted_table(staging, dialect)
+    insert = f"INSERT INTO {target} ({names}) SELECT {names} FROM {source}"
+    if batch_column is None:
+        return [insert]
+    if not re.fullmatch(r"[0-9A-Za-z-]+", batch or ""):
+        raise ConformanceError(f"{batch!r} is not the name of a batch")
+    return [f"DELETE FROM {target} WHERE {quoted(batch_column, dialect)} = '{batch}'", insert]
 
 
 def jdbc_append(
@@ -150,19 +192,47 @@ def jdbc_append(
     connection: Connection,
     table: str,
     staging: str,
-    run_in_transaction: Callable[[Sequence[str]], None],
+    run_in_transaction: Transaction,
     auto_id: str | None = None,
     batch_size: int = 250,
-) -> None:
-    """History delivery: every staged version becomes a new row of ``table``."""
+    batch_column: str | None = None,
+    batch: str | None = None,
+) -> tuple[int, int]:
+    """History delivery: every staged version becomes a new row of ``table``.
+
+    With ``batch_column`` the rows carry the name of their batch, and delivering
+    a batch again replaces it; without, a retry after a crash repeats its rows.
+    """
     assert_absent(changes, auto_id)
-    dialect = dialect_of(connection.url)
-    names = ", ".join(quoted(c, dialect) for c in changes.columns)
-    target, source = (".".join(quoted(p, dialect) for p in t.split(".")) for t in (table, staging))
-    _writer(changes, connection, staging, batch_size).mode("overwrite").save()
-    run_in_transaction([f"INSERT INTO {target} ({names}) SELECT {names} FROM {source}"])
+    if batch_column is not None:
+        assert_absent(changes, batch_column)
+        changes = changes.withColumn(batch_column, F.lit(batch))
+    statements = append_statements(dialect_of(connection.url), table, staging, changes.columns, batch_column, batch)
+    _stage(changes, connection, staging, batch_size)
+    return list(run_in_transaction(statements))[-1], 0
+
+
+def jdbc_destination(
+    id: str,
+    connection: Connection,
+    staging: str,
+    run_in_transaction: Transaction,
+    mode: str = "upsert",
+    table_override: str | None = None,
+    auto_id: str | None = None,
+    batch_size: int = 250,
+    batch_column: str | None = None,
+) -> Destination:
+    """A destination of the sync cycle whose changes go to a table of a database."""
+    if mode == "history":
+
+        def deliver(changes: DataFrame, table: str, keys: Sequence[str], batch: str) -> tuple[int, int]:
+            canonical_keys(changes, keys)
+            return jdbc_append(changes, connection, table, staging, run_in_transaction, auto_id, batch_size, batch_column, batch)
+
+    else:
 
+        def deliver(changes: DataFrame, table: str, keys: Sequence[str]) -> tuple[int, int]:
+            return jdbc_merge(changes, connection, table, staging, keys, run_in_transaction, auto_id, batch_size)
 
-def _writer(df: DataFrame, connection: Connection, table: str, batch_size: int):
-    options = {"url": connection.url, "dbtable": table, "batchsize": str(batch_size), **connection.options}
-    return df.write.format("jdbc").options(**options)
+    return Destination(id, mode=mode, table_override=table_override, deliver=deliver, batched=mode == "history")

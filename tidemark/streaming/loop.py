@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.fingerprint import stream_id
 from tidemark.model import Destination, SyncJob, check_destinations
 from tidemark.operators.latest import keep_latest, newest_first
-from tidemark.plans.sync import RUN_METRICS, Workspace, run_job
+from tidemark.plans.sync import Workspace, blank_metrics, run_job
+from tidemark.session import remove_path
+from tidemark.sources.tables import read_or_empty
 
 BatchFunction = Callable[[DataFrame, int], None]
 
+COUNTS = ("changes", "inserted", "updated", "errors")
+PROGRESS = T.StructType([T.StructField("destination", T.StringType()), T.StructField("done", T.IntegerType())])
+
 
 class DeliveryPaused(RuntimeError):
     """The failure latch is on; clear it to resume."""
 
 
+class DeliveryFailed(RuntimeError):
+    """An epoch did not reach every destination; it is tried again when the query restarts."""
+
+
 def guarded(batch_fn: BatchFunction, latched: Callable[[], bool]) -> BatchFunction:
     """Raise before anything is written while ``latched``; the checkpoint then stays put."""
 
@@ -29,26 +41,84 @@ def guarded(batch_fn: BatchFunction, latched: Callable[[], bool]) -> BatchFuncti
     return run
 
 
+def snapshots_of(df: DataFrame, keys: Sequence[str], order: str, versions: bool) -> Iterator[DataFrame]:
+    """The snapshots that a micro-batch holds: rows with the same ``order``, oldest first.
+
+    Without ``versions`` one snapshot of the newest rows stands for all: deletes are never
+    sent, so for a target that keeps one version a part is as good as a whole.
+    A key that repeats within one ``order`` stays repeated, and the check of keys finds it.
+    """
+    if versions:
+        # as many values as snapshots arrived since the last epoch
+        for value in df.select(order).distinct().orderBy(F.col(order).asc_nulls_first()).collect():
+            yield df.where(F.col(order).eqNullSafe(F.lit(value[0]))).drop(order)
+    else:
+        newest = keep_latest(df.select(*keys, order).distinct(), list(keys), newest_first(order))
+        newest = newest.select(*[F.col(k).alias(f"_on_{i}") for i, k in enumerate(keys)], F.col(order).alias("_newest"))
+        same = [F.col(k).eqNullSafe(F.col(f"_on_{i}")) for i, k in enumerate(keys)]
+        yield df.join(newest, [*same, F.col(order).eqNullSafe(F.col("_newest"))], "left_semi").drop(order)
+
+
 def sync_batches(
     workspace: Workspace, job: SyncJob, destinations: Sequence[Destination], order: str, scope: str
 ) -> BatchFunction:
-    """foreachBatch body: the newest row of each key in the batch is a snapshot.
+    """foreachBatch body: every snapshot in the micro-batch is synced, then the epoch ends well or raises.
 
-    A micro-batch may hold part of a snapshot or several of them. Deletes are
-    never sent, so a part is as good as a whole; among several the row with the
-    highest ``order`` counts. ``order`` itself is not delivered.
+    History destinations get every version, so with one of them the snapshots
+    are synced one after the other. ``order`` itself is not delivered. A delivery that
+    failed or was left out because the latch tripped raises after all is recorded: the
+    checkpoint stays, and the replay sends only what the state does not know.
     """
+    versions = any(d.mode == "history" for d in destinations)
+    name = stream_id(job.name, "epoch", [])
 
     def run(df: DataFrame, epoch: int) -> None:
-        snapshot = keep_latest(df, list(job.keys), newest_first(order)).drop(order)
-        metrics = run_job(workspace, job, destinations, f"epoch-{epoch}", snapshot, scope)
-        if metrics:
-            frame = workspace.spark.createDataFrame(metrics, RUN_METRICS)
-            frame.write.mode("append").parquet(f"{workspace.root}/run_metrics")
+        spark, cycle, run_name = workspace.spark, f"epoch-{epoch}", f"{name}-{epoch}"
+        before = workspace.metrics_of(run_name)
+        progress = f"{workspace.root}/epochs/{run_name}"
+        done = {r["destination"]: r["done"] for r in read_or_empty(spark, progress, PROGRESS).collect()}
+        metrics: list[dict] = []
+        complete = True
+        try:
+            for k, snapshot in enumerate(snapshots_of(df, job.keys, order, versions)):
+                # a replay must not send an older version again to a destination that has a newer one
+                waiting = [d for d in destinations if done.get(d.id, 0) <= k]
+                if not waiting:
+                    continue
+                found = run_job(workspace, job, waiting, cycle, snapshot, scope)
+                metrics += found
+                reached = {m["destination"] for m in found if not m["errors"]}
+                done.update(dict.fromkeys(reached, k + 1))
+                if versions:
+                    rows = spark.createDataFrame(list(done.items()), PROGRESS)
+                    rows.coalesce(1).write.mode("overwrite").parquet(progress)
+                if reached != {d.id for d in waiting}:
+                    complete = False
+                    break
+        except Exception as error:
+            complete = False
+            workspace.failures.record(scope, workspace.clock(), job.name, None, str(error))
+            metrics.append(blank_metrics(cycle, job.name, errors=1))
+        workspace.store_metrics(summed(before, metrics), run_name)
+        if not complete:
+            failed = [m["destination"] for m in metrics if m["errors"]]
+            raise DeliveryFailed(f"epoch {epoch} of job {job.name!r} did not reach all destinations; failed: {failed}")
+        remove_path(spark, progress)
 
     return run
 
 
+def summed(before: list[dict], now: list[dict]) -> list[dict]:
+    """Metrics of an epoch over its tries: rows that arrived add up, errors are those of the last try."""
+    total: dict = {}
+    for m in [{**m, "errors": 0} for m in before if m["destination"] is not None] + now:
+        held = total.setdefault(m["destination"], {**m, **dict.fromkeys(COUNTS, 0), "rows_read": 0})
+        held["rows_read"] = max(held["rows_read"], m["rows_read"])
+        for count in COUNTS if not m["errors"] else ("errors",):
+            held[count] += m[count]
+    return list(total.values())
+
+
 def stream_sync(
     snapshots: DataFrame,
     workspace: Workspace,

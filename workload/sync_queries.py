@@ -21,13 +21,16 @@ from tidemark.operators.latest import keep_latest, newest_first
 from tidemark.operators.merge import apply_counts, exists_in, match_target, merge_upsert
 from tidemark.plans.sync import Workspace, run_cycle
 from tidemark.session import shared_folder
+from tidemark.sources.failure_log import FailureLog
 from tidemark.sources.tables import UpsertTable, read_history
+from tidemark.streaming.failure_state import failure_state
+from tidemark.streaming.loop import stream_sync
 from workload.registry import fingerprint_sql, query, table
 from workload.report_queries import LINE_KEYS, LINE_ORDER
 
 COLUMNS = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity", "l_returnflag"]
 DECIMALS = {"l_quantity": (12, 2)}
-EARLIER, LATER, OLDEST = "l_shipdate < '2000-01-01'", "l_shipdate >= '1996-01-01'", "l_shipdate < '1998-01-01'"
+EARLIER, LATER = "l_shipdate < '2000-01-01'", "l_shipdate >= '1996-01-01'"
 
 STREAM = stream_id("lines", "erp_lines", LINE_KEYS)
 ARCHIVE_STREAM = stream_id("lines", "archive_lines", LINE_KEYS)
@@ -92,14 +95,14 @@ STREAMS = {"erp": STREAM, "archive": ARCHIVE_STREAM, "mirror": STREAM}
 
 def fanout(spark, sf):
     state = state_of(snapshot(spark, sf, EARLIER), STREAM, "erp").unionByName(
-        state_of(snapshot(spark, sf, OLDEST), ARCHIVE_STREAM, "archive")
+        state_of(snapshot(spark, sf, EARLIER), ARCHIVE_STREAM, "archive")
     )
     return classify_all(hashed(snapshot(spark, sf, LATER)), state, STREAMS)
 
 
 FANOUT_SQL = f"""
     erp AS ({_snapshot_sql(EARLIER)}),
-    archive AS ({_snapshot_sql(OLDEST)}),
+    archive AS ({_snapshot_sql(EARLIER)}),
     later AS ({_snapshot_sql(LATER)}),
     known AS (SELECT 'erp' AS destination_id, * FROM erp UNION ALL SELECT 'archive', * FROM archive),
     destinations(destination_id, stream_id) AS (VALUES ('erp', '{STREAM}'), ('archive', '{ARCHIVE_STREAM}'), ('mirror', '{STREAM}')),
@@ -166,23 +169,22 @@ def merge_upsert_query(spark, sf):
     return merge_upsert(target, changes, LINE_KEYS, {"note": F.lit("default")})
 
 
-# The target already holds keys the state has never heard of, and lacks others.
-MATCH_SQL = f"""
-    WITH {CHANGES_SQL}, held AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity < 25)
-    SELECT c.l_orderkey, c.l_linenumber, c.change_kind,
-           CASE WHEN h.l_orderkey IS NULL THEN 'insert' ELSE 'update' END AS apply_action
-    FROM changes c LEFT JOIN held h ON h.l_orderkey = c.l_orderkey AND h.l_linenumber = c.l_linenumber
+# A change for every part; the target holds the lines of the suppliers, whose numbers end before those of the parts.
+MATCH_SQL = """
+    SELECT p_partkey AS number, p_size,
+           CASE WHEN p_partkey IN (SELECT l_suppkey FROM lineitem) THEN 'update' ELSE 'insert' END AS apply_action
+    FROM part
 """
 
 
 def _matched(spark, sf):
-    held = table(spark, sf, "lineitem").where("l_quantity < 25")
-    return match_target(line_changes(spark, sf).select(*LINE_KEYS, "change_kind"), held, LINE_KEYS)
+    changes = table(spark, sf, "part").select(F.col("p_partkey").alias("number"), "p_size")
+    return changes, table(spark, sf, "lineitem").withColumnRenamed("l_suppkey", "number")
 
 
 @query("match_target", MATCH_SQL)
 def match_target_query(spark, sf):
-    return _matched(spark, sf)
+    return match_target(*_matched(spark, sf), ["number"])
 
 
 @query(
@@ -193,16 +195,30 @@ def match_target_query(spark, sf):
     """,
 )
 def apply_counts_query(spark, sf):
-    return apply_counts(_matched(spark, sf))
+    return apply_counts(match_target(*_matched(spark, sf), ["number"]))
+
+
+@query("exists_in", f"SELECT number, p_size FROM ({MATCH_SQL}) WHERE apply_action = 'update'")
+def exists_in_query(spark, sf):
+    return exists_in(*_matched(spark, sf), ["number"])
 
 
 @query(
-    "exists_in",
-    f"SELECT l_orderkey, l_linenumber, change_kind FROM ({MATCH_SQL}) WHERE apply_action = 'update'",
+    "merge_mixed_case",
+    """
+    SELECT s_suppkey, coalesce(c_name, s_name) AS s_name, s_nationkey, coalesce(c_acctbal, s_acctbal) AS s_acctbal
+    FROM supplier LEFT JOIN customer ON c_custkey = s_suppkey
+    UNION ALL
+    SELECT c_custkey, c_name, NULL, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
+    """,
 )
-def exists_in_query(spark, sf):
-    held = table(spark, sf, "lineitem").where("l_quantity < 25")
-    return exists_in(line_changes(spark, sf).select(*LINE_KEYS, "change_kind"), held, LINE_KEYS)
+def merge_mixed_case(spark, sf):
+    """Customers as changes to suppliers, with column names in another case."""
+    target = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    changes = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("S_SuppKey"), F.col("c_name").alias("S_NAME"), F.col("c_acctbal").alias("s_AcctBal")
+    )
+    return merge_upsert(target, changes, ["S_SUPPKEY"])
 
 
 @query(
@@ -288,7 +304,7 @@ def two_cycles(spark, sf, mode: str):
         metrics = run_cycle(workspace, [job], [destination])
         if any(m["errors"] for m in metrics):
             raise RuntimeError([r.reason for r in workspace.failures.failures().collect()])
-    return f"{root}/erp/erp_lines"
+    return workspace, f"{root}/erp/erp_lines"
 
 
 def _line_schema(spark, sf) -> T.StructType:
@@ -306,7 +322,7 @@ def _line_schema(spark, sf) -> T.StructType:
     """,
 )
 def sync_target(spark, sf):
-    path = two_cycles(spark, sf, "upsert")
+    _, path = two_cycles(spark, sf, "upsert")
     return UpsertTable(spark, path, _line_schema(spark, sf), LINE_KEYS).read()
 
 
@@ -318,8 +334,72 @@ def sync_target(spark, sf):
     """,
 )
 def history_append(spark, sf):
-    path = two_cycles(spark, sf, "history")
+    workspace, path = two_cycles(spark, sf, "history")
     rows = read_history(spark, path, _line_schema(spark, sf))
     # batch ids are hashes; the first delivery is the one made from an empty state
-    first = F.col("batch_id") == batch_id(STREAM, "erp", 0)
+    first = F.col("batch_id") == batch_id(STREAM, "erp", 0, workspace.lineage)
     return rows.withColumn("delivery", F.when(first, "first").otherwise("second")).drop("batch_id")
+
+
+@query(
+    "sync_reserved_names",
+    """
+    SELECT c_custkey AS key_hash, c_name AS data_hash, c_nationkey AS destination_id, c_mktsegment AS change_kind
+    FROM customer
+    """,
+)
+def sync_reserved_names(spark, sf):
+    """Two cycles over a source whose columns are called like the cycle's own; the second changes half of the rows."""
+    root = f"{shared_folder(spark)}/sync-{uuid.uuid4().hex}"
+    workspace = Workspace(spark, f"{root}/workspace")
+    rows = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("key_hash"), F.col("c_name").alias("data_hash"),
+        F.col("c_nationkey").alias("destination_id"), F.col("c_mktsegment").alias("change_kind"),
+    )
+    before = rows.withColumn("data_hash", F.when(F.col("key_hash") % 2 == 0, F.col("data_hash")))
+    for frame in (before, rows):
+        job = SyncJob("customers", lambda _, df=frame: df, "customers", ["KEY_HASH"])
+        metrics = run_cycle(workspace, [job], [Destination("erp", f"{root}/erp")])
+        if any(m["errors"] for m in metrics):
+            raise RuntimeError([r.reason for r in workspace.failures.failures().collect()])
+    return UpsertTable(spark, f"{root}/erp/customers", rows.schema, ["key_hash"]).read()
+
+
+def _stream(spark, sf, name: str):
+    """The files of a table as a stream; the pattern fits a file and a folder of files."""
+    return spark.readStream.schema(table(spark, sf, name).schema).parquet(f"{sf}/{name}.parquet*")
+
+
+@query("stream_sync_target", _snapshot_sql("l_shipdate >= '1900-01-01'"))
+def stream_sync_target(spark, sf):
+    """Line items arriving as a stream; the target ends with the latest row of each."""
+    root = f"{shared_folder(spark)}/sync-{uuid.uuid4().hex}"
+    workspace = Workspace(spark, f"{root}/workspace")
+    lines = _stream(spark, sf, "lineitem").select(*COLUMNS, F.struct(*LINE_ORDER).alias("taken"))
+    job = SyncJob("lines", "arrives as a stream", "erp_lines", LINE_KEYS, decimals=DECIMALS)
+    to = [Destination("erp", f"{root}/erp")]
+    stream_sync(lines, workspace, job, to, "taken", f"{root}/checkpoint", poll=None).awaitTermination()
+    return UpsertTable(spark, f"{root}/erp/erp_lines", _line_schema(spark, sf), LINE_KEYS).read()
+
+
+@query(
+    "stream_failure_latch",
+    """
+    WITH counted AS (
+      SELECT CAST(user_id AS VARCHAR) AS scope, ts, count(*) OVER (PARTITION BY user_id ORDER BY ts
+               RANGE BETWEEN INTERVAL 72 HOURS PRECEDING AND CURRENT ROW) AS in_window
+      FROM events WHERE event_type = 'error')
+    SELECT scope, min(ts) AS tripped_at FROM counted WHERE in_window >= 3 GROUP BY scope
+    """,
+)
+def stream_failure_latch(spark, sf):
+    """Errors arriving as a stream of failures, one scope for each user."""
+    root = f"{shared_folder(spark)}/failures-{uuid.uuid4().hex}"
+    log = FailureLog(spark, f"{root}/log", hours=72, threshold=3)
+    errors = _stream(spark, sf, "events").where("event_type = 'error'")
+    failures = errors.select(
+        F.col("user_id").cast("string").alias("scope"), F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.lit("events").alias("stream"), F.lit(None).cast("string").alias("destination"), F.col("event_type").alias("reason"),
+    )
+    failure_state(failures, log, f"{root}/checkpoint", poll=None).awaitTermination()
+    return log.latches().select("scope", "tripped_at")
