@@ -5,7 +5,7 @@ import pytest
 
 from tidemark.llm.decontaminate import drop_leaks, leaks
 
-DOCS = "doc_id long, text string, item_id string, item string"
+DOCS = "doc_id long, text string, leaking string, id string"
 ITEMS = "item_id long, text string, doc_id int"
 
 

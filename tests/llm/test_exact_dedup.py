@@ -6,7 +6,7 @@ import pytest
 
 from tidemark.llm.exact_dedup import drop_copies, exact_dedup
 
-SCHEMA = "doc_id long, text string, keep_id string, digest int"
+SCHEMA = "doc_id long, text string, id string, digest int"
 ROWS = [
     (5, "a  b", "x", 1), (3, "a\tb", "x", 2), (9, "a b", None, 3), (4, None, "y", 4), (2, "", "y", 5), (7, " ", "z", 6),
     (8, "c", "z", 7), (8, "c", "z", 7), (None, "c", "z", 8), (None, "d", "z", 9), (11, "a b", "z", 1), (12, "long " * 50000, "z", 1),
@@ -39,5 +39,10 @@ def test_empty(spark):
 
 def test_one_row_of_each_group_stays(spark):
     kept = drop_copies(spark.createDataFrame(ROWS, SCHEMA))
-    assert kept.columns == ["doc_id", "text", "keep_id", "digest"]
+    assert kept.columns == ["doc_id", "text", "id", "digest"]
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3, 7, 8, 11, 12]
+
+
+def test_unique_keys(spark):
+    rows = [(k, f"t {k % 7}", "x", 1) for k in range(40)]
+    assert sorted(r.doc_id for r in drop_copies(spark.createDataFrame(rows, SCHEMA)).collect()) == list(range(7))

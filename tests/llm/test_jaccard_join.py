@@ -9,7 +9,7 @@ from tidemark.llm import shingles
 from tidemark.llm.components import components
 from tidemark.llm.jaccard_join import drop_similar, similar_sets
 
-SCHEMA = "doc_id long, text string, n int, node string, component long"
+SCHEMA = "doc_id long, text string, n int, id string, component long"
 
 
 def word_set(text, width):
@@ -73,7 +73,7 @@ def test_empty(spark):
 def test_one_of_each_component_stays(spark):
     rows = [r for r in sample(4, 4, 10) if r[0] is not None]
     kept = drop_similar(spark.createDataFrame(rows, SCHEMA))
-    assert kept.columns == ["doc_id", "text", "n", "node", "component"]
+    assert kept.columns == ["doc_id", "text", "n", "id", "component"]
     assert sorted({r.doc_id for r in kept.collect()}) == sorted({k for k, _, c in brute(rows, 5, 80) if k == c})
 
 

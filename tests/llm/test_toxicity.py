@@ -1,0 +1,88 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm.queries import QUERIES, table
+from tidemark.llm.toxicity import FEATURES, Hits, apply, features, fit, learn_lexicon, toxicity, with_features
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, score string, label int, id string"
+LABELS = "doc_id long, toxic int, text string"
+
+
+def test_features_by_hand():
+    text = "You IDIOT! a moronic thing, id1ot 1d2 ... so it is far away from here idiot"
+    got = dict(zip(FEATURES, features(text, Hits(frozenset({"idiot$", "moron"})))))
+    assert got == {
+        "lexicon_density": 3 / 15, "lexicon_kinds": 2.0, "lexicon_hits": math.log1p(3), "near_second_person": 2 / 15,
+        "second_person": 1 / 15, "capitals": 6 / len(text), "punctuation": 5 / len(text), "exclamations": 1 / len(text),
+        "obfuscated": 1 / 15, "obfuscated_hits": 1 / 15, "length": math.log1p(15),
+    }
+    assert features(None, Hits(frozenset())) == features("", Hits(frozenset())) == [0.0] * len(FEATURES)
+
+
+def test_lexicon_has_words_and_beginnings(spark):
+    rows = [(f"plain words lowei{k}a scum", 1) for k in "bcdfg"] + [("plain words scummy lower", 0)] * 40 + [(None, 1)]
+    found = learn_lexicon(spark.createDataFrame(rows, "text string, label long"), "text", "label")
+    assert {"scum$", "lowei"} <= found
+    assert not {"plain$", "words$", "scu", "low", "lowe", "scum"} & found
+
+
+def sample(n, seed=1):
+    rnd = random.Random(seed)
+    text = lambda bad: " ".join(rnd.choice(["wug", "blick", "dax"] + ["awful"] * (2 * bad)) for _ in range(rnd.randrange(5, 60)))
+    docs = [(k, text(k % 4 == 0), "x", 1, "y") for k in range(n)]
+    return docs, [(k, int(k % 4 == 0), "z") for k in range(n)]
+
+
+def test_edge_cases(spark):
+    docs, labels = sample(200)
+    docs += [(None, "awful awful", "x", 1, "y"), (900, None, "x", 1, "y"), (901, "", "x", 1, "y"), (902, "awful " * 100000, "x", 1, "y"), docs[0], docs[0]]
+    labels += [(None, 1, "z"), (900, None, "z"), (5000, 1, "z"), labels[0]]
+    d, l = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    got = toxicity(d, l, F.col("doc_id") >= 0).collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted((r[0] for r in docs), key=str)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    by = {r.doc_id: r for r in got}
+    assert by[900].score == by[901].score < 0.5 < by[902].score and by[None].score > 0.5
+    assert sum(by[k].predicted == t for k, t, _ in labels[:200]) > 190
+    # nothing to learn from, or one label only, gives one score for all
+    for some, expected in ((l.limit(0), 0.0), (l.where("toxic = 1"), 1.0)):
+        assert {r.score for r in toxicity(d, some, F.lit(True)).collect()} == {expected}
+    assert toxicity(d.limit(0), l, F.lit(True)).collect() == []
+
+
+def test_labels_that_may_not_be_learned_do_not_matter(spark):
+    docs, labels = sample(120)
+    turned = [(k, t if k % 2 else 1 - t, x) for k, t, x in labels]
+    d = spark.createDataFrame(docs, DOCS)
+    scores = [
+        sorted((r.doc_id, r.score) for r in toxicity(d, spark.createDataFrame(own, LABELS), F.col("doc_id") % 2 == 1).collect()) for own in (labels, turned)
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_calibration_rises_with_the_trees(spark):
+    docs, labels = sample(300, 3)
+    rows = spark.createDataFrame([(k, t, y) for (k, t, *_), (_, y, _) in zip(docs, labels)], "id long, text string, label long")
+    made = with_features(rows, "text", frozenset({"awful$"}))
+    scored = apply(made, fit(made)).select("chance", "score").collect()
+    pairs = sorted((r.chance, r.score) for r in scored)
+    assert all(a[1] <= b[1] for a, b in zip(pairs, pairs[1:]))
+
+
+@pytest.fixture(scope="module")
+def held_out(spark):
+    got = QUERIES["op1_toxicity"](spark, SF)
+    return got.join(table(spark, SF, "labels"), "doc_id").where("held_out").select("score", "toxic", "predicted").collect()
+
+
+def test_held_out_accuracy(held_out):
+    good, bad = [r.score for r in held_out if not r.toxic], [r.score for r in held_out if r.toxic]
+    area = sum((b > g) + (b == g) / 2 for b in bad for g in good) / (len(bad) * len(good))
+    assert area > 0.85
+    caught = sum(r.predicted for r in held_out if r.toxic) / len(bad)
+    alarms = sum(r.predicted for r in held_out if not r.toxic) / len(good)
+    assert caught > 0.7 and alarms < 0.02

@@ -87,9 +87,9 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc
         of_width = probes.where(F.col("width") == n).select("item", "least", "minimum")
         hits = runs.join(small(of_width), "minimum").where("room >= least").select("id", "body", "item")
         found = hits if found is None else found.unionByName(hits)
-    result = [F.col("id").alias(key), item_key, "n_shared", "n_item", "containment"]
+    result = [F.col("id").alias(key), F.col("own").alias(item_key), "n_shared", "n_item", "containment"]
     if found is None:
-        none = docs.limit(0).select(docs[key].alias("id")).crossJoin(items.limit(0).select(items[item_key].alias(item_key)))
+        none = docs.limit(0).select(docs[key].alias("id")).crossJoin(items.limit(0).select(items[item_key].alias("own")))
         numbers = [F.lit(0).cast("long").alias("n_shared"), F.lit(0).cast("long").alias("n_item"), F.lit(0.0).alias("containment")]
         return none.select("*", *numbers).select(result)
     candidates = saved(found.distinct(), "leak-candidates")
@@ -106,13 +106,13 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc
     shared = shared.join(candidates, same(shared, candidates) & (shared.item == candidates.item), "left_semi")
     sizes = parts.groupBy("item").agg(F.count(F.lit(1)).alias("n_item"))
     held = shared.join(sizes, "item").where(F.col("n_shared") >= least("n_item", percent))
-    names = items.select(items[item_key].alias(item_key), F.unhex(F.sha2(F.concat_ws(" ", words(items[item_text])), 256)).alias("item"))
+    names = items.select(items[item_key].alias("own"), F.unhex(F.sha2(F.concat_ws(" ", words(items[item_text])), 256)).alias("item"))
     held = held.join(names.distinct(), "item").withColumn("containment", F.col("n_shared") / F.col("n_item"))
     best = F.max(F.struct("containment", "n_shared", "n_item")).alias("best")
-    return held.groupBy("id", item_key).agg(best).select("id", item_key, "best.*").select(result)
+    return held.groupBy("id", "own").agg(best).select("id", "own", "best.*").select(result)
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **rule) -> DataFrame:
     """The documents that hold no item."""
-    found = saved(leaks(docs, items, text, key, **rule).select(F.col(key).alias("leaking")).distinct(), "leaking")
-    return docs.join(small(found), docs[key].eqNullSafe(F.col("leaking")), "left_anti")
+    found = small(saved(leaks(docs, items, text, key, **rule).select(F.col(key).alias("leaking")).distinct(), "leaking"))
+    return docs.join(found, docs[key].eqNullSafe(found["leaking"]), "left_anti")

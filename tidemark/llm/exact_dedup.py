@@ -77,12 +77,11 @@ def drop_copies(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     Where ``key`` repeats within a group, one of the repeated rows stays.
     """
     verdict = saved(exact_dedup(df, text, key).select(F.col(key).alias("id"), "kept", "text_sha256"), "dedup-verdict")
-    keys = verdict.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    if keys.where("n > 1").isEmpty():
-        gone = saved(verdict.where("not kept").select("id"), "dedup-gone")
-        return df.join(small(gone), df[key].eqNullSafe(F.col("id")), "left_anti")
+    if verdict.groupBy("id").count().where("count > 1").isEmpty():
+        gone = small(saved(verdict.where("not kept").select("id"), "dedup-gone"))
+        return df.join(gone, df[key].eqNullSafe(gone["id"]), "left_anti")
     # keys repeat, so rows are told apart by key and text
-    kept = verdict.where("kept").select("id", "text_sha256").distinct()
-    sha = F.sha2(normalised(F.col(text)), 256)
-    out = df.withColumn("own_sha256", sha).join(kept, F.col(key).eqNullSafe(F.col("id")) & (F.col("own_sha256") == F.col("text_sha256")), "left_semi")
-    return out.dropDuplicates([key, "own_sha256"]).drop("own_sha256")
+    kept = saved(verdict.where("kept").select("id", "text_sha256").distinct(), "dedup-kept")
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[key].alias("id"), F.sha2(normalised(df[text]), 256).alias("text_sha256"))
+    out = rows.join(kept, rows["id"].eqNullSafe(kept["id"]) & (rows["text_sha256"] == kept["text_sha256"]), "left_semi")
+    return out.dropDuplicates(["id", "text_sha256"]).select("row.*")

@@ -234,6 +234,6 @@ def drop_similar(df: DataFrame, text: str = "text", key: str = "doc_id", width:
     """
     verdict = similar_sets(df, text, key, width, percent).select(F.col(key).alias("id"), F.col(key).eqNullSafe(F.col("component_id")).alias("stays"))
     keys = saved(verdict.groupBy("id").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")), "jaccard-keys")
-    gone = saved(keys.where("not stays").select("id"), "jaccard-gone")
-    out = df.join(small(gone), df[key].eqNullSafe(F.col("id")), "left_anti")
+    gone = small(saved(keys.where("not stays").select("id"), "jaccard-gone"))
+    out = df.join(gone, df[key].eqNullSafe(gone["id"]), "left_anti")
     return out if keys.where("stays and n > 1").isEmpty() else out.dropDuplicates([key])
