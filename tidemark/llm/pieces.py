@@ -214,6 +214,12 @@ def encode(df: DataFrame, text: str = "text", key: str = "doc_id", path: str = M
     for the whole text. Null and empty texts have one chunk without ids. Null keys
     are keys like others. Other columns are not looked at. ``path`` is the model's file on every machine.
     """
+    short, long = encode_parts(df, text, key, path, chunk_chars)
+    return short.unionByName(long)
+
+
+def encode_parts(df: DataFrame, text: str = "text", key: str = "doc_id", path: str = MODEL, chunk_chars: int = 65_536) -> tuple[DataFrame, DataFrame]:
+    """``encode``, rows of one chunk and rows of several apart: for readers that treat them differently."""
     if chunk_chars < 256:
         raise ValueError("chunk_chars must be at least 256")
     rows = df.select(df[key].alias("key"), df[text].alias("text"))
@@ -232,7 +238,8 @@ def encode(df: DataFrame, text: str = "text", key: str = "doc_id", path: str = M
                 yield pa.RecordBatch.from_arrays(columns, ["row", "key", "chunk", "n_chunks", "source", "ids"])
 
     short = rows.where(~long).mapInArrow(whole, f"row long, key {kind}, {ENCODED}")
-    return short.unionByName(encode_long(rows.where(long), kind, path, chunk_chars)).withColumnRenamed("key", key)
+    several = encode_long(rows.where(long), kind, path, chunk_chars)
+    return short.withColumnRenamed("key", key), several.withColumnRenamed("key", key)
 
 
 def encode_long(rows: DataFrame, kind: str, path: str, chunk_chars: int) -> DataFrame:
