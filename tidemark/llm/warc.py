@@ -204,7 +204,9 @@ def assemble(records: DataFrame) -> DataFrame:
     ``payload_digest`` what the record says.
     """
     size = F.when(F.col("kind") == "response", F.octet_length(payload_of(F.col("block"))).cast("long"))
-    index = saved(records.select("record_id", "kind", "concurrent_to", size.alias("size")).where("record_id is not null"), "warc-index")
+    own_block = F.when(F.col("kind").isin("request", "metadata"), F.col("block"))
+    index = records.select("record_id", "kind", "concurrent_to", size.alias("size"), own_block.alias("block"))
+    index = saved(index.where("record_id is not null"), "warc-index")  # all but the payloads
     anchors = index.where(F.col("kind").isin("response", "revisit"))
     up = index.where(F.col("kind").isin("request", "metadata")).select("record_id", F.explode("concurrent_to").alias("other"))
     down = anchors.select(F.col("record_id").alias("capture"), F.explode("concurrent_to").alias("record_id"))
@@ -213,7 +215,7 @@ def assemble(records: DataFrame) -> DataFrame:
     over = up.join(direct.withColumnRenamed("record_id", "middle"), F.col("other") == F.col("middle")).select("record_id", "capture")
     links = direct.unionByName(over).distinct()
     main = records.where(F.col("kind").isin("response", "revisit") & F.col("record_id").isNotNull())
-    side = records.where(F.col("kind").isin("request", "metadata") & F.col("record_id").isNotNull())
+    side = index.where(F.col("kind").isin("request", "metadata"))
     owned = side.select("record_id", "kind", "block").join(links, "record_id")
     part = lambda kind: F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.struct("record_id", "block"))))
     parts = owned.groupBy("capture").agg(part("request").alias("requests"), part("metadata").alias("metadata"))
