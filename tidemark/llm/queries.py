@@ -80,6 +80,21 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_jaccard_join"] = op8_jaccard_join
+SQL["op8_jaccard_join"] = r"""
+WITH RECURSIVE split AS (
+       SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+     shingles AS (SELECT DISTINCT doc_id, array_to_string(words[k:k + n - 1], ' ') AS shingle
+                  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS k
+                        FROM (SELECT *, least(4, len(words)) AS n FROM split WHERE len(words) > 0))),
+     sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+     links AS (SELECT a, b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b USING (shingle)
+                                 WHERE a.doc_id <> b.doc_id GROUP BY ALL)
+               JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+     reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reached USING (doc_id) GROUP BY d.doc_id
+"""
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
