@@ -287,10 +287,9 @@ def test_hot_target_key_is_split(spark):
         new = spark.range(0, 500).select("id", F.lit("new").alias("name"))
         merged = merge.merge_upsert(target, new, ["id"])
         assert merged.where("name = 'new'").count() == 20000 + 499 - 166 + 166
-        joined = target.join(new.withColumnRenamed("name", "n"), "id", "left")
-        joined.write.format("noop").mode("overwrite").save()
-        joined.collect()
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        # collecting runs the plan of this frame itself, which then shows what was split
+        assert len(merged.collect()) == merged.count()
+        assert "skew=true" in merged._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
