@@ -110,7 +110,7 @@ def test_column_checks(spark):
     assert quality.canonical_keys(df, ["ID", "Name"]) == ["Id", "name"]
     for bad in (["nope"], []):
         with pytest.raises(quality.ConformanceError):
-            quality.assert_keys_exist(df, bad)
+            quality.canonical_keys(df, bad)
     quality.assert_uniform([df, df.select("name", "Id")])
     with pytest.raises(quality.ConformanceError):
         quality.assert_uniform([df, df.select("name")])

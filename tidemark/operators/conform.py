@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.quality import assert_absent
+from tidemark.operators.quality import assert_absent, assert_uniform
 
 
 def project(df: DataFrame, mapping: Mapping[str, Column | str]) -> DataFrame:
@@ -96,7 +96,8 @@ def origin_column(include: bool, setting: str | None, several_jobs: bool, defaul
 def union_origins(
     frames: Mapping[str, DataFrame], origin_col: str, auto_id: str | None = None
 ) -> DataFrame:
-    """Rows of several origins in one frame; equal ids stay apart by their tag."""
+    """Rows of several origins, with the same columns, in one frame; equal ids stay apart by their tag."""
+    assert_uniform(frames.values())
     tagged = [tag_origin(df, name, origin_col, auto_id) for name, df in frames.items()]
     return reduce(DataFrame.unionByName, tagged)
 

@@ -24,10 +24,6 @@ def canonical_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [spelling[k.lower()] for k in keys]
 
 
-def assert_keys_exist(df: DataFrame, keys: Sequence[str]) -> None:
-    canonical_keys(df, keys)
-
-
 def assert_uniform(frames: Iterable[DataFrame]) -> None:
     """Several extracts for one target must offer the same columns."""
     shapes = [tuple(sorted(c.lower() for c in df.columns)) for df in frames]
