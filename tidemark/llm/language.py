@@ -13,7 +13,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -27,30 +26,52 @@ UNKNOWN = "und"
 CACHE = 200_000  # words scored by n-grams that a task remembers; it then starts afresh
 
 
-@dataclass
+class Frequencies:
+    """Log frequencies per language of words or n-grams: a place for each, and one matrix."""
+
+    def __init__(self, rows: dict[str, np.ndarray], languages: int) -> None:
+        self.place = {text: k for k, text in enumerate(rows)}
+        self.table = np.array(list(rows.values()), float).reshape(len(rows), languages)
+
+    def get(self, text: str) -> np.ndarray | None:
+        k = self.place.get(text)
+        return None if k is None else self.table[k]
+
+
 class LanguageModel:
-    """Log frequencies per language of words and of n-grams by length. Bounded by the parameters of ``fit``."""
+    """What ``fit`` learned; bounded by its parameters. ``grams[n - 1]`` is of n-grams of length n.
 
-    languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: list[dict[str, np.ndarray]]  # grams[n - 1]: of length n
-    floor: np.ndarray
-    cache: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
+    Words scored by n-grams are remembered behind the known ones, ``CACHE`` at most.
+    """
 
-    def word(self, word: str) -> np.ndarray:
-        """The log frequency of a word; by n-grams if it is unknown."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        known = self.cache.get(word)
-        if known is None:
+    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: list[dict[str, np.ndarray]], floor: np.ndarray) -> None:
+        self.languages, self.floor = languages, floor
+        self.words = Frequencies(words, len(languages))
+        self.grams = [Frequencies(g, len(languages)) for g in grams]
+        self.known = len(words)
+        self.cache: dict[str, int] = {}
+
+    def place(self, word: str) -> int:
+        """The row of a word in the table; by n-grams if it is unknown."""
+        k = self.words.place.get(word)
+        if k is None:
+            k = self.cache.get(word)
+        if k is None:
+            if len(self.words.table) == self.known:
+                self.words.table = np.concatenate([self.words.table, np.empty((CACHE, len(self.languages)))])
             if len(self.cache) >= CACHE:
                 self.cache.clear()
+            k = self.cache[word] = self.known + len(self.cache)
             text = f" {word} "
             longest = min(len(self.grams), len(text))
             places = range(len(text) - longest + 1)
-            known = self.cache[word] = sum(self.gram(text[at : at + longest]) for at in places) / len(places)
-        return known
+            self.words.table[k] = sum(self.gram(text[at : at + longest]) for at in places) / len(places)
+        return k
+
+    def word(self, word: str) -> np.ndarray:
+        """The log frequency of a word."""
+        k = self.place(word)  # may put another table in place
+        return self.words.table[k]
 
     def gram(self, gram: str) -> np.ndarray:
         known = self.grams[len(gram) - 1].get(gram)
@@ -60,6 +81,16 @@ class LanguageModel:
             return self.floor
         return (self.gram(gram[:-1]) + self.gram(gram[1:])) / 2
 
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Rows of the words; in parts, so that words of one part do not displace each other from the cache."""
+        parts = []
+        for at in range(0, len(words), CACHE // 2):
+            if len(self.cache) > CACHE // 2:
+                self.cache.clear()
+            places = [self.place(w) for w in words[at : at + CACHE // 2]]
+            parts.append(self.words.table[places])
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """The best language and its share among all, by mean score over the text's words."""
         words = Counter(WORD.findall((text or "").lower()))
@@ -69,7 +100,8 @@ class LanguageModel:
                 words[letters] += n
         if not words or not self.languages:
             return UNKNOWN, 0.0
-        mean = np.array(list(words.values()), float) @ np.array([self.word(w) for w in words]) / words.total()
+        rows = self.scores(list(words))
+        mean = np.array(list(words.values()), float) @ rows / words.total()
         share = np.exp(mean - mean.max())
         best = int(share.argmax())  # of equals, the first by name
         return self.languages[best], float(share[best] / share.sum())
