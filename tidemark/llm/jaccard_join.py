@@ -8,7 +8,8 @@
 3. *Candidates.* Sets with enough in common share one of the first
    ``n - ceil(t n) + 1`` shingles of their order. Where such a shingle is the first
    that two sets share, their places in both orders bound the similarity.
-   Every shingle first links its sets to one hub only. What this joins to a
+   So does a bitmap of each set: two bitmaps differ in no more bits than the sets
+   differ in shingles. Every shingle first links its sets to one hub only. What this joins to a
    component needs no more links among itself, so of the pairs that share a
    shingle only those between different components follow, all of them.
 4. *Counting.* The order is cut into ``fragments`` of equal weight. The overlap of
@@ -32,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import new_folder, removed, saved, small
+from tidemark.llm.common import lean, new_folder, removed, saved, small
 from tidemark.llm.components import components
 from tidemark.llm.shingles import documents
 
-SLOT_BITS = 18  # 2^18 counts: 2 MB on the driver and in each task, whatever the input
+SLOT_BITS = 20  # 2^20 counts: 8 MB on the driver and in each task, whatever the input
 LOW_BITS = 63 - SLOT_BITS
+BITMAP = ["bits0", "bits1", "bits2", "bits3"]  # 64 bits each
 
 
 def slot_counts(rows: DataFrame, width: int) -> np.ndarray:
@@ -48,20 +50,21 @@ def slot_counts(rows: DataFrame, width: int) -> np.ndarray:
         for batch in batches:
             for own in documents(batch.column("text"), width):
                 np.add.at(total, own >> LOW_BITS, 1)
-        slots = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(total[slots], pa.int64())], ["slot", "n"])
+        for slots in np.array_split(np.flatnonzero(total), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(total[slots], pa.int64())], ["slot", "n"])
 
-    found = rows.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    # as Arrow, so that the driver holds 16 bytes for each slot and no object
+    found = rows.select("text").mapInArrow(lean(count), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << SLOT_BITS, np.int64)
-    counts[found["slot"]] = found["n"]
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 
 def order_of(counts: np.ndarray, fragments: int) -> tuple[np.ndarray, np.ndarray]:
     """The rank of each slot in the global order, and the ranks at which fragments begin."""
     by_count = np.argsort(counts, kind="stable")
-    rank = np.empty(len(counts), np.int64)
-    rank[by_count] = np.arange(len(counts))
+    rank = np.empty(len(counts), np.int32)
+    rank[by_count] = np.arange(len(counts), dtype=np.int32)
     weight = np.cumsum(counts[by_count])
     cuts = np.searchsorted(weight, weight[-1] * np.arange(1, fragments) / fragments, side="right")
     return rank, cuts << LOW_BITS
@@ -69,7 +72,7 @@ def order_of(counts: np.ndarray, fragments: int) -> tuple[np.ndarray, np.ndarray
 
 def ranked(own: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Shingles renamed so that their numbers follow the global order, sorted."""
-    return np.sort((rank[own >> LOW_BITS] << LOW_BITS) | (own & ((1 << LOW_BITS) - 1)))
+    return np.sort((rank[own >> LOW_BITS].astype(np.int64) << LOW_BITS) | (own & ((1 << LOW_BITS) - 1)))
 
 
 def lists(values: list[np.ndarray]) -> pa.Array:
@@ -81,22 +84,31 @@ def set_name(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """One bit for each of 256 groups of shingles: whether their number is odd."""
+    odd = np.bincount(tokens & 255, minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signatures(rows: DataFrame, width: int, percent: int, rank) -> DataFrame:
-    """id, n, name (of the set), prefix (the shingles of which a partner must have one)."""
+    """id, n, name (of the set), its bitmap, prefix (the shingles of which a partner must have one)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (ranked(own, rank.value) for own in documents(batch.column("text"), width))
-            n, names, heads = [], [], []
+            n, names, maps, heads = [], [], [], []
             for own in sets:
                 n.append(len(own))
                 names.append(set_name(own))
+                maps.append(bitmap(own))
                 heads.append(own[: len(own) - (percent * len(own) + 99) // 100 + 1].copy())
-            columns = [batch.column("id"), pa.array(n, pa.int32()), pa.array(names, pa.binary()), lists(heads)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "name", "prefix"])
+            columns = [batch.column("id"), pa.array(n, pa.int32()), pa.array(names, pa.binary())]
+            columns += [pa.array([m[k] for m in maps], pa.int64()) for k in range(len(BITMAP))]
+            yield pa.RecordBatch.from_arrays([*columns, lists(heads)], ["id", "n", "name", *BITMAP, "prefix"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"id {kind}, n int, name binary, prefix array<long>")
+    bits = ", ".join(f"{b} long" for b in BITMAP)
+    return rows.mapInArrow(lean(sign), f"id {kind}, n int, name binary, {bits}, prefix array<long>")
 
 
 def segments(rows: DataFrame, width: int, rank, cuts: np.ndarray) -> DataFrame:
@@ -114,7 +126,7 @@ def segments(rows: DataFrame, width: int, rank, cuts: np.ndarray) -> DataFrame:
                         values.append(part)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(parts, pa.int32()), lists(values)], ["name", "fragment", "tokens"])
 
-    return rows.select("text").mapInArrow(cut, "name binary, fragment int, tokens array<long>")
+    return rows.select("text").mapInArrow(lean(cut), "name binary, fragment int, tokens array<long>")
 
 
 def may_link(x: str, y: str, percent: int) -> Column:
@@ -124,6 +136,13 @@ def may_link(x: str, y: str, percent: int) -> Column:
     return 100 * most >= percent * least_union
 
 
+def bitmaps_allow(x: str, y: str, percent: int) -> Column:
+    """Whether sets with these bitmaps can be similar enough: every differing bit takes a shingle that only one set has."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    differing = sum((F.bit_count(F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}"))) for b in BITMAP), F.lit(0))
+    return differing * (100 + percent) <= (n + m) * (100 - percent)
+
+
 def plausible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, an, b, bn) that can be links after counting the overlap where both prefixes reach.
 
@@ -169,7 +188,7 @@ def similar_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width:
     signed = saved(signatures(rows, width, percent, shared_rank), "signatures", folder)
 
     full = signed.where("n > 0")
-    classes = full.groupBy("name", "n").agg(F.min("id").alias("first_id"))
+    classes = full.groupBy("name", "n", *BITMAP).agg(F.min("id").alias("first_id"))
     classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes", folder)
     heads = full.join(classes, (full.name == classes.name) & full.id.eqNullSafe(classes.first_id), "left_semi").select("name", "prefix")
     heads = heads.dropDuplicates(["name"]).join(classes.select("name", "node", "n"), "name").select("node", "n", "prefix")
@@ -198,13 +217,15 @@ def similar_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width:
     found = saved(components(links, folder), "components", folder)
 
     owned = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    owned = owned.join(classes.select("node", *BITMAP), "node")
     tokens = owned.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     mixed = saved(owned.join(tokens, "token", "left_semi"), "mixed", folder)
     sizes = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("sets"))
     main = sizes.groupBy("token").agg(F.max(F.struct("sets", "component")).alias("main")).select("token", F.col("main.component").alias("main"))
-    minor = mixed.join(main, "token").where("component <> main").select("token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("at").alias("aat"), F.col("component").alias("ac"))
-    every = mixed.select("token", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("at").alias("bat"), F.col("component").alias("bc"))
-    pairs = minor.join(every, "token").where(F.col("ac") != F.col("bc")).where(may_link("a", "b", percent))
+    part = lambda df, x: df.select("token", F.col("node").alias(x), *[F.col(c).alias(f"{x}{c}") for c in ("n", "at", "component", *BITMAP)])
+    minor, every = part(mixed.join(main, "token").where("component <> main"), "a"), part(mixed, "b")
+    pairs = minor.join(every, "token").where(F.col("acomponent") != F.col("bcomponent"))
+    pairs = pairs.where(may_link("a", "b", percent)).where(bitmaps_allow("a", "b", percent))
     swap = F.col("a") > F.col("b")
     pairs = pairs.select(*[F.when(swap, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("an", "bn"), ("b", "a"), ("bn", "an"))])
     more = verified(pairs.distinct())
