@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_sample, saved
+from tidemark.llm.common import bounded_sample, lean, saved
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -171,4 +171,4 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", out: tuple
             more = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + more, [*rest, *out])
 
-    return df.mapInArrow(predict, f"{schema}, `{out[0]}` string, `{out[1]}` double")
+    return df.mapInArrow(lean(predict), f"{schema}, `{out[0]}` string, `{out[1]}` double")

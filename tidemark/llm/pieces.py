@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import lean, saved
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: how the library writes a space
@@ -68,7 +68,7 @@ class Pieces:
         """Whether two neighbours stay as they are; an empty left one is the beginning."""
         found = self.known.get((left, right))
         if found is None:
-            if len(self.known) > 500_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
             found = self.known[left, right] = self.merged(left + right) == ([left, right] if left else [right])
         return found
@@ -237,7 +237,7 @@ def encode_parts(df: DataFrame, text: str = "text", key: str = "doc_id", path: s
                 columns = [pa.nulls(n, pa.int64()), part.column("key"), pa.array(np.zeros(n, np.int32)), pa.array(np.ones(n, np.int32)), texts, ids_column(ids)]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "key", "chunk", "n_chunks", "source", "ids"])
 
-    short = rows.where(~long).mapInArrow(whole, f"row long, key {kind}, {ENCODED}")
+    short = rows.where(~long).mapInArrow(lean(whole), f"row long, key {kind}, {ENCODED}")
     several = encode_long(rows.where(long), kind, path, chunk_chars)
     return short.withColumnRenamed("key", key), several.withColumnRenamed("key", key)
 
@@ -286,11 +286,11 @@ def encode_long(rows: DataFrame, kind: str, path: str, chunk_chars: int) -> Data
             yield pa.RecordBatch.from_arrays(columns, ["row", "key", "chunk", "n_chunks", "source", "ids"])
 
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    chunks = saved(numbered.mapInArrow(cut, f"row long, key {kind}, chunk int, n_chunks int, text string, lo int, hi int"), "piece-chunks")
+    chunks = saved(numbered.mapInArrow(lean(cut), f"row long, key {kind}, chunk int, n_chunks int, text string, lo int, hi int"), "piece-chunks")
     chunks = chunks.repartition("row", "chunk")  # a giant document's chunks go to many tasks
-    matrices = chunks.select("row", "chunk", "text", "lo", "hi").mapInArrow(transfer, "row long, chunk int, matrix string")
+    matrices = chunks.select("row", "chunk", "text", "lo", "hi").mapInArrow(lean(transfer), "row long, chunk int, matrix string")
     passed = matrices.groupBy("row").applyInPandas(choose, "row long, chunk int, over_in int, piece_in string, over_out int, piece_out string")
-    return chunks.join(passed, ["row", "chunk"]).mapInArrow(trace, f"row long, key {kind}, {ENCODED}")
+    return chunks.join(passed, ["row", "chunk"]).mapInArrow(lean(trace), f"row long, key {kind}, {ENCODED}")
 
 
 def decode(encoded: DataFrame, path: str = MODEL, out: str = "decoded") -> DataFrame:
@@ -317,4 +317,4 @@ def decode(encoded: DataFrame, path: str = MODEL, out: str = "decoded") -> DataF
                     texts.append(pieces.model.decode([lead, *own] if chunk.as_py() else own))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(texts, pa.string())], [*rest, out])
 
-    return encoded.select(rest).mapInArrow(back, schema)
+    return encoded.select(rest).mapInArrow(lean(back), schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_sample, saved
+from tidemark.llm.common import bounded_sample, lean, saved
 
 # The patterns, with the lengths that matches must reach.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -106,7 +106,7 @@ def train(samples: DataFrame, text: str = "text", label: str = "label") -> Marko
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, before, after, total[kind, before, after])], ["k", "a", "b", "n"])
 
     rows = samples.select(samples[label].cast("int").alias("label"), samples[text].alias("text"))
-    found = rows.mapInArrow(count, "k long, a long, b long, n long").groupBy("k", "a", "b").agg(F.sum("n").alias("n")).collect()
+    found = rows.mapInArrow(lean(count), "k long, a long, b long, n long").groupBy("k", "a", "b").agg(F.sum("n").alias("n")).collect()
     total = np.zeros((2, STATES, STATES), np.int64)
     for r in found:  # at most 2 x 68 x 68 rows
         total[r.k, r.a, r.b] = r.n
@@ -130,7 +130,7 @@ def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
                 labels = pa.array([1] * len(secret) + [0] * len(ordinary), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(secret + ordinary, pa.string()), labels], ["text", "label"])
 
-    return docs.select(docs[text].alias("text")).mapInArrow(label, "text string, label int")
+    return docs.select(docs[text].alias("text")).mapInArrow(lean(label), "text string, label int")
 
 
 def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", rows: int = 10_000) -> MarkovPair:
@@ -167,4 +167,4 @@ def scan(df: DataFrame, models: MarkovPair, text: str = "text", margin: float =
             spans = pa.array([[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in own] for own in found], kind)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + [spans], [*rest, "spans"])
 
-    return df.mapInArrow(find, schema)
+    return df.mapInArrow(lean(find), schema)

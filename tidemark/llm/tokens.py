@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidemark.llm.common import lean
+
 TOKENIZERS = "/opt/tokenizers"
 RANKS = "byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that splits text before the merges of this vocabulary.
@@ -116,4 +118,4 @@ def token_counts(df: DataFrame, text: str = "text", key: str = "doc_id", rule: s
                 [keys, pa.array(table[0], pa.int32()), *(pa.array(x, pa.int64()) for x in table[1:])], ["key", "section", "start", "end", "n_tokens", "n_crossing"]
             )
 
-    return rows.mapInArrow(count, f"key {kind}, {COUNTS}").withColumnRenamed("key", key)
+    return rows.mapInArrow(lean(count), f"key {kind}, {COUNTS}").withColumnRenamed("key", key)

@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_sample, remainder, saved
+from tidemark.llm.common import bounded_sample, lean, remainder, saved
 
 # Second-person words of English, German, French and Spanish, and letters that signs stand for.
 SECOND_PERSON = frozenset(
@@ -112,7 +112,7 @@ def with_features(df: DataFrame, text: str, lexicon: frozenset[str]) -> DataFram
             columns = [pa.array([r[k] for r in rows], pa.float64()) for k in range(len(FEATURES))]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + columns, [*rest, *FEATURES])
 
-    return df.mapInArrow(make, schema)
+    return df.mapInArrow(lean(make), schema)
 
 
 def vectors(df: DataFrame) -> DataFrame:
