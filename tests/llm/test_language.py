@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import remainder
-from tidemark.llm.language import LanguageModel, fit, identify, learn
+from tidemark.llm.language import LanguageModel, fit, identify, learn, level
 from tidemark.llm.queries import QUERIES, table
 
 SF = "/root/testdata/sf0.01"
@@ -47,6 +47,30 @@ def test_edge_cases(spark):
     assert {r.lang_pred for r in identify(df, fit(none)).collect()} == {"und"}
 
 
+def test_no_word_or_language_is_cut(spark):
+    letters = "abcdefghij"
+    word = lambda k: "".join(letters[int(d)] for d in f"{k:06d}")
+    rows = [(k, " ".join(2 * [word(j) for j in range(1000 * k, 1000 * k + 1000)]), "aa") for k in range(110)] + [(200, "zuv zuv zux", "zz")]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["aa", "zz"]
+    assert model.known == 110_001 and set(model.words.place) == {word(k) for k in range(110_000)} | {"zuv"}
+    assert np.allclose(model.word("zuv"), np.log([0.5 / (220_000 + 0.5 * 110_002), 2.5 / (3 + 0.5 * 110_002)]))
+    assert {" zu", "zuv", "zux", "uv ", "ux "} <= set(model.grams[2].place)
+    assert np.allclose(model.gram(" zu")[1], math.log(3.5 / (9 + 0.5 * len(model.grams[2].place))))
+    assert model.predict("zuv zux")[0] == "zz" and model.predict(word(7))[0] == "aa"
+
+
+def test_sample_per_language(spark):
+    assert [level(c, 10) for c in ([], [3], [4, 5], [100, 2], [100, 2, 50], [1] * 20)] == [1, 3, 5, 8, 4, 1]
+    rows = [(k, "the of not", "en") for k in range(1000)] + [(2000 + k, "der und nicht", "de") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = learn(df, rows=20)
+    assert model.languages == ["de", "en"]
+    assert np.allclose(model.word("der") - model.word("und"), 0) and model.predict("nicht und")[0] == "de"
+    entries = len(model.words.place)
+    assert np.allclose(model.word("the")[1], math.log((17 + 0.5) / (51 + 0.5 * entries)))
+
+
 def test_held_out_accuracy(spark):
     got = QUERIES["op10_language"](spark, SF).where("held_out")
     docs = table(spark, SF, "documents")

@@ -16,7 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_sample, lean, saved
@@ -29,9 +30,21 @@ CACHE = 200_000  # words scored by n-grams that a task remembers; it then starts
 class Frequencies:
     """Log frequencies per language of words or n-grams: a place for each, and one matrix."""
 
-    def __init__(self, rows: dict[str, np.ndarray], languages: int) -> None:
-        self.place = {text: k for k, text in enumerate(rows)}
-        self.table = np.array(list(rows.values()), float).reshape(len(rows), languages)
+    def __init__(self, place: dict[str, int], table: np.ndarray) -> None:
+        self.place, self.table = place, table
+
+    @staticmethod
+    def of(rows: dict[str, np.ndarray], languages: int) -> Frequencies:
+        return Frequencies({text: k for k, text in enumerate(rows)}, np.array(list(rows.values()), float).reshape(len(rows), languages))
+
+    @staticmethod
+    def counted(found: pa.Table, languages: list[str], total: np.ndarray, entries: int) -> Frequencies:
+        """Smoothed, from columns text, lang, n: each of the ``entries`` that were counted counts one half more in every language."""
+        names = pc.dictionary_encode(found.column("text").combine_chunks())
+        place = pc.index_in(found.column("lang").combine_chunks(), pa.array(languages, pa.string()))
+        table = np.zeros((len(names.dictionary), len(languages)))
+        table[names.indices.to_numpy(), place.to_numpy()] = found.column("n").to_numpy()
+        return Frequencies({text: k for k, text in enumerate(names.dictionary.to_pylist())}, np.log((table + 0.5) / (total + 0.5 * entries)))
 
     def get(self, text: str) -> np.ndarray | None:
         k = self.place.get(text)
@@ -39,16 +52,15 @@ class Frequencies:
 
 
 class LanguageModel:
-    """What ``fit`` learned; bounded by its parameters. ``grams[n - 1]`` is of n-grams of length n.
+    """What ``fit`` learned; bounded by the rows it learned from. ``grams[n - 1]`` is of n-grams of length n.
 
     Words scored by n-grams are remembered behind the known ones, ``CACHE`` at most.
     """
 
-    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: list[dict[str, np.ndarray]], floor: np.ndarray) -> None:
+    def __init__(self, languages: list[str], words: dict[str, np.ndarray] | Frequencies, grams: list[dict[str, np.ndarray] | Frequencies], floor: np.ndarray) -> None:
         self.languages, self.floor = languages, floor
-        self.words = Frequencies(words, len(languages))
-        self.grams = [Frequencies(g, len(languages)) for g in grams]
-        self.known = len(words)
+        self.words, *self.grams = [x if isinstance(x, Frequencies) else Frequencies.of(x, len(languages)) for x in (words, *grams)]
+        self.known = len(self.words.place)
         self.cache: dict[str, int] = {}
 
     def place(self, word: str) -> int:
@@ -107,39 +119,40 @@ class LanguageModel:
         return self.languages[best], float(share[best] / share.sum())
 
 
-def logs(counts: dict[str, np.ndarray], n: int) -> dict[str, np.ndarray]:
-    """Smoothed log frequencies: every entry counts one half more in every language."""
-    total = sum(counts.values(), np.zeros(n)) + 0.5 * len(counts)
-    return {k: np.log((v + 0.5) / total) for k, v in counts.items()}
-
-
-def fit(sample: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 100_000, longest: int = 4, max_grams: int = 50_000) -> LanguageModel:
+def fit(sample: DataFrame, text: str = "text", lang: str = "lang", longest: int = 4) -> LanguageModel:
     """Fit on labelled rows; rows without text or language are passed over.
 
-    ``sample`` is counted by Spark. The driver gets the ``max_words`` most frequent
-    words and languages and derives at most ``max_grams`` n-grams of each length.
-    Rows must be bounded by the caller (see ``bounded_sample``).
+    All words and n-grams of ``sample`` are counted by Spark, and the driver gets them
+    all, but for words seen once. Rows must be bounded by the caller (see ``learn``).
     """
     words = F.regexp_extract_all(F.lower(sample[text]), F.lit(r"\p{L}+"), 0)
-    rows = sample.where(sample[text].isNotNull() & sample[lang].isNotNull()).select(sample[lang].alias("lang"), F.explode(words).alias("word"))
-    counts = rows.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "word", "lang").limit(max_words).collect()
-    languages = sorted({r.lang for r in top})
-    place = {x: k for k, x in enumerate(languages)}
-    seen: dict[str, np.ndarray] = {}
-    grams: list[dict[str, np.ndarray]] = [{} for _ in range(longest)]
-    for r in top:
-        for table, pieces in [(seen, [r.word]), *((grams[n], windows(r.word, n + 1)) for n in range(longest))]:
-            for piece in pieces:
-                if piece not in table:
-                    table[piece] = np.zeros(len(languages))
-                table[piece][place[r.lang]] += r.n
-    for table in grams:
-        for piece in sorted(table, key=lambda g: (-table[g].sum(), g))[max_grams:]:
-            del table[piece]
-    known = {w: v for w, v in seen.items() if v.sum() > 1}  # a word seen once says less than its n-grams
-    floor = np.full(len(languages), -math.log(2 * len(grams[0]) + 2))
-    return LanguageModel(languages, logs(known, len(languages)), [logs(g, len(languages)) for g in grams], floor)
+    rows = sample.where(sample[text].isNotNull() & sample[lang].isNotNull()).select(sample[lang].alias("lang"), F.explode(words).alias("text"))
+    counts = saved(rows.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("n")), "language-words")
+    totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = sorted(totals)
+    each = counts.groupBy("text").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    repeated = each.where("total > 1").select("text", F.inline("by"))  # a word seen once says less than its n-grams
+    known = Frequencies.counted(repeated.toArrow(), languages, np.array([totals[x] for x in languages], float), each.count())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter[tuple[str, str]] = Counter()
+            for language, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "n"))):
+                for size in range(longest):
+                    for gram in windows(word, size + 1):
+                        found[language, gram] += n
+            columns = [pa.array([x[k] for x in found], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found.values(), pa.int64())], ["lang", "text", "n"])
+
+    pieces = counts.mapInArrow(lean(cut), "lang string, text string, n long").groupBy("lang", "text").agg(F.sum("n").alias("n")).toArrow()
+    sizes, grams = pc.utf8_length(pieces.column("text")), []
+    for size in range(longest):
+        own = pieces.filter(pc.equal(sizes, size + 1))
+        place = pc.index_in(own.column("lang"), pa.array(languages, pa.string())).to_numpy()
+        total = np.bincount(place, own.column("n").to_numpy(), len(languages)) if len(place) else np.zeros(len(languages))
+        grams.append(Frequencies.counted(own, languages, total, pc.count_distinct(own.column("text")).as_py()))
+    floor = np.full(len(languages), -math.log(2 * len(grams[0].place) + 2))
+    return LanguageModel(languages, known, grams, floor)
 
 
 def windows(word: str, n: int) -> list[str]:
@@ -147,12 +160,26 @@ def windows(word: str, n: int) -> list[str]:
     return [text[k : k + n] for k in range(len(text) - n + 1)]
 
 
+def level(counts: list[int], rows: int) -> int:
+    """The most rows a language may give so that all together give ``rows``; one at least, and rare languages give all they have."""
+    left = rows
+    for k, n in enumerate(sorted(counts)):
+        share = left // (len(counts) - k)
+        if n > share:
+            return max(share, 1)
+        left -= n
+    return max([1, *counts])
+
+
 def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = 20_000) -> LanguageModel:
-    """A model from the ``rows`` labelled rows whose keys hash lowest."""
+    """A model from ``rows`` labelled rows: of each language those whose keys hash lowest, equally many if it has as many."""
     labelled = df.where(df[lang].isNotNull() & df[text].isNotNull())
-    chosen = saved(bounded_sample(labelled.select(labelled[key].alias("id")), "id", rows).distinct(), "language-sample")
     picked = labelled.select(labelled[key].alias("key"), labelled[text].alias("text"), labelled[lang].alias("lang"))
-    return fit(picked.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("id")), "left_semi"))
+    most = level([r["count"] for r in picked.groupBy("lang").count().collect()], rows)
+    by_hash = Window.partitionBy("of").orderBy(F.xxhash64("id"), "id")
+    ranked = picked.select(F.col("key").alias("id"), F.col("lang").alias("of")).withColumn("k", F.row_number().over(by_hash))
+    chosen = saved(ranked.where(F.col("k") <= most).select("id", "of").distinct(), "language-sample")
+    return fit(picked.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("of")), "left_semi"))
 
 
 def identify(df: DataFrame, model: LanguageModel, text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
