@@ -58,6 +58,48 @@ def test_random_strings_are_told_from_identifiers(spark):
     assert right >= 195
 
 
+@pytest.fixture(scope="module")
+def models(spark):
+    rnd = random.Random(11)
+    words = ["customer", "account", "value", "total", "internal", "service", "index", "session", "Authorization", "example", "download", "access"]
+    samples = [("".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(24)), 1) for _ in range(600)]
+    samples += [(rnd.choice(words) + rnd.choice(words).title(), 0) for _ in range(2000)]
+    return secrets.train(spark.createDataFrame(samples, "text string, label int"))
+
+
+@pytest.mark.parametrize("before", ["", "Authorization=", "session_id=", "example/account/customers/internal/service/", "/download/access?session=", "total-value-index-"])
+@pytest.mark.parametrize("after", ["", "/customer/account/value", "&total=value"])
+def test_keys_behind_paths_and_assignments(models, before, after):
+    rnd = random.Random(7)
+    found = 0
+    for _ in range(100):
+        key = "".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(24))
+        text = f"see {before}{key}{after} here"
+        spans = [(a, b) for a, k, b in secrets.all_spans(text, models, 12.0, 0.5) if k == 3]
+        start = 4 + len(before)
+        found += len(spans) == 1 and abs(spans[0][0] - start) <= 4 and abs(spans[0][1] - start - 24) <= 4
+    assert found >= 90
+    assert not secrets.all_spans(f"see {before}customer/internal_service{after} here", models, 12.0, 0.5)
+
+
+def test_several_keys_in_a_run_and_base_spans_cut_out(models):
+    one, two, code = "x7Qp9LmZ2vRt8KdW4sBn", "B3kT9xWq7ZpL2mVn8RsD", "0123456789abcdef" * 2
+    path = "account/customer/internal/service/example/download"
+    text = f"{one}/{path}/{two}"
+    assert [text[a:b] for a, _, b in secrets.all_spans(text, models, 12.0, 0.5)] == [one, two]
+    text = f"{path}/{code}/{one}"
+    assert [(k, text[a:b]) for a, k, b in secrets.all_spans(text, models, 12.0, 0.5)] == [(2, code), (3, one)]
+
+
+def test_a_run_that_is_random_as_a_whole_is_covered(models):
+    rnd = random.Random(9)
+    for _ in range(300):
+        run = "".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(rnd.randrange(16, 60)))
+        score = models.score(run)
+        if score >= 12 and score >= 0.5 * len(run) and not secrets.base_spans(run):
+            assert secrets.all_spans(run, models, 12.0, 0.5) == [(0, 3, len(run))]
+
+
 def test_edge_cases(spark):
     key = "AKIA" + "Q7" * 8
     rows = [(1, None, "s", 1), (2, "", "s", 1), (None, f"{key} {key}", "s", 1), (3, f"password={key}", "s", 1), (3, f"password={key}", "s", 1),

@@ -1,15 +1,17 @@
 """Secret scans: fixed patterns, and Markov models of random strings against identifiers (operator 4).
 
 Two Markov models over characters, one of random strings and one of ordinary
-identifiers, are trained on labelled samples. A run of token characters that is
+identifiers, are trained on labelled samples. A stretch of token characters that is
 likelier random by ``margin`` nats, and by ``rate`` nats a character, is a span of kind
-``random``. The spans of the fixed patterns are reported whatever the models say;
-a random span that overlaps one of them is not reported again.
+``random``; a run of token characters can hold several, beside ordinary text. The spans
+of the fixed patterns are reported whatever the models say; they are cut out of the runs.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,9 +30,11 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "random")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SHORTEST = 16  # characters of a random span
 IDENTIFIER = re.compile(r"[A-Za-z][A-Za-z0-9_-]{3,}")
 # The characters of candidates; the last state is the beginning of a string.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+JOINERS = "+/_=-"  # the end of the alphabet
 STATES = len(ALPHABET) + 1
 PRIOR = 4
 PLACE = np.full(128, len(ALPHABET))
@@ -92,6 +96,19 @@ class MarkovPair:
         own = codes(string)
         return float(self.ratio[STATES - 1, own[0]] + self.ratio[own[:-1], own[1:]].sum())
 
+    def steps(self, string: str) -> tuple[np.ndarray, np.ndarray]:
+        """What every character adds to the score of a stretch: inside it, and as its first one.
+
+        Joiners add nothing, since paths and assignments have them as well as keys, and
+        what follows one begins a string. A stretch that begins within a string gets
+        nothing for its first character.
+        """
+        own = codes(string)
+        joins = (own >= len(ALPHABET) - len(JOINERS)) & (own < len(ALPHABET))
+        begins = np.concatenate([[True], joins[:-1]])
+        inside = np.where(joins, 0.0, self.ratio[np.where(begins, STATES - 1, np.roll(own, 1)), own])
+        return inside, np.where(begins, inside, 0.0)
+
 
 def train(samples: DataFrame, text: str = "text", label: str = "label") -> MarkovPair:
     """From strings labelled 1 (random) or 0 (ordinary): counted in every task, summed by Spark. Nulls are passed over."""
@@ -140,14 +157,101 @@ def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", rows: int =
     return train(labelled_strings(picked.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("id")), "left_semi")))
 
 
+def stretches(string: str, models: MarkovPair, margin: float, rate: float) -> list[tuple[int, int]]:
+    """The stretches likelier random, not overlapping: the best one first, then those beside it.
+
+    The best one has the highest score, or, if that one is too long for ``rate``, the
+    highest score above ``rate``. It is widened to the strings between joiners in which it
+    begins and ends, if these have the rate, and to the padding at the end.
+    """
+    inside, first = models.steps(string)
+    upto = np.cumsum(inside)
+    lead = first - upto  # a stretch from a to b scores lead[a] + upto[b - 1]
+    place = np.arange(len(string))
+    joins = np.array([c in JOINERS for c in string])
+    since = np.concatenate([[0], np.maximum.accumulate(np.where(joins, place + 1, 0))]).tolist()  # after the last joiner before a place
+    until = [*np.minimum.accumulate(np.where(joins, place, len(string))[::-1])[::-1].tolist(), len(string)]  # the next joiner
+
+    def random(a: int, b: int) -> bool:
+        score = lead[a] + upto[b - 1]
+        return bool(score >= margin and score >= rate * (b - a))
+
+    def best(lo: int, hi: int, cost: float) -> tuple[int, int]:
+        """The stretch with the highest score if every character costs something; of equals the shortest."""
+        heads = lead[lo : hi - SHORTEST + 1] + cost * place[lo : hi - SHORTEST + 1]
+        tails = upto[lo + SHORTEST - 1 : hi] - cost * place[lo + SHORTEST - 1 : hi]
+        end = int((np.maximum.accumulate(heads) + tails).argmax())
+        return lo + end - int(heads[end::-1].argmax()), lo + end + SHORTEST
+
+    def widened(a: int, b: int, lo: int, hi: int) -> tuple[int, int]:
+        left, right = max(lo, since[a]), min(hi, until[b])
+        stop = until[a] if until[a] < b else None  # where the first string ends
+        start = since[b] if since[b] > a else None  # where the last one begins
+        for x, y in ((left, right), (left, b), (a, right)):
+            ends = [(x, y if stop is None else stop)] * (x < a) + [(x if start is None else start, y)] * (y > b)
+            if random(x, y) and all(lead[v] + upto[w - 1] >= rate * (w - v) for v, w in ends if v < w):
+                return x, y
+        return a, b
+
+    def short(lo: int, hi: int) -> tuple[int, int] | None:
+        """The best one by what it scores above ``rate``; of a long one with the rate, one half has it too."""
+        found = (-1.0, None)
+        for width in range(SHORTEST, min(hi - lo, 2 * math.ceil(margin / rate)) + 1):
+            score = lead[lo : hi - width + 1] + upto[lo + width - 1 : hi]
+            score = np.where(score >= margin, score - rate * width, -1.0)
+            k = int(score.argmax())
+            if score[k] >= 0 and score[k] > found[0]:
+                found = (float(score[k]), (lo + k, lo + k + width))
+        return found[1]
+
+    out, parts = [], [(0, len(string))]
+    while parts:
+        lo, hi = parts.pop()
+        if hi - lo < SHORTEST:
+            continue
+        a, b = best(lo, hi, 0.0)
+        if lead[a] + upto[b - 1] < margin:
+            continue
+        if not random(a, b):
+            a, b = best(lo, hi, rate)
+            if not random(a, b):
+                found = short(lo, hi) if rate > 0 else None
+                if found is None:
+                    continue
+                a, b = found
+        a, b = widened(a, b, lo, hi)
+        if not string[b:].strip("="):
+            b = len(string)
+        out.append((a, b))
+        parts += [(lo, a), (b, hi)]
+    return out
+
+
+def outside(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What sorted spans leave of a stretch."""
+    for a, b in taken[bisect_right(taken, start, key=lambda x: x[1]) :]:
+        if a >= end:
+            break
+        if a > start:
+            yield start, a
+        start = max(start, b)
+    if start < end:
+        yield start, end
+
+
 def all_spans(text: str, models: MarkovPair, margin: float, rate: float) -> list[Span]:
     """Base spans and random ones, by start, then kind."""
     spans = base_spans(text)
-    taken = [(a, b) for a, _, b in spans]
+    taken: list[tuple[int, int]] = []
+    for a, _, b in sorted(spans):
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
     for m in CANDIDATE.finditer(text):
-        score = models.score(m.group())
-        if score >= margin and score >= rate * len(m.group()) and not any(a < m.end() and m.start() < b for a, b in taken):
-            spans.append((m.start(), 3, m.end()))
+        for lo, hi in outside(m.start(), m.end(), taken):
+            if hi - lo >= SHORTEST:
+                spans += [(lo + a, 3, lo + b) for a, b in stretches(text[lo:hi], models, margin, rate)]
     return sorted(spans)
 
 
