@@ -43,7 +43,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, chunk, n_chunks, ids: the tokens of every document that stayed."""
-    return encode(docs).select("doc_id", "chunk", "n_chunks", "ids")
+    return encode(docs, chunk_chars=65_536).select("doc_id", "chunk", "n_chunks", "ids")
 
 
 STAGES = [

@@ -7,7 +7,7 @@ place, weight 0 between neighbours that stay and minus infinity between others,
 exactly one path of weight 0.
 
 * Texts of up to ``chunk_chars`` code points are encoded whole, by the library.
-* Longer ones are cut anywhere. The state at a cut is the piece that ends there or
+* Longer ones are cut anywhere; chunks of those beyond ``spread_chars`` are dealt to many tasks. The state at a cut is the piece that ends there or
   reaches over it. Every chunk yields its transfer matrix from the states at its
   first to those at its last cut, knowing nothing of the others.
 * The matrices of a document are multiplied in the max-plus semiring, which is
@@ -34,6 +34,7 @@ from tidemark.llm.common import lean, saved
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: how the library writes a space
+MOST_CHUNKS = 1024  # of a text, whose matrices meet in one task; chunks of texts beyond grow instead
 
 State = tuple[int, str]  # code points beyond the cut, piece
 Matrix = dict[tuple[State, State], float]  # what is missing is minus infinity
@@ -106,11 +107,11 @@ class Pieces:
 
     def resets(self, text: str, begin: int, stop: int) -> tuple[int, int] | None:
         """The first and last beginning of a word well inside; every path has a node there."""
-        inside = [k for k in range(begin + self.longest, stop) if text[k] == SPACE and text[k - 1] != SPACE][:1]
-        if not inside:
+        inside = next((k for k in range(begin + self.longest, stop) if text[k] == SPACE and text[k - 1] != SPACE), None)
+        if inside is None:
             return None
-        last = next(k for k in range(stop - 1, inside[0] - 1, -1) if text[k] == SPACE and text[k - 1] != SPACE)
-        return inside[0], last
+        last = next(k for k in range(stop - 1, inside - 1, -1) if text[k] == SPACE and text[k - 1] != SPACE)
+        return inside, last
 
     def transfer(self, text: str, begin: int, stop: int) -> Matrix:
         """The transfer matrix of text[begin:stop]; ``text`` shows some of what surrounds it."""
@@ -133,6 +134,9 @@ class Pieces:
     def trace(self, text: str, begin: int, stop: int, first: State, last: State) -> list[str]:
         """The pieces of one stretch between two states, traced back from the last."""
         _, before = self.walk(text, [first], begin, stop)
+        return self.back(before, begin, stop, first, last)
+
+    def back(self, before: dict[tuple[int, str], tuple[int, str]], begin: int, stop: int, first: State, last: State) -> list[str]:
         node, out = (stop + last[0], last[1]), []
         while node != (begin + first[0], first[1]):
             out.append(node[1])
@@ -150,7 +154,7 @@ class Pieces:
             return [n for p in self.trace(text, begin, stop, first, last) for n in self.number(p)]
         nodes, before = self.walk(text, [first], begin, cuts[0])
         ends = [(0, p) for p in nodes.get(cuts[0], {})]
-        head = self.trace(text, begin, cuts[0], first, ends[0])
+        head = self.back(before, begin, cuts[0], first, ends[0])
         tail = self.trace(text, cuts[1], stop, START, last)
         body = self.model.encode(text[cuts[0] + 1 : cuts[1]].replace(SPACE, " ")) if cuts[1] > cuts[0] else []
         return [*(n for p in head for n in self.number(p)), *body, *(n for p in tail for n in self.number(p))]
@@ -205,7 +209,16 @@ def ids_column(rows: list[list[int]]) -> pa.Array:
     return pa.array(rows, pa.list_(pa.int32()))
 
 
-def encode(df: DataFrame, text: str = "text", key: str = "doc_id", path: str = MODEL, chunk_chars: int = 65_536) -> DataFrame:
+def signature(text: str, at: int) -> int:
+    """The exclusive or of a hash of every code point and its place; those of parts add up to that of the whole."""
+    found = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    found += np.arange(at + 1, at + 1 + len(found), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        found = (found ^ (found >> np.uint64(shift))) * np.uint64(factor)
+    return int(np.bitwise_xor.reduce(found ^ (found >> np.uint64(31)), initial=np.uint64(0)).astype(np.int64))
+
+
+def encode(df: DataFrame, text: str = "text", key: str = "doc_id", path: str = MODEL, chunk_chars: int = 4_096, spread_chars: int = 65_536) -> DataFrame:
     """One row per row of ``df`` and chunk: row, key, chunk, n_chunks, source, ids.
 
     ``row`` tells rows apart that have the same key; it is null for those of one
@@ -214,12 +227,16 @@ def encode(df: DataFrame, text: str = "text", key: str = "doc_id", path: str = M
     for the whole text. Null and empty texts have one chunk without ids. Null keys
     are keys like others. Other columns are not looked at. ``path`` is the model's file on every machine.
     """
-    short, long = encode_parts(df, text, key, path, chunk_chars)
-    return short.unionByName(long)
+    short, long = encode_parts(df, text, key, path, chunk_chars, spread_chars)
+    return short.unionByName(long.select(short.columns))
 
 
-def encode_parts(df: DataFrame, text: str = "text", key: str = "doc_id", path: str = MODEL, chunk_chars: int = 65_536) -> tuple[DataFrame, DataFrame]:
-    """``encode``, rows of one chunk and rows of several apart: for readers that treat them differently."""
+def encode_parts(df: DataFrame, text: str = "text", key: str = "doc_id", path: str = MODEL, chunk_chars: int = 4_096, spread_chars: int = 65_536) -> tuple[DataFrame, DataFrame]:
+    """``encode``, rows of one chunk and rows of several apart: for readers that treat them differently.
+
+    The latter have more columns: the chunk's place ``at`` in its text, and the
+    text's length ``n_chars`` and ``signature``.
+    """
     if chunk_chars < 256:
         raise ValueError("chunk_chars must be at least 256")
     rows = df.select(df[key].alias("key"), df[text].alias("text"))
@@ -238,26 +255,63 @@ def encode_parts(df: DataFrame, text: str = "text", key: str = "doc_id", path: s
                 yield pa.RecordBatch.from_arrays(columns, ["row", "key", "chunk", "n_chunks", "source", "ids"])
 
     short = rows.where(~long).mapInArrow(lean(whole), f"row long, key {kind}, {ENCODED}")
-    several = encode_long(rows.where(long), kind, path, chunk_chars)
+    giant = F.length("text") > max(spread_chars, chunk_chars)
+    near = encode_near(rows.where(long & ~giant), kind, path, chunk_chars)
+    several = near.unionByName(encode_long(rows.where(F.coalesce(giant, F.lit(False))), kind, path, chunk_chars))
     return short.withColumnRenamed("key", key), several.withColumnRenamed("key", key)
 
 
+LONG = f"{ENCODED}, at long, n_chars long, signature long"
+
+
+def borders(length: int, chunk_chars: int) -> list[int]:
+    """Where a text is cut: into chunks of equal length, not longer than ``chunk_chars`` unless they are ``MOST_CHUNKS``."""
+    n = min(-(-length // chunk_chars), MOST_CHUNKS)
+    return [k * length // n for k in range(n + 1)]
+
+
+def encode_near(rows: DataFrame, kind: str, path: str, chunk_chars: int) -> DataFrame:
+    """Texts longer than ``chunk_chars``, by the scan, all chunks of a text in one task."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pieces_of(path)
+        for batch in batches:
+            for row, key, t in zip(batch.column("row"), batch.column("key"), batch.column("text")):
+                body = t.as_py()
+                text = SPACE + body.replace(" ", SPACE)
+                cuts = borders(len(text), chunk_chars)
+                passed = states([pieces.transfer(text, a, b) for a, b in zip(cuts, cuts[1:])])
+                n = len(cuts) - 1
+                ids = [np.array(pieces.encode_chunk(text, cuts[k], cuts[k + 1], passed[k], passed[k + 1]), np.int32) for k in range(n)]
+                ends = [max(0, cut + over - 1) for cut, (over, _) in zip(cuts, passed)]
+                sources = [body[a:b].replace(SPACE, " ") for a, b in zip(ends, ends[1:])]
+                same = [pa.array([x] * n, kind) for x, kind in ((row.as_py(), pa.int64()), (key.as_py(), batch.column("key").type))]
+                columns = [*same, pa.array(range(n), pa.int32()), pa.array([n] * n, pa.int32()), pa.array(sources, pa.string()), ids_column(ids)]
+                columns += [pa.array(x, pa.int64()) for x in (ends[:-1], [len(body)] * n, [signature(body, 0)] * n)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "key", "chunk", "n_chunks", "source", "ids", "at", "n_chars", "signature"])
+
+    numbered = rows.withColumn("row", 2 * F.monotonically_increasing_id())  # even; those of ``encode_long`` are odd
+    return numbered.mapInArrow(lean(scan), f"row long, key {kind}, {LONG}")
+
+
 def encode_long(rows: DataFrame, kind: str, path: str, chunk_chars: int) -> DataFrame:
-    """Texts longer than ``chunk_chars``, by the scan."""
+    """Texts longer than ``chunk_chars``, by the scan, chunks dealt to many tasks."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         around = pieces_of(path).longest
         for batch in batches:
             for row, key, t in zip(batch.column("row"), batch.column("key"), batch.column("text")):
-                text = SPACE + t.as_py().replace(" ", SPACE)
-                n = len(text) // chunk_chars
-                for k in range(n):
-                    lo, hi = k * chunk_chars, len(text) if k == n - 1 else (k + 1) * chunk_chars
+                body = t.as_py()
+                text, sign = SPACE + body.replace(" ", SPACE), signature(body, 0)
+                cuts = borders(len(text), chunk_chars)
+                n = len(cuts) - 1
+                for k, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
                     left = max(0, lo - around)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([row.as_py()], pa.int64()), pa.array([key.as_py()], batch.column("key").type), pa.array([k], pa.int32()),
-                         pa.array([n], pa.int32()), pa.array([text[left : hi + around]]), pa.array([lo - left], pa.int32()), pa.array([hi - left], pa.int32())],
-                        ["row", "key", "chunk", "n_chunks", "text", "lo", "hi"],
+                         pa.array([n], pa.int32()), pa.array([text[left : hi + around]]), pa.array([lo - left], pa.int32()), pa.array([hi - left], pa.int32()),
+                         pa.array([left], pa.int64()), pa.array([len(body)], pa.int64()), pa.array([sign], pa.int64())],
+                        ["row", "key", "chunk", "n_chunks", "text", "lo", "hi", "left", "n_chars", "signature"],
                     )
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,20 +331,22 @@ def encode_long(rows: DataFrame, kind: str, path: str, chunk_chars: int) -> Data
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
         for batch in batches:
-            ids, sources = [], []
+            ids, sources, places = [], [], []
             for r in batch.to_pylist():
                 ids.append(pieces.encode_chunk(r["text"], r["lo"], r["hi"], (r["over_in"], r["piece_in"]), (r["over_out"], r["piece_out"])))
                 source = r["text"][r["lo"] + r["over_in"] : r["hi"] + r["over_out"]].replace(SPACE, " ")
                 sources.append(source if r["chunk"] else source[1:])  # without the space that the library puts first
+                places.append(max(0, r["left"] + r["lo"] + r["over_in"] - 1))
             columns = [*(batch.column(c) for c in ("row", "key", "chunk", "n_chunks")), pa.array(sources, pa.string()), ids_column(ids)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "key", "chunk", "n_chunks", "source", "ids"])
+            columns += [pa.array(places, pa.int64()), batch.column("n_chars"), batch.column("signature")]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "key", "chunk", "n_chunks", "source", "ids", "at", "n_chars", "signature"])
 
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    chunks = saved(numbered.mapInArrow(lean(cut), f"row long, key {kind}, chunk int, n_chunks int, text string, lo int, hi int"), "piece-chunks")
+    numbered = rows.withColumn("row", 2 * F.monotonically_increasing_id() + 1)
+    chunks = saved(numbered.mapInArrow(lean(cut), f"row long, key {kind}, chunk int, n_chunks int, text string, lo int, hi int, left long, n_chars long, signature long"), "piece-chunks")
     chunks = chunks.repartition("row", "chunk")  # a giant document's chunks go to many tasks
     matrices = chunks.select("row", "chunk", "text", "lo", "hi").mapInArrow(lean(transfer), "row long, chunk int, matrix string")
     passed = matrices.groupBy("row").applyInPandas(choose, "row long, chunk int, over_in int, piece_in string, over_out int, piece_out string")
-    return chunks.join(passed, ["row", "chunk"]).mapInArrow(lean(trace), f"row long, key {kind}, {ENCODED}")
+    return chunks.join(passed, ["row", "chunk"]).mapInArrow(lean(trace), f"row long, key {kind}, {LONG}")
 
 
 def decode(encoded: DataFrame, path: str = MODEL, out: str = "decoded") -> DataFrame:
@@ -318,3 +374,24 @@ def decode(encoded: DataFrame, path: str = MODEL, out: str = "decoded") -> DataF
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(texts, pa.string())], [*rest, out])
 
     return encoded.select(rest).mapInArrow(lean(back), schema)
+
+
+def joined(decoded: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Decoded rows of several chunks (see ``encode_parts``), one row per text: row, key, n_tokens, n_chunks, ids_hash, round_trip.
+
+    A text is round if as many chunks as it has, at their places, have its length and signature.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signs = [signature(t, at) for t, at in zip(batch.column("decoded").to_pylist(), batch.column("at").to_pylist())]
+            rest = [c for c in batch.schema.names if c not in ("decoded", "at")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(signs, pa.int64())], [*rest, "sign"])
+
+    kind = decoded.schema[key].dataType.simpleString()
+    parts = decoded.select("row", F.col(key).alias("key"), "n_chunks", "n_chars", "signature", F.size("ids").cast("long").alias("n"),
+                           F.xxhash64("chunk", "ids").alias("hash"), F.length("decoded").cast("long").alias("chars"), "decoded", "at")
+    signed = parts.mapInArrow(lean(sign), f"row long, key {kind}, n_chunks int, n_chars long, signature long, n long, hash long, chars long, sign long")
+    whole = (F.count(F.lit(1)) == F.max("n_chunks")) & (F.sum("chars") == F.max("n_chars")) & (F.bit_xor("sign") == F.max("signature"))
+    sums = [F.sum("n").alias("n_tokens"), F.max("n_chunks").alias("n_chunks"), F.bit_xor("hash").alias("ids_hash"), whole.alias("round_trip")]
+    return signed.groupBy("row", "key").agg(*sums).withColumnRenamed("key", key)
