@@ -15,7 +15,7 @@ from tidemark.llm.decontaminate import drop_leaks
 from tidemark.llm.exact_dedup import drop_copies
 from tidemark.llm.jaccard_join import drop_similar
 from tidemark.llm.language import UNKNOWN, identify, learn
-from tidemark.llm.pieces import encode
+from tidemark.llm.pieces import decode, encode
 
 LEAST_SHARE = 0.5  # a language must be likelier than all others together
 
@@ -42,8 +42,12 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, chunk, n_chunks, ids: the tokens of every document that stayed."""
-    return encode(docs, chunk_chars=65_536).select("doc_id", "chunk", "n_chunks", "ids")
+    """row, doc_id, chunk, n_chunks, ids, round_trip: the tokens of every document that stayed, and whether they decode to their text.
+
+    ``row`` tells texts of several chunks apart that have the same doc_id.
+    """
+    same = (F.col("decoded") == F.col("source")).alias("round_trip")
+    return decode(encode(docs, chunk_chars=65_536)).select("row", "doc_id", "chunk", "n_chunks", "ids", same)
 
 
 STAGES = [

@@ -74,3 +74,11 @@ def test_run(spark):
     rows = P.run(spark, SF).collect()
     assert rows and {r.chunk for r in rows} == {0}
     assert P.ORACLE_SQL is None and len(P.STAGES) == 5
+
+
+def test_pieces_keep_rows_of_one_key_apart(spark):
+    text = "words of a long text, " * 7000
+    docs = spark.createDataFrame([(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, "short", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = P.pieces(spark, docs, SF).collect()
+    assert all(r.round_trip for r in rows)
+    assert len({(r.row, r.doc_id, r.chunk) for r in rows}) == len(rows) == 7

@@ -13,7 +13,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import similar_sets
 from tidemark.llm.language import identify, learn
 from tidemark.llm import secrets
-from tidemark.llm.pieces import decode, encode_parts
+from tidemark.llm.pieces import decode, encode_parts, joined
 from tidemark.llm.tokens import token_counts
 from tidemark.llm.tool_calls import calls_of_chats, link_calls
 from tidemark.llm.toxicity import toxicity
@@ -139,14 +139,10 @@ QUERIES["op5_token_counts"] = op5_token_counts
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def parts(encoded: DataFrame) -> DataFrame:
-        same = (F.col("decoded") == F.col("source")).alias("same")
-        return decode(encoded).select("row", "doc_id", F.size("ids").cast("long").alias("n"), "n_chunks", F.xxhash64("chunk", "ids").alias("hash"), same)
-
-    short, long = map(parts, encode_parts(table(spark, sf_dir, "documents")))
-    short = short.select("doc_id", F.col("n").alias("n_tokens"), "n_chunks", F.col("hash").alias("ids_hash"), F.col("same").alias("round_trip"))
-    sums = [F.sum("n").alias("n_tokens"), F.first("n_chunks").alias("n_chunks"), F.bit_xor("hash").alias("ids_hash"), F.bool_and("same").alias("round_trip")]
-    return short.unionByName(long.groupBy("row", "doc_id").agg(*sums).drop("row"))
+    short, long = map(decode, encode_parts(table(spark, sf_dir, "documents")))
+    same = (F.col("decoded") == F.col("source")).alias("round_trip")
+    short = short.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_chunks", F.xxhash64("chunk", "ids").alias("ids_hash"), same)
+    return short.unionByName(joined(long).drop("row"))
 
 
 QUERIES["op6_sentencepiece"] = op6_sentencepiece
