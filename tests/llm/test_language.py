@@ -71,6 +71,18 @@ def test_sample_per_language(spark):
     assert np.allclose(model.word("the")[1], math.log((17 + 0.5) / (51 + 0.5 * entries)))
 
 
+def test_sample_is_of_the_lowest_hashes(spark):
+    rows = [(k % 900, f"w{chr(97 + k % 26)}{'xyz'[k % 3]} common common", ["aa", "bb"][k % 10 == 0]) for k in range(3000)]
+    rows += [(None, "zero zero", "aa")] * 400 + [(7, "seven seven", "cc")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ranked = df.select("*", F.expr("row_number() over (partition by lang order by xxhash64(doc_id), doc_id)").alias("k"))
+    ids = ranked.where("k <= 20").select("doc_id", "lang").distinct()  # an equal share of 60
+    picked = df.alias("d").join(ids.alias("i"), F.expr("d.doc_id <=> i.doc_id and d.lang = i.lang"), "left_semi")
+    one, two = learn(df, rows=60), fit(picked)
+    assert one.languages == two.languages == ["aa", "bb", "cc"] and one.words.place.keys() == two.words.place.keys()
+    assert all(np.allclose(one.word(w), two.word(w)) for w in two.words.place)
+
+
 def test_held_out_accuracy(spark):
     got = QUERIES["op10_language"](spark, SF).where("held_out")
     docs = table(spark, SF, "documents")

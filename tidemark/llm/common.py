@@ -62,9 +62,23 @@ def remainder(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def lowest(df: DataFrame, key: str, share: float) -> DataFrame:
+    """Rows whose keys hash into the lowest ``share`` of all hashes; every partition tells its own."""
+    return df if share >= 1 else df.where(F.xxhash64(key) < F.lit(int((2 * share - 1) * 2**63)))
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """The ``rows`` rows with the smallest hashes of ``key``: the same ones on every run."""
-    return df.orderBy(F.xxhash64(key), key).limit(rows)
+    """The ``rows`` rows with the smallest hashes of ``key``: the same ones on every run.
+
+    Only rows below a hash that about twice as many rows stay under are put in order;
+    if fewer than ``rows`` do, as when keys repeat, the bound is raised.
+    """
+    total, share = df.count(), 1.0
+    if total > 2 * rows:
+        share = 2 * rows / total
+        while share < 1 and lowest(df, key, share).count() < rows:
+            share *= 2
+    return lowest(df, key, share).orderBy(F.xxhash64(key), key).limit(rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -175,9 +175,28 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """A model from ``rows`` labelled rows: of each language those whose keys hash lowest, equally many if it has as many."""
     labelled = df.where(df[lang].isNotNull() & df[text].isNotNull())
     picked = labelled.select(labelled[key].alias("key"), labelled[text].alias("text"), labelled[lang].alias("lang"))
-    most = level([r["count"] for r in picked.groupBy("lang").count().collect()], rows)
+    counts = {r.lang: r["count"] for r in picked.groupBy("lang").count().collect()}
+    most = level(list(counts.values()), rows)
+    wanted = {x: min(n, most) for x, n in counts.items()}
+    share = {x: 2 * wanted[x] / n for x, n in counts.items()}
+    keys = picked.select(F.col("key").alias("id"), F.col("lang").alias("of"))
+
+    def low() -> DataFrame:
+        """Rows below the bound of their language."""
+        bounds = [(x, int((2 * s - 1) * 2**63)) for x, s in share.items() if s < 1]
+        if not bounds:
+            return keys
+        bound = F.broadcast(keys.sparkSession.createDataFrame(bounds, "of string, bound long"))
+        return keys.join(bound, "of", "left").where(F.col("bound").isNull() | (F.xxhash64("id") < F.col("bound"))).drop("bound")
+
+    while any(s < 1 for s in share.values()):
+        found = {r.of: r["count"] for r in low().groupBy("of").count().collect()}
+        short = [x for x, s in share.items() if s < 1 and found.get(x, 0) < wanted[x]]
+        if not short:
+            break
+        share |= {x: 2 * share[x] for x in short}
     by_hash = Window.partitionBy("of").orderBy(F.xxhash64("id"), "id")
-    ranked = picked.select(F.col("key").alias("id"), F.col("lang").alias("of")).withColumn("k", F.row_number().over(by_hash))
+    ranked = low().withColumn("k", F.row_number().over(by_hash))
     chosen = saved(ranked.where(F.col("k") <= most).select("id", "of").distinct(), "language-sample")
     return fit(picked.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("of")), "left_semi"))
 
