@@ -1,0 +1,99 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tidemark.llm import line_dedup as L
+
+BLANKS = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+SCHEMA = "doc_id long, text string"
+
+
+def brute(rows, shortest=20, least=3):
+    key = lambda line: line.strip(BLANKS).translate(LOWER)
+    held = defaultdict(list)
+    for doc, text in rows:
+        for k in {key(x) for x in (text or "").split("\n")}:
+            if len(k) >= shortest:
+                held[k].append(doc)
+    keeper = {k: max([d for d in docs if d is not None], default=None) for k, docs in held.items() if len(docs) >= least}
+    out = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        stay = [x for x in lines if keeper.get(key(x)) in (None, doc)]
+        out.append((doc, len(lines), len(lines) - len(stay), "\n".join(stay)))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, **more):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    return sorted([tuple(r) for r in L.drop_lines(df, **more).collect()], key=repr)
+
+
+def random_rows(n, seed=1):
+    rng = np.random.default_rng(seed)
+    lines = ["", " ", "short", "a line of twenty signs", " A LINE of Twenty Signs\t", "äöü äöü äöü äöü äöü", "äöü äöü äöü äöü äöüX", "one more line that comes back\r"]
+    lines += [f"a line of its own, number {k}" for k in range(40)]
+    return [(int(k), "\n".join(rng.choice(lines, rng.integers(0, 7)))) for k in rng.permutation(n)]
+
+
+def test_like_brute_force(spark):
+    rows = random_rows(150)
+    found = run(spark, rows)
+    assert found == brute(rows)
+    assert sum(r[2] for r in found) > 50
+
+
+def test_other_bounds(spark):
+    rows = random_rows(60, seed=2)
+    assert run(spark, rows, shortest=1, least=2) == brute(rows, shortest=1, least=2)
+
+
+def test_nulls_ties_and_repeated_rows(spark):
+    line = "the same line in many documents"
+    rows = [(None, line), (None, f"{line}\n{line}"), (1, line), (2, f"{line}\nown"), (2, f"{line}\nown"), (1, line), (3, None), (4, ""), (5, "\n")]
+    found = run(spark, rows)
+    assert found == brute(rows)
+    assert (2, 2, 0, f"{line}\nown") in found and (1, 1, 1, "") in found and (None, 2, 2, "") in found
+
+
+def test_lines_that_only_null_keys_hold_stay(spark):
+    rows = [(None, "a line that has no document id")] * 4
+    assert run(spark, rows) == brute(rows)
+    assert {r[2] for r in run(spark, rows)} == {0}
+
+
+def test_full_filter_gives_the_same(spark):
+    rows = random_rows(100, seed=3)
+    assert run(spark, rows, bits_per_line=1, most_bits=32, segment_bits=4) == brute(rows)
+
+
+def test_second_filter_has_every_key_of_two_rows(spark):
+    rows = random_rows(100, seed=4) + [(k, f"a line that only document {k} holds") for k in range(100, 300)]
+    texts = spark.createDataFrame(rows, SCHEMA).repartition(5).selectExpr("cast(text as binary) text")
+    segments = L.second_filter(texts, 20, 1 << 14, 10)
+    assert set(segments) <= set(range(16))
+    found = L.suspects_of(texts.selectExpr("1L id", "text"), 20, 1 << 14, 10, segments).collect()
+    held = defaultdict(int)
+    for _, text in rows:
+        for k in set(filter(None, L.keys_of(text.encode(), 20))):
+            held[k] += 1
+    suspects = {bytes(r.key) for r in found}
+    assert {k for k, n in held.items() if n > 1} <= suspects
+    assert len(suspects - {k for k, n in held.items() if n > 1}) < 50  # of the 200 lines of one row
+
+
+@pytest.mark.parametrize("text, keys", [
+    (None, [None]), ("", [None]), ("  ABCDÄ \n\nabcd", [b"abcd\xc3\x84", None, None]), ("ÄÖÜÄ", [None]), ("ÄÖÜÄÖ", ["ÄÖÜÄÖ".encode()]),
+])
+def test_keys(text, keys):
+    assert L.keys_of(None if text is None else text.encode(), 5) == keys
+
+
+def test_long_text_extra_columns_and_no_rows(spark):
+    long = "\n".join(f"line {k % 5000} of a very long document" for k in range(20_000))
+    rows = [(k, long) for k in range(3)]
+    df = spark.createDataFrame([(*r, b"x", 7, "g") for r in rows], f"{SCHEMA}, key binary, keep_id int, gone string")
+    assert sorted([tuple(r) for r in L.drop_lines(df).collect()], key=repr) == brute(rows)
+    assert L.drop_lines(spark.createDataFrame([], SCHEMA)).collect() == []

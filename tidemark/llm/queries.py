@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import remainder, table
 from tidemark.llm.decontaminate import leaks
+from tidemark.llm.divergence import divergences
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import similar_sets
 from tidemark.llm.language import identify, learn
+from tidemark.llm.line_dedup import drop_lines
 from tidemark.llm import secrets
 from tidemark.llm.pieces import decode, encode_parts, joined
 from tidemark.llm.tokens import token_counts
 from tidemark.llm.tool_calls import calls_of_chats, link_calls
 from tidemark.llm.toxicity import toxicity
+from tidemark.llm.vector_codes import compress
 from tidemark.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +190,80 @@ SELECT conv_id, NULL, turn, call_id, NULL, 'orphan_result', '',
        '{"call_id":"' || call_id || '"' || coalesce(',"result":' || to_json(content), '') || ',"status":"orphan_result","turn":' || turn || '}'
 FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
 """
+
+
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op11_source_divergence"] = op11_source_divergence
+SQL["op11_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+     t AS (SELECT r, lang, source, unnest(words) AS term FROM d),
+     kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+     n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+     groups AS (SELECT DISTINCT lang, source FROM d),
+     dense AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM groups JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+     p AS (SELECT *, 1 + (1000000000 * (n + 1)) // (sum(n) OVER w + count(*) OVER w)::BIGINT AS p FROM dense WINDOW w AS (PARTITION BY lang, source)),
+     whole AS (SELECT lang, term, sum(n)::BIGINT AS n FROM dense GROUP BY ALL),
+     q AS (SELECT lang, term, 1 + (1000000000 * (n + 1)) // (sum(n) OVER w + count(*) OVER w)::BIGINT AS q FROM whole WINDOW w AS (PARTITION BY lang)),
+     sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+               FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+               UNION ALL
+               SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p > q),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES["op12_line_dedup"] = op12_line_dedup
+SQL["op12_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+     l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS k FROM d),
+     keyed AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+     repeated AS (SELECT key, max(doc_id) AS keep_id FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3),
+     judged AS (SELECT *, coalesce(doc_id <> keep_id, false) AS gone FROM keyed LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op13_vector_codes"] = op13_vector_codes
+_NEAREST = """(SELECT vec_id, position, number, distance FROM (
+    SELECT v.vec_id, v.position, b.number, list_sum(list_transform(range(1, 5), lambda i: (v.part[i] - b.part[i]) * (v.part[i] - b.part[i])))::BIGINT AS distance
+    FROM parts v JOIN {book} b USING (position)) QUALIFY row_number() OVER (PARTITION BY vec_id, position ORDER BY distance, number) = 1)"""
+_REFINED = """(SELECT b.position, b.number, coalesce(m.part, b.part) AS part FROM {book} b LEFT JOIN (
+    SELECT position, number, list_transform(range(1, 5), lambda i: floor(sums[i]::DOUBLE / n)::BIGINT) AS part FROM (
+        SELECT a.position, a.number, count(*) AS n, [sum(part[1])::BIGINT, sum(part[2])::BIGINT, sum(part[3])::BIGINT, sum(part[4])::BIGINT] AS sums
+        FROM {found} a JOIN parts USING (vec_id, position) GROUP BY ALL)) m USING (position, number))"""
+SQL["op13_vector_codes"] = f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS whole FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     parts AS MATERIALIZED (SELECT vec_id, k AS position, whole[4 * k + 1:4 * k + 4] AS part FROM kept, range(16) t(k)),
+     book0 AS MATERIALIZED (SELECT position, rank() OVER (PARTITION BY position ORDER BY vec_id) - 1 AS number, part
+                            FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
+     found1 AS MATERIALIZED {_NEAREST.format(book="book0")},
+     book1 AS MATERIALIZED {_REFINED.format(book="book0", found="found1")},
+     found2 AS MATERIALIZED {_NEAREST.format(book="book1")},
+     book2 AS MATERIALIZED {_REFINED.format(book="book1", found="found2")},
+     codes AS (SELECT vec_id, string_agg(printf('%02x', number), '' ORDER BY position) AS code, sum(distance)::BIGINT AS error
+               FROM {_NEAREST.format(book="book2")} GROUP BY vec_id)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY position, number)) FROM book2) AS codebooks_sha256
+FROM codes JOIN kept USING (vec_id)
+"""
