@@ -5,7 +5,7 @@ nearest entry in the codebook of its position. Codebooks are refined by rounds o
 averaging. All numbers are integers, so sums and ties come out the same in any order.
 
 Orchard's search holds for every entry the list of all entries by distance from it. A
-part starts at some entry and walks that entry's list; as soon as an entry is
+part starts at the first entry and walks that entry's list; as soon as an entry is
 nearer, the walk jumps to the list of that one. Entries looked at once are marked and
 not compared again. The walk ends when the next entry of the list is farther than twice the
 current distance from the list's owner: by the triangle inequality none behind it can be nearer.
@@ -37,21 +37,16 @@ class Codebook:
         self.between = ((entries[:, None, :] - entries[None, :, :]) ** 2).sum(axis=2)
         self.near = np.argsort(self.between, axis=1, kind="stable")
         self.apart = np.take_along_axis(self.between, self.near, axis=1)
-        self.by_sum = np.argsort(entries.sum(axis=1), kind="stable")
-        self.sums = entries.sum(axis=1)[self.by_sum]
 
-    def start(self, parts: np.ndarray) -> np.ndarray:
-        """An entry to begin with: one whose components add up to about the same."""
-        place = np.searchsorted(self.sums, parts.sum(axis=1))
-        return self.by_sum[np.minimum(place, len(self.sums) - 1)]
+    def distance(self, parts: np.ndarray, entry: np.ndarray | int) -> np.ndarray:
+        return ((parts - self.entries[entry]) ** 2).sum(axis=1)
 
     def search(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of the nearest entry of every part, of equally near ones the lowest, and the squared distance."""
         n, size = len(parts), len(self.entries)
-        best = self.start(parts)
-        error = ((parts - self.entries[best]) ** 2).sum(axis=1)
+        best, error = np.zeros(n, np.int64), self.distance(parts, 0)
         marked = np.zeros((n, size), bool)
-        marked[np.arange(n), best] = True
+        marked[:, 0] = True
         step = np.zeros(n, np.int64)
         walking = np.arange(n)
         while len(walking):
@@ -63,7 +58,7 @@ class Codebook:
             new = ~marked[walking, entry]
             some, entry = walking[new], entry[new]
             marked[some, entry] = True
-            distance = ((parts[some] - self.entries[entry]) ** 2).sum(axis=1)
+            distance = self.distance(parts[some], entry)
             nearer = (distance < error[some]) | ((distance == error[some]) & (entry < best[some]))
             some = some[nearer]
             best[some], error[some], step[some] = entry[nearer], distance[nearer], 0
