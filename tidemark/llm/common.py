@@ -81,5 +81,45 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return lowest(df, key, share).orderBy(F.xxhash64(key), key).limit(rows)
 
 
+def level(counts: list[int], rows: int) -> int:
+    """The most rows a group may give so that all together give ``rows``; one at least, and small groups give all they have."""
+    left = rows
+    for k, n in enumerate(sorted(counts)):
+        share = left // (len(counts) - k)
+        if n > share:
+            return max(share, 1)
+        left -= n
+    return max([1, *counts])
+
+
+def different_rows(df: DataFrame, rows: int, by: str | None = None) -> DataFrame:
+    """At most ``rows`` different rows of ``df``, those whose hashes over all columns are lowest: the same ones on every run.
+
+    With ``by``, every value of it gives equally many, or all it has. Rows that repeat count
+    once. Every partition tells the rows below a bound for itself; the driver gets only the hashes of
+    about twice as many rows as are wanted, and from them the bound that gives as many.
+    """
+    kind = df.schema[by].dataType.simpleString() if by else "string"
+    hashed = df.withColumns({"_of": F.col(by) if by else F.lit(""), "_hash": F.xxhash64(*df.columns)})
+    counts = {r["_of"]: r["count"] for r in hashed.groupBy("_of").count().collect()}
+    most = level(list(counts.values()), rows)
+    share = {x: min(1.0, 2 * min(n, most) / n) for x, n in counts.items()}
+
+    def below(bounds: dict) -> DataFrame:
+        listed = df.sparkSession.createDataFrame(list(bounds.items()), f"_at {kind}, _bound long")
+        return hashed.join(F.broadcast(listed), F.col("_of").eqNullSafe(F.col("_at")) & (F.col("_hash") <= F.col("_bound")))
+
+    while True:
+        seen: dict = {x: [] for x in counts}
+        for r in below({x: min(2**63 - 1, int((2 * s - 1) * 2**63)) for x, s in share.items()}).select("_of", "_hash").distinct().collect():
+            seen[r["_of"]].append(r["_hash"])
+        short = [x for x, s in share.items() if s < 1 and len(seen[x]) < min(most, counts[x])]
+        if not short:
+            break
+        share |= {x: min(1.0, 2 * share[x]) for x in short}
+    bounds = {x: sorted(own)[:most][-1] for x, own in seen.items()}
+    return below(bounds).dropDuplicates(["_of", "_hash"]).select(df.columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -17,14 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_sample, lean, saved
+from tidemark.llm.common import different_rows, lean, saved, small
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
-CACHE = 200_000  # words scored by n-grams that a task remembers; it then starts afresh
+CACHE = 100_000  # words scored by n-grams that a task remembers; it then starts afresh
 
 
 class Frequencies:
@@ -42,9 +42,11 @@ class Frequencies:
         """Smoothed, from columns text, lang, n: each of the ``entries`` that were counted counts one half more in every language."""
         names = pc.dictionary_encode(found.column("text").combine_chunks())
         place = pc.index_in(found.column("lang").combine_chunks(), pa.array(languages, pa.string()))
-        table = np.zeros((len(names.dictionary), len(languages)))
+        table = np.zeros((len(names.dictionary), len(languages)), np.float32)
         table[names.indices.to_numpy(), place.to_numpy()] = found.column("n").to_numpy()
-        return Frequencies({text: k for k, text in enumerate(names.dictionary.to_pylist())}, np.log((table + 0.5) / (total + 0.5 * entries)))
+        table += 0.5
+        table /= (total + 0.5 * entries).astype(np.float32)
+        return Frequencies({text: k for k, text in enumerate(names.dictionary.to_pylist())}, np.log(table, out=table))
 
     def get(self, text: str) -> np.ndarray | None:
         k = self.place.get(text)
@@ -70,7 +72,7 @@ class LanguageModel:
             k = self.cache.get(word)
         if k is None:
             if len(self.words.table) == self.known:
-                self.words.table = np.concatenate([self.words.table, np.empty((CACHE, len(self.languages)))])
+                self.words.table = np.concatenate([self.words.table, np.empty((CACHE, len(self.languages)), self.words.table.dtype)])
             if len(self.cache) >= CACHE:
                 self.cache.clear()
             k = self.cache[word] = self.known + len(self.cache)
@@ -160,56 +162,23 @@ def windows(word: str, n: int) -> list[str]:
     return [text[k : k + n] for k in range(len(text) - n + 1)]
 
 
-def level(counts: list[int], rows: int) -> int:
-    """The most rows a language may give so that all together give ``rows``; one at least, and rare languages give all they have."""
-    left = rows
-    for k, n in enumerate(sorted(counts)):
-        share = left // (len(counts) - k)
-        if n > share:
-            return max(share, 1)
-        left -= n
-    return max([1, *counts])
-
-
 def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = 20_000) -> LanguageModel:
-    """A model from ``rows`` labelled rows: of each language those whose keys hash lowest, equally many if it has as many."""
+    """A model from at most ``rows`` labelled rows: of each language those whose key and text hash lowest, equally many if it has as many."""
     labelled = df.where(df[lang].isNotNull() & df[text].isNotNull())
     picked = labelled.select(labelled[key].alias("key"), labelled[text].alias("text"), labelled[lang].alias("lang"))
-    counts = {r.lang: r["count"] for r in picked.groupBy("lang").count().collect()}
-    most = level(list(counts.values()), rows)
-    wanted = {x: min(n, most) for x, n in counts.items()}
-    share = {x: 2 * wanted[x] / n for x, n in counts.items()}
-    keys = picked.select(F.col("key").alias("id"), F.col("lang").alias("of"))
-
-    def low() -> DataFrame:
-        """Rows below the bound of their language."""
-        bounds = [(x, int((2 * s - 1) * 2**63)) for x, s in share.items() if s < 1]
-        if not bounds:
-            return keys
-        bound = F.broadcast(keys.sparkSession.createDataFrame(bounds, "of string, bound long"))
-        return keys.join(bound, "of", "left").where(F.col("bound").isNull() | (F.xxhash64("id") < F.col("bound"))).drop("bound")
-
-    while any(s < 1 for s in share.values()):
-        found = {r.of: r["count"] for r in low().groupBy("of").count().collect()}
-        short = [x for x, s in share.items() if s < 1 and found.get(x, 0) < wanted[x]]
-        if not short:
-            break
-        share |= {x: 2 * share[x] for x in short}
-    by_hash = Window.partitionBy("of").orderBy(F.xxhash64("id"), "id")
-    ranked = low().withColumn("k", F.row_number().over(by_hash))
-    chosen = saved(ranked.where(F.col("k") <= most).select("id", "of").distinct(), "language-sample")
-    return fit(picked.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("of")), "left_semi"))
+    return fit(saved(different_rows(picked, rows, by="lang"), "language-sample"))
 
 
 def identify(df: DataFrame, model: LanguageModel, text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``df`` with two more columns: the predicted language and its score between 0 and 1.
+    """``df`` without its text, with two more columns: the predicted language and its score between 0 and 1.
 
     Texts that are null or have no letter are ``und`` with score 0, and so is every
-    text if the model knows no language. Input columns with the names of ``out`` are replaced.
+    text if the model knows no language. Other input columns with the names of ``out`` are replaced.
+    The text itself is not handed back by the Python workers; who needs it joins the verdicts to it.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in df.columns if c not in out]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(rest).schema)
+    rest = [c for c in df.columns if c not in (text, *out)]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(rest).schema), f"`{out[0]}` string, `{out[1]}` double"])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,4 +186,21 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", out: tuple
             more = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + more, [*rest, *out])
 
-    return df.mapInArrow(lean(predict), f"{schema}, `{out[0]}` string, `{out[1]}` double")
+    return df.select(*rest, text).mapInArrow(lean(predict), schema)
+
+
+def recognised(df: DataFrame, model: LanguageModel, text: str = "text", key: str = "doc_id", least: float = 0.5) -> DataFrame:
+    """The rows of ``df`` whose language is known with a score above ``least``.
+
+    Texts go to Python once and do not come back: what goes is told by its key, or by
+    key and text where keys repeat. Null keys are keys like others.
+    """
+    body = F.coalesce(df[text], F.lit(""))
+    found = identify(df.select(df[key].alias("id"), F.sha2(body, 256).alias("digest"), df[text].alias("text")), model)
+    verdict = saved(found, "language-verdict")
+    gone = verdict.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") <= least))
+    if verdict.groupBy("id").count().where("count > 1").isEmpty():
+        gone = small(saved(gone.select("id"), "language-gone"))
+        return df.join(gone, df[key].eqNullSafe(gone["id"]), "left_anti")
+    gone = saved(gone.select("id", "digest").distinct(), "language-gone")
+    return df.join(gone, df[key].eqNullSafe(gone["id"]) & (F.sha2(body, 256) == gone["digest"]), "left_anti")

@@ -103,7 +103,7 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reached USING (doc_id) GROU
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
     model = learn(docs.where(~F.col("held_out")))
-    return identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return identify(docs.select("doc_id", "held_out", "text"), model)
 
 
 QUERIES["op10_language"] = op10_language

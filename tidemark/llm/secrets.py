@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_sample, lean, saved
+from tidemark.llm.common import different_rows, lean, saved
 
 # The patterns, with the lengths that matches must reach.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -151,10 +151,9 @@ def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", rows: int = 10_000) -> MarkovPair:
-    """Train on the strings of the ``rows`` documents whose keys hash lowest; their labels come from the fixed patterns."""
-    chosen = saved(bounded_sample(docs.select(docs[key].alias("id")), "id", rows).distinct(), "secret-sample")
+    """Train on the strings of at most ``rows`` documents, those whose key and text hash lowest; their labels come from the fixed patterns."""
     picked = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    return train(labelled_strings(picked.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("id")), "left_semi")))
+    return train(labelled_strings(saved(different_rows(picked, rows), "secret-sample")))
 
 
 def stretches(string: str, models: MarkovPair, margin: float, rate: float) -> list[tuple[int, int]]:
