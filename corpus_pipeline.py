@@ -14,7 +14,7 @@ from tidemark.llm.common import saved, table
 from tidemark.llm.decontaminate import drop_leaks
 from tidemark.llm.exact_dedup import drop_copies
 from tidemark.llm.jaccard_join import drop_similar
-from tidemark.llm.language import UNKNOWN, identify, learn
+from tidemark.llm.language import learn, recognised
 from tidemark.llm.pieces import decode, encode
 
 LEAST_SHARE = 0.5  # a language must be likelier than all others together
@@ -22,8 +22,7 @@ LEAST_SHARE = 0.5  # a language must be likelier than all others together
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the model is learned from those with a language."""
-    found = identify(docs, learn(docs), out=("found_lang", "found_share"))
-    return found.where((F.col("found_lang") != UNKNOWN) & (F.col("found_share") > LEAST_SHARE)).select(docs.columns)
+    return recognised(docs, learn(docs), least=LEAST_SHARE)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +46,7 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``row`` tells texts of several chunks apart that have the same doc_id.
     """
     same = (F.col("decoded") == F.col("source")).alias("round_trip")
-    return decode(encode(docs, chunk_chars=65_536)).select("row", "doc_id", "chunk", "n_chunks", "ids", same)
+    return decode(encode(docs)).select("row", "doc_id", "chunk", "n_chunks", "ids", same)
 
 
 STAGES = [
