@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from sentencepiece import SentencePieceProcessor
 
-from tidemark.llm.pieces import MODEL, SPACE, START, decode, encode, encode_parts, joined, pieces_of, signature, product, read, states, written
+from tidemark.llm.pieces import MODEL, SPACE, START, decode, encode, encode_parts, handed_down, joined, pieces_of, signature, product, read, states, written
 from tidemark.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, chunk int, ids string"
@@ -36,6 +36,42 @@ def test_scan_equals_library(seed):
             assert product(product(a, b), c) == product(a, product(b, c))
 
 
+def best_path(matrices):
+    """States of the best path, one matrix after the other."""
+    ways = {START: (0.0, [START])}
+    for m in matrices:
+        after = {}
+        for (a, b), w in m.items():
+            if a in ways and ways[a][0] + w > after.get(b, (-np.inf,))[0]:
+                after[b] = (ways[a][0] + w, [*ways[a][1], b])
+        ways = after
+    return max((way for s, way in ways.items() if s[0] == 0), key=lambda x: x[0])
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 40])
+def test_tree_finds_the_best_path(n):
+    rnd = random.Random(n)
+    cuts = [[START], *([(k, "p") for k in range(rnd.randrange(1, 6))] for _ in range(n - 1)), [START, (1, "x")]]
+    matrices = [{(a, b): rnd.random() for a in x for b in y if a is x[0] or b is y[0] or rnd.random() < 0.7} for x, y in zip(cuts, cuts[1:])]
+    weight, way = best_path(matrices)
+    assert states(matrices) == way
+    assert states(matrices, START, (1, "x"))[-1] == (1, "x")
+    assert sum(m[a, b] for m, a, b in zip(matrices, way, way[1:])) == pytest.approx(weight)
+
+
+def test_states_of_many_chunks_go_up_and_down_in_groups(spark):
+    """Texts of 1 to 300 chunks, three levels of groups of 16."""
+    rnd, rows, expected = random.Random(5), [], set()
+    for row, n in enumerate([1, 2, 16, 17, 256, 300]):
+        cuts = [[START], *([(k, "p") for k in range(rnd.randrange(1, 4))] for _ in range(n - 1)), [START]]
+        matrices = [{(a, b): rnd.random() for a in x for b in y} for x, y in zip(cuts, cuts[1:])]
+        rows += [(row, k, written(m)) for k, m in enumerate(matrices)]
+        way = best_path(matrices)[1]
+        expected |= {(row, k, *a, *b) for k, (a, b) in enumerate(zip(way, way[1:]))}
+    passed = handed_down(spark.createDataFrame(rows, "row long, chunk int, matrix string"), 300)
+    assert {(r.row, r.chunk, r.over_in, r.piece_in, r.over_out, r.piece_out) for r in passed.collect()} == expected
+
+
 def test_product_takes_the_best():
     s, t, u = START, (1, "x"), (2, "y")
     assert product({(s, t): 1.0, (s, u): 5.0}, {(t, s): 3.0, (u, s): -2.0}) == {(s, s): 4.0}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -39,15 +41,24 @@ def removed(spark: SparkSession, folder: str) -> None:
 
 
 def lean(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``step`` for ``mapInArrow``; the worker, which waits for other tasks afterwards, gives back what Arrow keeps."""
+    """``step`` for ``mapInArrow``; the worker, which waits for other tasks afterwards, gives back what Arrow and the C library keep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from step(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 # So many narrow rows take some 100 MB on an executor.
 BROADCAST_ROWS = 1_000_000
 

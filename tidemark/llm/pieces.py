@@ -11,7 +11,8 @@ exactly one path of weight 0.
   reaches over it. Every chunk yields its transfer matrix from the states at its
   first to those at its last cut, knowing nothing of the others.
 * The matrices of a document are multiplied in the max-plus semiring, which is
-  associative; the one state of every cut that a path of weight 0 passes follows.
+  associative: neighbours first, then their products, up a tree. The states that a path
+  of weight 0 passes go down the same tree, from the ends of a product to its middle.
 * With its two states every chunk is traced back on its own.
 
 Between the first and the last beginning of a word in a chunk no piece reaches
@@ -25,7 +26,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,7 @@ from tidemark.llm.common import lean, saved
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: how the library writes a space
-MOST_CHUNKS = 1024  # of a text, whose matrices meet in one task; chunks of texts beyond grow instead
+FAN = 16  # neighbours whose matrices a task multiplies at once
 
 State = tuple[int, str]  # code points beyond the cut, piece
 Matrix = dict[tuple[State, State], float]  # what is missing is minus infinity
@@ -177,21 +177,39 @@ def product(a: Matrix, b: Matrix) -> Matrix:
     return out
 
 
-def states(matrices: list[Matrix]) -> list[State]:
-    """The state at every cut on the best path: prefix products meet suffix products."""
-    first = {(START, START): 0.0}
-    ahead: list[Matrix] = [first]
-    for m in matrices:
-        ahead.append(product(ahead[-1], m))
-    ends = {column for _, column in ahead[-1]}
-    behind: Matrix = {(e, START): 0.0 for e in ends if e[0] == 0}
-    out: list[State] = []
-    for k in range(len(matrices), -1, -1):
-        best = max(((ahead[k][START, s] + w, s) for (s, _), w in behind.items() if (START, s) in ahead[k]), key=lambda x: x[0])
-        out.append(best[1])
-        if k:
-            behind = product(matrices[k - 1], {(best[1], START): 0.0})
-    return out[::-1]
+def levels_of(matrices: list[Matrix]) -> list[list[Matrix]]:
+    """The matrices, the products of neighbours, the products of these, up to that of all."""
+    levels = [matrices]
+    while len(levels[-1]) > 1:
+        own = levels[-1]
+        levels.append([product(*own[k : k + 2]) if k + 1 < len(own) else own[k] for k in range(0, len(own), 2)])
+    return levels
+
+
+def states(matrices: list[Matrix], first: State = START, last: State | None = None) -> list[State]:
+    """The state at every cut on the best path from ``first`` to ``last``, by default the best end of a text.
+
+    Products go up a tree of neighbours; the states at the ends of each product then
+    give, on the way down, the state in its middle.
+    """
+    levels = levels_of(matrices)
+    if last is None:
+        last = max(((w, s) for (f, s), w in levels[-1][0].items() if f == first and s[0] == 0), key=lambda x: x[0])[1]
+    passed = [first, last]
+    for own in levels[-2::-1]:
+        finer = passed[:1]
+        for k in range(0, len(own), 2):
+            end = passed[k // 2 + 1]
+            if k + 1 < len(own):
+                finer.append(middle(own[k], own[k + 1], finer[-1], end))
+            finer.append(end)
+        passed = finer
+    return passed
+
+
+def middle(a: Matrix, b: Matrix, first: State, last: State) -> State:
+    """The state between two stretches on the best path through both."""
+    return max(((w + b[s, last], s) for (f, s), w in a.items() if f == first and (s, last) in b), key=lambda x: x[0])[1]
 
 
 def written(matrix: Matrix) -> str:
@@ -265,8 +283,8 @@ LONG = f"{ENCODED}, at long, n_chars long, signature long"
 
 
 def borders(length: int, chunk_chars: int) -> list[int]:
-    """Where a text is cut: into chunks of equal length, not longer than ``chunk_chars`` unless they are ``MOST_CHUNKS``."""
-    n = min(-(-length // chunk_chars), MOST_CHUNKS)
+    """Where a text is cut: into chunks of equal length, not longer than ``chunk_chars``."""
+    n = -(-length // chunk_chars)
     return [k * length // n for k in range(n + 1)]
 
 
@@ -320,14 +338,6 @@ def encode_long(rows: DataFrame, kind: str, path: str, chunk_chars: int) -> Data
             found = [written(pieces.transfer(t, a, b)) for t, a, b in zip(*(batch.column(c).to_pylist() for c in ("text", "lo", "hi")))]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(found, pa.string())], ["row", "chunk", "matrix"])
 
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("chunk")
-        passed = states([read(m) for m in group["matrix"]])
-        return pd.DataFrame({
-            "row": group["row"], "chunk": group["chunk"], "over_in": [s[0] for s in passed[:-1]], "piece_in": [s[1] for s in passed[:-1]],
-            "over_out": [s[0] for s in passed[1:]], "piece_out": [s[1] for s in passed[1:]],
-        })
-
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
         for batch in batches:
@@ -344,11 +354,48 @@ def encode_long(rows: DataFrame, kind: str, path: str, chunk_chars: int) -> Data
     numbered = rows.withColumn("row", 2 * F.monotonically_increasing_id() + 1)
     chunks = saved(numbered.mapInArrow(lean(cut), f"row long, key {kind}, chunk int, n_chunks int, text string, lo int, hi int, left long, n_chars long, signature long"), "piece-chunks")
     chunks = chunks.repartition("row", "chunk")  # a giant document's chunks go to many tasks
-    matrices = chunks.select("row", "chunk", "text", "lo", "hi").mapInArrow(lean(transfer), "row long, chunk int, matrix string")
-    passed = matrices.groupBy("row").applyInPandas(choose, "row long, chunk int, over_in int, piece_in string, over_out int, piece_out string")
+    matrices = saved(chunks.select("row", "chunk", "text", "lo", "hi").mapInArrow(lean(transfer), "row long, chunk int, matrix string"), "piece-matrices")
+    passed = handed_down(matrices, chunks.agg(F.max("n_chunks")).first()[0] or 1)
     return chunks.join(passed, ["row", "chunk"]).mapInArrow(lean(trace), f"row long, key {kind}, {LONG}")
 
 
+def handed_down(matrices: DataFrame, most: int) -> DataFrame:
+    """The states at both ends of every chunk: row, chunk, over_in, piece_in, over_out, piece_out; ``most`` chunks a text at most.
+
+    ``FAN`` neighbours are multiplied in one group, their products again, until a text has
+    one; every level is a written table. The states go down the same tree, so no
+    task sees more than ``FAN`` matrices of a text, however long it is.
+    """
+    ends = ["over_in", "piece_in", "over_out", "piece_out"]
+
+    def multiply(group: pa.Table) -> pa.Table:
+        group = group.sort_by("block")
+        whole = levels_of([read(m) for m in group.column("matrix").to_pylist()])[-1][0]
+        return pa.table({"row": group.column("row")[:1], "block": group.column("up")[:1], "matrix": pa.array([written(whole)], pa.string())})
+
+    def descend(group: pa.Table) -> pa.Table:
+        group = group.sort_by("block")
+        over_in, piece_in, over_out, piece_out = (group.column(c)[0].as_py() for c in ends)
+        passed = states([read(m) for m in group.column("matrix").to_pylist()], (over_in, piece_in), None if piece_out is None else (over_out, piece_out))
+        columns = [pa.array([s[k] for s in part], kind) for part in (passed[:-1], passed[1:]) for k, kind in ((0, pa.int32()), (1, pa.string()))]
+        return pa.table([group.column("row"), group.column("block"), *columns], ["row", "block", *ends])
+
+    up = F.expr(f"block div {FAN}")
+    levels = [matrices.select("row", F.col("chunk").cast("long").alias("block"), "matrix")]
+    while True:
+        groups = levels[-1].withColumn("up", up).groupBy("row", "up")
+        levels.append(saved(groups.applyInArrow(multiply, "row long, block long, matrix string"), "piece-products"))
+        most = -(-most // FAN)
+        if most == 1:
+            break
+    blank = [F.lit(0).alias("over_in"), F.lit("").alias("piece_in"), F.lit(None).cast("int").alias("over_out"), F.lit(None).cast("string").alias("piece_out")]
+    passed = levels[-1].select("row", "block", *blank)
+    for level in levels[-2::-1]:
+        joined_up = level.withColumn("up", up).join(passed.withColumnRenamed("block", "up"), ["row", "up"])
+        passed = saved(joined_up.groupBy("row", "up").applyInArrow(descend, "row long, block long, over_in int, piece_in string, over_out int, piece_out string"), "piece-states")
+    return passed.withColumn("chunk", F.col("block").cast("int")).drop("block")
+
+
 def decode(encoded: DataFrame, path: str = MODEL, out: str = "decoded") -> DataFrame:
     """``encoded`` with the text of each row's ``ids``; ``chunk`` tells whether they begin a text.
 
