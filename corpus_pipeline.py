@@ -46,7 +46,8 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``row`` tells texts of several chunks apart that have the same doc_id.
     """
     same = (F.col("decoded") == F.col("source")).alias("round_trip")
-    return decode(encode(docs)).select("row", "doc_id", "chunk", "n_chunks", "ids", same)
+    encoded = saved(encode(docs), "pipeline-encoded")  # else a task holds two Python workers, each with a model
+    return decode(encoded).select("row", "doc_id", "chunk", "n_chunks", "ids", same)
 
 
 STAGES = [
