@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,10 +31,28 @@ def saved(df: DataFrame, name: str, under: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{under}/{name}-{uuid.uuid4().hex}" if under else new_folder(spark, name)
-    df.write.parquet(path)
+    with narrow_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Texts go to Python workers in batches of so many bytes; the JVM and the worker hold several at once.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def narrow_batches(spark: SparkSession) -> Iterator[None]:
+    """Plans that run inside hand rows to Python in batches of ``BATCH_BYTES``, unless the session has set less."""
+    before = spark.conf.get(BATCH_SETTING)
+    if int(before.lower().rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def removed(spark: SparkSession, folder: str) -> None:
     """Delete a folder of written tables that no plan reads any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
