@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.collation import BINARY, folded, is_text
+
 
 def _body(value: Column, kind: T.DataType) -> tuple[str, Column]:
     """Kind letter and text of a non-NULL value."""
@@ -71,12 +73,14 @@ def fingerprint(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     decimals: Mapping[str, tuple[int, int]] | None = None,
+    collation: str = BINARY,
 ) -> Column:
     """64 hex characters over ``columns`` (default: every column of ``df``).
 
     ``decimals`` declares (precision, scale) for floating-point columns. Declared
     columns are hashed as fixed-point text, which any engine reproduces and no
-    change of float formatting can disturb.
+    change of float formatting can disturb. Texts that are equal under
+    ``collation`` give the same fingerprint.
     """
     declared = decimals or {}
     segments = []
@@ -85,17 +89,19 @@ def fingerprint(
         if name in declared:
             kind = T.DecimalType(*declared[name])
             value = value.cast(kind)
+        elif is_text(df, name):
+            value = folded(value, collation)
         segments.append(_named(name, value, kind))
     return F.sha2(F.concat(*segments), 256)
 
 
 def with_fingerprints(
-    df: DataFrame, keys: Sequence[str], decimals: Mapping[str, tuple[int, int]] | None = None
+    df: DataFrame, keys: Sequence[str], decimals: Mapping[str, tuple[int, int]] | None = None, collation: str = BINARY
 ) -> DataFrame:
-    """Add ``key_hash`` over ``keys`` and ``data_hash`` over every column."""
+    """Add ``key_hash`` over ``keys``, under ``collation``, and ``data_hash`` over every column as it is."""
     return df.withColumns(
         {
-            "key_hash": fingerprint(df, keys, decimals),
+            "key_hash": fingerprint(df, keys, decimals, collation),
             "data_hash": fingerprint(df, None, decimals),
         }
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.collation import BINARY, key_column
 from tidemark.operators.quality import assert_absent, assert_uniform
 
 
@@ -30,19 +31,22 @@ def among(df: DataFrame, column: str, values: Sequence, negate: bool = False) ->
     return df.where(F.col(column).isNotNull() & (~inside if negate else inside))
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
+def lookup(
+    df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str], collation: str = BINARY
+) -> DataFrame:
     """Left outer lookup: ``on`` maps fact column -> dim column, ``take`` dim column -> new name.
 
     No broadcast hint: Spark broadcasts the lookup table when its measured size
     is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges,
     where AQE splits a hot foreign key on the fact side. A repeated lookup id
-    multiplies rows, as an outer join does; check it with ``dup_keys``.
+    multiplies rows, as an outer join does; check it with ``dup_keys``. Ids that are
+    text meet under ``collation``.
     """
     picked = dim.select(
         *[F.col(d).alias(f"_on_{d}") for d in on.values()],
         *[F.col(d).alias(name) for d, name in take.items()],
     )
-    condition = [df[fact] == picked[f"_on_{d}"] for fact, d in on.items()]
+    condition = [key_column(df, fact, collation) == key_column(picked, f"_on_{d}", collation) for fact, d in on.items()]
     return df.join(picked, condition, "left").drop(*[f"_on_{d}" for d in on.values()])
 
 

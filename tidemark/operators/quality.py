@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.collation import BINARY, key_column
+
 
 class ConformanceError(ValueError):
     """A snapshot breaks a rule and must not be delivered."""
@@ -58,16 +60,18 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
 
 
-def dup_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def dup_keys(df: DataFrame, keys: Sequence[str], collation: str = BINARY) -> DataFrame:
     """Keys that occur more than once, with their count.
 
-    Only the key columns are read, and counts are combined before the shuffle.
+    Only the key columns are read, and counts are combined before the shuffle. Of
+    spellings that are equal under ``collation`` the smallest stands for all.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("repetitions"))
-        .where(F.col("repetitions") > 1)
-    )
+    counted = F.count(F.lit(1)).alias("repetitions")
+    if collation == BINARY:
+        return df.groupBy(*keys).agg(counted).where(F.col("repetitions") > 1)
+    same = [key_column(df, k, collation).alias(f"_key_{i}") for i, k in enumerate(keys)]
+    groups = df.groupBy(*same).agg(F.min(F.struct(*[F.col(f"`{k}`") for k in keys])).alias("_spelled"), counted)
+    return groups.where(F.col("repetitions") > 1).select("_spelled.*", "repetitions")
 
 
 def assert_no_rows(violations: DataFrame, message: str) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.collation import BINARY, key_column
 from tidemark.functions.fingerprint import stream_id
 from tidemark.model import Destination, SyncJob, check_destinations
 from tidemark.operators.latest import keep_latest, newest_first
@@ -41,7 +42,9 @@ def guarded(batch_fn: BatchFunction, latched: Callable[[], bool]) -> BatchFuncti
     return run
 
 
-def snapshots_of(df: DataFrame, keys: Sequence[str], order: str, versions: bool) -> Iterator[DataFrame]:
+def snapshots_of(
+    df: DataFrame, keys: Sequence[str], order: str, versions: bool, collation: str = BINARY
+) -> Iterator[DataFrame]:
     """The snapshots that a micro-batch holds: rows with the same ``order``, oldest first.
 
     Without ``versions`` one snapshot of the newest rows stands for all: deletes are never
@@ -53,10 +56,10 @@ def snapshots_of(df: DataFrame, keys: Sequence[str], order: str, versions: bool)
         for value in df.select(order).distinct().orderBy(F.col(order).asc_nulls_first()).collect():
             yield df.where(F.col(order).eqNullSafe(F.lit(value[0]))).drop(order)
     else:
-        newest = keep_latest(df.select(*keys, order).distinct(), list(keys), newest_first(order))
+        newest = keep_latest(df.select(*keys, order).distinct(), list(keys), newest_first(order), collation)
         newest = newest.select(*[F.col(k).alias(f"_on_{i}") for i, k in enumerate(keys)], F.col(order).alias("_newest"))
-        same = [F.col(k).eqNullSafe(F.col(f"_on_{i}")) for i, k in enumerate(keys)]
-        yield df.join(newest, [*same, F.col(order).eqNullSafe(F.col("_newest"))], "left_semi").drop(order)
+        same = [key_column(df, k, collation).eqNullSafe(key_column(newest, f"_on_{i}", collation)) for i, k in enumerate(keys)]
+        yield df.join(newest, [*same, df[order].eqNullSafe(newest["_newest"])], "left_semi").drop(order)
 
 
 def sync_batches(
@@ -80,7 +83,7 @@ def sync_batches(
         metrics: list[dict] = []
         complete = True
         try:
-            for k, snapshot in enumerate(snapshots_of(df, job.keys, order, versions)):
+            for k, snapshot in enumerate(snapshots_of(df, job.keys, order, versions, job.key_collation)):
                 # a replay must not send an older version again to a destination that has a newer one
                 waiting = [d for d in destinations if done.get(d.id, 0) <= k]
                 if not waiting:

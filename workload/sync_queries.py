@@ -221,6 +221,40 @@ def merge_mixed_case(spark, sf):
     return merge_upsert(target, changes, ["S_SUPPKEY"])
 
 
+@query(
+    "merge_collated_keys",
+    """
+    SELECT c_name, coalesce(s_acctbal, c_acctbal) AS c_acctbal, c_mktsegment
+    FROM customer LEFT JOIN supplier ON lower(c_name) = 'customer#' || lpad(CAST(s_suppkey + 5 AS VARCHAR), 9, '0')
+    UNION ALL
+    SELECT 'CUSTOMER#' || lpad(CAST(s_suppkey + 5 AS VARCHAR), 9, '0'), s_acctbal, NULL FROM supplier
+    WHERE 'customer#' || lpad(CAST(s_suppkey + 5 AS VARCHAR), 9, '0') NOT IN (SELECT lower(c_name) FROM customer)
+    """,
+)
+def merge_collated_keys(spark, sf):
+    """Suppliers as changes to customers, under customer names in capitals; the target's spelling stays."""
+    target = table(spark, sf, "customer").select("c_name", "c_acctbal", "c_mktsegment")
+    number = F.lpad((F.col("s_suppkey") + 5).cast("string"), 9, "0")
+    changes = table(spark, sf, "supplier").select(F.concat(F.lit("CUSTOMER#"), number).alias("c_name"), F.col("s_acctbal").alias("c_acctbal"))
+    return merge_upsert(target, changes, ["c_name"], collation="UTF8_LCASE")
+
+
+@query(
+    "latest_collated",
+    """
+    SELECT o_custkey, priority, o_orderkey FROM (
+      SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN lower(o_orderpriority) ELSE o_orderpriority END AS priority FROM orders)
+    QUALIFY row_number() OVER (PARTITION BY o_custkey, lower(priority) ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+    """,
+)
+def latest_collated(spark, sf):
+    """The newest order of each customer and priority, which is spelled in two ways."""
+    priority = F.when(F.col("o_orderkey") % 2 == 0, F.lower("o_orderpriority")).otherwise(F.col("o_orderpriority"))
+    orders = table(spark, sf, "orders").withColumn("priority", priority)
+    newest = keep_latest(orders, ["o_custkey", "priority"], newest_first("o_orderdate", "o_orderkey"), "UTF8_LCASE")
+    return newest.select("o_custkey", "priority", "o_orderkey")
+
+
 @query(
     "state_commit",
     f"""
