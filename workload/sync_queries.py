@@ -23,6 +23,7 @@ from tidemark.plans.sync import Workspace, run_cycle
 from tidemark.session import shared_folder
 from tidemark.sources.failure_log import FailureLog
 from tidemark.sources.tables import UpsertTable, read_history
+from tidemark.streaming.failure_counts import FailureCounts
 from tidemark.streaming.failure_state import failure_state
 from tidemark.streaming.loop import stream_sync
 from workload.registry import fingerprint_sql, query, table
@@ -437,3 +438,24 @@ def stream_failure_latch(spark, sf):
     )
     failure_state(failures, log, f"{root}/checkpoint", poll=None).awaitTermination()
     return log.latches().select("scope", "tripped_at")
+
+
+@query(
+    "stream_failure_counts",
+    """
+    WITH seconds AS (SELECT user_id, date_trunc('second', ts) AS second, count(*) AS failures
+                     FROM events WHERE event_type = 'error' GROUP BY ALL)
+    SELECT *, in_window >= 5 AS tripped FROM (
+      SELECT user_id, CAST(second AS TIMESTAMP) AS second, failures,
+             CAST(sum(failures) OVER (PARTITION BY user_id ORDER BY second
+                  RANGE BETWEEN INTERVAL 72 HOURS PRECEDING AND CURRENT ROW) AS BIGINT) AS in_window
+      FROM seconds)
+    """,
+)
+def stream_failure_counts(spark, sf):
+    """Errors of each user arriving as a stream, counted by second in streaming state."""
+    errors = _stream(spark, sf, "events").where("event_type = 'error'").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    scope = T.StructType([T.StructField("user_id", T.LongType())])
+    counted = FailureCounts(spark, f"{shared_folder(spark)}/counts-{uuid.uuid4().hex}", scope, hours=72, threshold=5)
+    counted.watch(errors, poll=None).awaitTermination()
+    return counted.bursts().withColumn("second", F.col("second").cast("timestamp_ntz"))
