@@ -1,0 +1,148 @@
+"""A polled SELECT as a stream: ranges, polls, restarts, replays."""
+
+import json
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import types as T
+
+from tidemark.model import Destination, SyncJob
+from tidemark.operators.quality import ConformanceError
+from tidemark.plans.sync import Workspace
+from tidemark.sources.polled import cursor_ranges, folder_ranges, key_ranges, polled_stream
+from tidemark.sources.tables import UpsertTable
+from tidemark.streaming.loop import stream_sync
+
+SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+
+
+def clock_at(folder):
+    """A clock that shows what is written in a file, so that it can be set while the stream's own process reads it."""
+
+    def clock():
+        with open(f"{folder}/clock") as f:
+            return float(f.read())
+
+    return clock
+
+
+def turn(folder, seconds):
+    with open(f"{folder}/clock", "w") as f:
+        f.write(str(seconds))
+
+
+def fill(spark, folder, *rows):
+    spark.createDataFrame(list(rows), SCHEMA).write.mode("overwrite").parquet(f"{folder}/source")
+
+
+def polls(spark, folder, name, edges=(2, 5)):
+    return polled_stream(spark, name, SCHEMA, folder_ranges(f"{folder}/source", "id"), lambda: list(edges), every=10, clock=clock_at(folder))
+
+
+def test_ranges_hold_every_key_once():
+    assert key_ranges([]) == [(None, None)]
+    assert key_ranges([1, 5]) == [(None, 1), (1, 5), (5, None)]
+    for wrong in ([2, 1], [1, 1]):
+        with pytest.raises(ConformanceError):
+            key_ranges(wrong)
+
+
+def test_polls_are_numbered_by_the_clock(spark, folder):
+    seen = []
+
+    def take(df, epoch):
+        seen.append((epoch, df.rdd.getNumPartitions(), sorted((tuple(r) for r in df.collect()), key=str)))
+
+    def run():
+        writer = polls(spark, folder, "numbered").writeStream.foreachBatch(take).option("checkpointLocation", f"{folder}/checkpoint")
+        query = writer.trigger(once=True).start()
+        query.awaitTermination(120)
+
+    fill(spark, folder, (1, "a"), (2, "b"), (None, "n"), (7, "c"))
+    turn(folder, 1005)
+    run()
+    assert seen == [(0, 3, sorted([(1, "a", 100), (2, "b", 100), (None, "n", 100), (7, "c", 100)], key=str))]
+    run()  # no poll since then
+    assert len(seen) == 1
+    turn(folder, 1049)  # polls 101 to 103 were missed
+    run()
+    assert [s[0] for s in seen] == [0, 1] and {r[2] for r in seen[1][2]} == {104} and len(seen[1][2]) == 4
+
+
+def test_an_offset_is_replayed_after_a_failure(spark, folder):
+    tries = []
+
+    def take(df, epoch):
+        tries.append((epoch, sorted((tuple(r) for r in df.collect()), key=str)))
+        if len(tries) == 2:
+            raise RuntimeError("the sink broke")
+
+    def run():
+        writer = polls(spark, folder, "replayed").writeStream.foreachBatch(take).option("checkpointLocation", f"{folder}/checkpoint")
+        query = writer.trigger(once=True).start()
+        query.awaitTermination(120)
+
+    fill(spark, folder, (1, "a"))
+    turn(folder, 10)
+    run()
+    fill(spark, folder, (1, "b"), (3, "c"))
+    turn(folder, 25)
+    with pytest.raises(Exception, match="the sink broke"):
+        run()
+    turn(folder, 99)
+    run()
+    assert tries[2][:2] == tries[1] == (1, [(1, "b", 2), (3, "c", 2)])  # the same epoch and poll
+    offsets = [json.loads(open(f"{folder}/checkpoint/offsets/{k}").read().splitlines()[-1]) for k in range(2)]
+    assert offsets == [{"poll": 1}, {"poll": 2}]
+
+
+def test_a_sync_follows_the_polls(spark, folder):
+    work = Workspace(spark, f"{folder}/work")
+
+    def run(at):
+        turn(folder, at)
+        stream = polls(spark, folder, "followed")
+        query = stream_sync(stream, work, SyncJob("j", "polled", "t", ["id"]), [Destination("d", f"{folder}/d")], "polled", f"{folder}/checkpoint", poll=None)
+        query.awaitTermination(240)
+
+    fill(spark, folder, (1, "a"), (2, "b"))
+    run(10)
+    fill(spark, folder, (1, "a"), (2, "new"), (9, "c"))
+    run(20)
+    rows = UpsertTable(spark, f"{folder}/d/t", SCHEMA, ["id"]).read().collect()
+    assert sorted((r.id, r.name) for r in rows) == [(1, "a"), (2, "new"), (9, "c")]
+    done = [(m["changes"], m["inserted"], m["updated"]) for m in sorted((r.asDict() for r in work.run_metrics().collect()), key=lambda m: m["cycle_id"])]
+    assert done == [(2, 2, 0), (2, 1, 1)]
+
+
+def test_reserved_column(spark, folder):
+    with pytest.raises(ConformanceError):
+        polled_stream(spark, "reserved", T.StructType([*SCHEMA.fields, T.StructField("Polled", T.IntegerType())]), folder_ranges(folder, "id"), list)
+
+
+class Cursor:
+    def __init__(self, said):
+        self.said, self.left = said, [[(1, "a"), (2, None)], [(3, "c")], []]
+
+    def cursor(self):
+        return self
+
+    def execute(self, text, values):
+        self.said.append((text, values))
+
+    def fetchmany(self, n):
+        return self.left.pop(0)
+
+    def close(self):
+        self.said.append("closed")
+
+
+@pytest.mark.parametrize("low, high, test, values", [
+    (None, None, "", []), (None, 5, " WHERE (k < ? OR k IS NULL)", [5]), (2, 5, " WHERE k >= ? AND k < ?", [2, 5]), (5, None, " WHERE k >= ?", [5]),
+])
+def test_bounds_are_bound(low, high, test, values):
+    said = []
+    schema = pa.schema([("id", pa.int64()), ("name", pa.string())])
+    batches = list(cursor_ranges(lambda: Cursor(said), "SELECT id, name FROM t;", "k", schema)(low, high))
+    assert [b.to_pylist() for b in batches] == [[{"id": 1, "name": "a"}, {"id": 2, "name": None}], [{"id": 3, "name": "c"}]]
+    assert said == [(f"SELECT * FROM (SELECT id, name FROM t) polled{test}", values), "closed"]

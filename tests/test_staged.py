@@ -1,0 +1,132 @@
+"""Batched writes: whole batches, failing and repeated tasks, and the statements for a database."""
+
+import glob
+import os
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.model import SyncJob
+from tidemark.plans.sync import Workspace, run_cycle
+from tidemark.sources.staged import DatabaseSink, FolderSink, batched_destination, in_batches, write_batches
+
+
+def stored(folder):
+    files = glob.glob(f"{folder}/*.parquet")
+    return [pa.parquet.read_table(f).to_pylist() for f in files]
+
+
+def test_rows_are_cut_into_batches():
+    parts = [pa.RecordBatch.from_arrays([pa.array(range(a, b))], ["x"]) for a, b in ((0, 3), (3, 3), (3, 10), (10, 11))]
+    cut = list(in_batches(iter(parts), 4))
+    assert [b.num_rows for b in cut] == [4, 4, 3]
+    assert [x for b in cut for x in b.column("x").to_pylist()] == list(range(11))
+    assert list(in_batches(iter([]), 4)) == []
+
+
+def test_every_row_once_in_batches_of_the_size(spark, folder):
+    df = spark.range(0, 1000, 1, 4).select("id", F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("name"))
+    assert write_batches(df, FolderSink(f"{folder}/t"), 60) == (1000, 0)
+    batches = stored(f"{folder}/t")
+    assert sorted(len(b) for b in batches) == [10] * 4 + [60] * 16
+    assert sorted(r["id"] for b in batches for r in b) == list(range(1000))
+    assert not os.path.exists(f"{folder}/t/_staged") or os.listdir(f"{folder}/t/_staged") == []
+    assert write_batches(df.limit(0), FolderSink(f"{folder}/t")) == (0, 0)
+
+
+def test_a_task_that_fails_leaves_the_target_untouched(spark, folder):
+    write_batches(spark.range(5), FolderSink(f"{folder}/t"), 2)
+    before = sorted(os.listdir(f"{folder}/t"))
+    bad = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("broken row"))).alias("id"))
+    with pytest.raises(Exception, match="broken row"):
+        write_batches(bad, FolderSink(f"{folder}/t"), 10)
+    assert sorted(f for f in os.listdir(f"{folder}/t") if f != "_staged") == [f for f in before if f != "_staged"]
+    assert write_batches(spark.range(5, 9), FolderSink(f"{folder}/t"), 2) == (4, 0)
+    assert sorted(r["id"] for b in stored(f"{folder}/t") for r in b) == list(range(9))
+
+
+class Twice(FolderSink):
+    """Every task stages its rows twice, as a speculative copy of it would, and names one of them."""
+
+    def stage(self, run, batch, rows):
+        super().stage(run, f"{batch}-copy", rows)
+        super().stage(run, batch, rows)
+
+    def apply(self, run, batch):
+        super().apply(run, batch)
+        super().apply(run, batch)  # as after a crash of the driver
+
+
+def test_copies_of_a_task_and_repeated_batches_count_once(spark, folder):
+    assert write_batches(spark.range(0, 100, 1, 3), Twice(f"{folder}/t"), 30) == (100, 0)
+    assert sorted(r["id"] for b in stored(f"{folder}/t") for r in b) == list(range(100))
+
+
+def test_a_cycle_delivers_in_batches(spark, folder):
+    made = []
+
+    def sink_of(table, columns, keys):
+        made.append((table, list(columns), list(keys)))
+        return FolderSink(f"{folder}/{table}")
+
+    work = Workspace(spark, f"{folder}/work")
+    rows = spark.range(20).select("id", F.lit("x").alias("name"))
+    job = SyncJob("j", lambda _: rows, "t", ["ID"])
+    for expected in (20, 0):
+        (m,) = run_cycle(work, [job], [batched_destination("d", sink_of, batch_size=6)])
+        assert (m["inserted"], m["errors"]) == (expected, 0)
+    assert made == [("t", ["id", "name"], ["id"])]
+    assert max(len(b) for b in stored(f"{folder}/t")) <= 6
+
+
+class Recorder:
+    """A connection that writes down what it is told and answers with fixed counts."""
+
+    rowcount = 1
+
+    def __init__(self, log, broken=False):
+        self.log, self.broken = log, broken
+
+    def cursor(self):
+        return self
+
+    def execute(self, text, values=()):
+        if self.broken and text.startswith("INSERT INTO [dbo]"):
+            raise RuntimeError("no space")
+        self.log.append(text)
+
+    def executemany(self, text, rows):
+        self.log.append((text, rows))
+
+    def fetchone(self):
+        return (3, 0)
+
+    def __getattr__(self, name):
+        return lambda: self.log.append(name)
+
+
+def test_a_batch_is_one_transaction():
+    log = []
+    sink = DatabaseSink(lambda: Recorder(log), "sqlserver", "dbo.t", "stage", "counts", ["id", "v"], ["id"])
+    sink.stage("r", "b1", pa.RecordBatch.from_pylist([{"v": "x", "id": 1, "other": 0}, {"v": None, "id": 2, "other": 0}]))
+    assert log == [("INSERT INTO [stage] ([id], [v], [run_id], [batch_id]) VALUES (?, ?, ?, ?)", [[1, "x", "r", "b1"], [2, None, "r", "b1"]]), "commit", "close"]
+    log.clear()
+    sink.apply("r", "b1")
+    mine = "(SELECT [id], [v] FROM [stage] WHERE [batch_id] = 'b1')"
+    assert log == [
+        "SELECT COUNT(*) FROM [stage] WHERE [batch_id] = 'b1'",
+        f"UPDATE t SET t.[v] = s.[v] FROM [dbo].[t] t JOIN {mine} s ON t.[id] = s.[id]",
+        f"INSERT INTO [dbo].[t] ([id], [v]) SELECT s.[id], s.[v] FROM {mine} s WHERE NOT EXISTS (SELECT 1 FROM [dbo].[t] t WHERE t.[id] = s.[id])",
+        "DELETE FROM [stage] WHERE [batch_id] = 'b1'", "INSERT INTO [counts] VALUES ('r', 1, 2)", "commit", "close",
+    ]
+    log.clear()
+    sink.connect = lambda: Recorder(log, broken=True)
+    with pytest.raises(RuntimeError):
+        sink.apply("r", "b2")
+    assert log[-2:] == ["rollback", "close"] and "commit" not in log
+    log.clear()
+    sink.connect = lambda: Recorder(log)
+    sink.discard("r")
+    assert log == ["DELETE FROM [stage] WHERE [run_id] = 'r'", "commit", "close"]
+    assert sink.totals("r") == (3, 0)

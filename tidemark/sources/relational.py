@@ -106,15 +106,17 @@ def quoted_table(name: str, dialect: str) -> str:
 
 
 def upsert_statements(
-    dialect: str, table: str, staging: str, columns: Sequence[str], keys: Sequence[str]
+    dialect: str, table: str, staging: str, columns: Sequence[str], keys: Sequence[str], subquery: bool = False
 ) -> list[str]:
     """Update rows that match on ``keys``, then insert those without a match.
 
+    With ``subquery``, ``staging`` is a SELECT in parentheses and no table's name.
+
     Only the staged columns are written. Every target row with the key is
     updated; with key columns only there is nothing to set.
     """
     q = lambda name: quoted(name, dialect)
-    target, source = quoted_table(table, dialect), quoted_table(staging, dialect)
+    target, source = quoted_table(table, dialect), staging if subquery else quoted_table(staging, dialect)
     same = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
     rest = [c for c in columns if c not in keys]
     statements = []

@@ -22,6 +22,8 @@ from tidemark.operators.merge import apply_counts, exists_in, match_target, merg
 from tidemark.plans.sync import Workspace, run_cycle
 from tidemark.session import shared_folder
 from tidemark.sources.failure_log import FailureLog
+from tidemark.sources.polled import folder_ranges, polled_stream
+from tidemark.sources.staged import FolderSink, write_batches
 from tidemark.sources.tables import UpsertTable, read_history
 from tidemark.streaming.failure_counts import FailureCounts
 from tidemark.streaming.failure_state import failure_state
@@ -459,3 +461,26 @@ def stream_failure_counts(spark, sf):
     counted = FailureCounts(spark, f"{shared_folder(spark)}/counts-{uuid.uuid4().hex}", scope, hours=72, threshold=5)
     counted.watch(errors, poll=None).awaitTermination()
     return counted.bursts().withColumn("second", F.col("second").cast("timestamp_ntz"))
+
+
+@query("stream_polled_sync", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def stream_polled_sync(spark, sf):
+    """Customers polled in four key ranges and synced from the stream of polls; the table folder stands in for a database."""
+    root = f"{shared_folder(spark)}/polled-{uuid.uuid4().hex}"
+    customers = table(spark, sf, "customer")
+    edges = [int(e) for e in customers.approxQuantile("c_custkey", [0.25, 0.5, 0.75], 0.01)]
+    rows = folder_ranges(f"{sf}/customer.parquet", "c_custkey")
+    stream = polled_stream(spark, "customers_polled", customers.schema, rows, lambda: sorted(set(edges)))
+    job = SyncJob("customers", "polled", "customers", ["c_custkey"])
+    workspace = Workspace(spark, f"{root}/workspace")
+    stream_sync(stream, workspace, job, [Destination("erp", f"{root}/erp")], "polled", f"{root}/checkpoint", poll=None).awaitTermination()
+    return UpsertTable(spark, f"{root}/erp/customers", customers.schema, ["c_custkey"]).read()
+
+
+@query("batched_write", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def batched_write(spark, sf):
+    """Nations written in batches of four rows, each applied whole; the folder stands in for a database."""
+    path = f"{shared_folder(spark).removeprefix('file:')}/batched-{uuid.uuid4().hex}"
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    write_batches(nations, FolderSink(path), batch_size=4)
+    return spark.read.schema(nations.schema).parquet(f"{path}/*.parquet")
