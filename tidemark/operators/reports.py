@@ -54,3 +54,17 @@ def shared_values(df: DataFrame, value: str, by: str) -> DataFrame:
         .where(F.col("parents") > 1)
     )
 
+
+
+def distinct_sketches(df: DataFrame, by: Sequence[str], value: str, lg_registers: int = 12) -> DataFrame:
+    """``by`` and ``sketch``, which counts the different values of ``value``; missing values do not count.
+
+    Sketches are small and can be united, so those of a day may be kept and later cycles
+    need not read its rows again. With 2^12 registers the standard error is 1.6 %.
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(value, F.lit(lg_registers)).alias("sketch"))
+
+
+def united_distincts(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by`` and ``distinct_values``, estimated from all sketches of a group; a sketch that comes twice counts once."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch", F.lit(True))).alias("distinct_values"))

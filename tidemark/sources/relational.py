@@ -8,11 +8,14 @@ of one or two statements per row.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import plain_name
@@ -30,6 +33,72 @@ class Split:
     partitions: int
 
 
+@dataclass(frozen=True)
+class DepthRange:
+    """Rows whose column lies from ``low`` to ``high``; the ends count as ``open_low`` and ``closed_high`` say. None is no bound.
+
+    Without ``low`` the range also holds the rows without a value.
+    """
+
+    low: object = None
+    high: object = None
+    open_low: bool = False
+    closed_high: bool = False
+
+    @property
+    def single(self) -> bool:
+        return self.closed_high
+
+    def column(self, value: Column) -> Column:
+        """The range as a condition that is never NULL."""
+        test = F.lit(True)
+        if self.low is not None:
+            test &= value > F.lit(self.low) if self.open_low else value >= F.lit(self.low)
+        if self.high is not None:
+            test &= value <= F.lit(self.high) if self.closed_high else value < F.lit(self.high)
+        return F.coalesce(test, F.lit(False)) | value.isNull() if self.low is None else F.coalesce(test, F.lit(False))
+
+    def predicate(self, column: str) -> str:
+        """The range as a predicate for ``scan``; ``column`` is quoted by the caller."""
+        tests = [] if self.low is None else [f"{column} {'>' if self.open_low else '>='} {literal(self.low)}"]
+        tests += [] if self.high is None else [f"{column} {'<=' if self.closed_high else '<'} {literal(self.high)}"]
+        text = " AND ".join(tests) or "1 = 1"
+        return f"({text} OR {column} IS NULL)" if self.low is None and tests else text
+
+
+def literal(value: object) -> str:
+    """A number, text, date or timestamp as the servers known here write it."""
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal, str, dt.date)):
+        raise ConformanceError(f"{value!r} cannot bound a range")
+    if isinstance(value, (str, dt.date)):
+        return "'" + str(value).replace("'", "''") + "'"
+    return str(value)
+
+
+def depth_ranges(rows: DataFrame, column: str, parts: int) -> list[DepthRange]:
+    """About ``parts`` ranges with about as many rows each, in which every row lies once.
+
+    The ends are quantiles of a sketch that Spark builds in one pass over the column, with an error of
+    a hundredth of a range. A value that several quantiles hit is heavy and becomes a range of its
+    own; nothing else is larger than its neighbours by more than the error.
+    """
+    if parts < 1:
+        raise ConformanceError("a scan needs one range at least")
+    shares = [k / parts for k in range(1, parts)]
+    found = rows.select(F.percentile_approx(column, shares or [0.5], 100 * parts)).first()[0] if shares else None
+    if not found:
+        return [DepthRange()]
+    hits = Counter(found)
+    ranges, low, open_low = [], None, False
+    for edge in sorted(hits):
+        ranges.append(DepthRange(low, edge, open_low))
+        low, open_low = edge, False
+        if hits[edge] > 1:
+            ranges.append(DepthRange(edge, edge, False, True))
+            open_low = True
+    return [*ranges, DepthRange(low, None, open_low)]
+
+
 @dataclass(frozen=True)
 class Connection:
     """JDBC address. ``options`` may carry driver, user, password, queryTimeout, fetchsize."""
@@ -77,6 +146,15 @@ def scan(
     return spark.read.format("jdbc").options(**read_options(connection, sql, split, prepare)).load()
 
 
+def scan_ranges(
+    spark: SparkSession, connection: Connection, sql: str, column: str, ranges: Sequence[DepthRange]
+) -> DataFrame:
+    """Lazy result of ``sql`` on the source, one task for each range of ``column`` (see :func:`depth_ranges`)."""
+    options = dict(connection.options)
+    predicates = [r.predicate(column) for r in ranges]
+    return spark.read.jdbc(connection.url, f"({select_text(sql)}) extract", predicates=predicates, properties=options)
+
+
 # Opening and closing identifier quotes per dialect.
 IDENTIFIER_QUOTES = {"sqlserver": "[]", "postgresql": '""', "mysql": "``"}
 

@@ -19,10 +19,12 @@ from tidemark.operators.audit import audit_flags
 from tidemark.operators.changes import change_counts, classify, classify_all, commit, migrate, state_summary
 from tidemark.operators.latest import keep_latest, newest_first
 from tidemark.operators.merge import apply_counts, exists_in, match_target, merge_upsert
+from tidemark.operators.reports import distinct_sketches, united_distincts
 from tidemark.plans.sync import Workspace, run_cycle
 from tidemark.session import shared_folder
 from tidemark.sources.failure_log import FailureLog
 from tidemark.sources.polled import folder_ranges, polled_stream
+from tidemark.sources.relational import depth_ranges
 from tidemark.sources.staged import FolderSink, write_batches
 from tidemark.sources.tables import UpsertTable, read_history
 from tidemark.streaming.failure_counts import FailureCounts
@@ -484,3 +486,60 @@ def batched_write(spark, sf):
     nations = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
     write_batches(nations, FolderSink(path), batch_size=4)
     return spark.read.schema(nations.schema).parquet(f"{path}/*.parquet")
+
+
+@query(
+    "depth_ranges",
+    """
+    SELECT count(*) AS rows, count(*) AS in_one_range, true AS balanced FROM lineitem
+    """,
+)
+def depth_ranges_query(spark, sf):
+    """Line items by the square of a key, with one key for a third of them: rows, rows in exactly one of 16 ranges, and whether no range but that of a heavy key is larger than twice the mean."""
+    key = F.when(F.col("l_linenumber") % 3 == 0, -1).otherwise(F.col("l_orderkey") * F.col("l_orderkey"))
+    lines = table(spark, sf, "lineitem").select(key.alias("key"))
+    ranges = depth_ranges(lines, "key", 16)
+    inside = [r.column(F.col("key")).cast("long") for r in ranges]
+    hits = sum(inside, F.lit(0))
+    largest = F.greatest(*[F.sum(x) for x, r in zip(inside, ranges) if not r.single])
+    return lines.agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(hits == 1, 1)).alias("in_one_range"),
+        (largest * 16 <= 2 * F.count(F.lit(1))).alias("balanced"),
+    )
+
+
+@query(
+    "united_distincts",
+    """
+    SELECT l_suppkey, count(DISTINCT l_partkey) AS parts, true AS within FROM lineitem GROUP BY l_suppkey
+    """,
+)
+def united_distincts_query(spark, sf):
+    """Different parts of each supplier: exact, and whether the estimate from the united sketches of the years is within 6 % (or one)."""
+    lines = table(spark, sf, "lineitem").select("l_suppkey", F.year("l_shipdate").alias("year"), "l_partkey")
+    estimate = united_distincts(distinct_sketches(lines, ["l_suppkey", "year"], "l_partkey"), ["l_suppkey"])
+    exact = lines.groupBy("l_suppkey").agg(F.count_distinct("l_partkey").alias("parts"))
+    off = F.abs(F.col("distinct_values") - F.col("parts"))
+    return exact.join(estimate, "l_suppkey").select("l_suppkey", "parts", (off <= F.greatest(F.lit(1.0), 0.06 * F.col("parts"))).alias("within"))
+
+
+@query(
+    "script_job",
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+    WHERE o_totalprice >= 100000 AND o_orderpriority <> '5-LOW'
+    """,
+)
+def script_job(spark, sf):
+    """An extract written as a script, with a declared variable and bound parameters."""
+    view = f"orders_{uuid.uuid4().hex}"
+    table(spark, sf, "orders").createOrReplaceTempView(view)
+    text = f"""
+    BEGIN
+      DECLARE least DOUBLE DEFAULT :thousands;
+      SET least = least * 1000;
+      SELECT o_orderkey, o_custkey, o_totalprice FROM {view} WHERE o_totalprice >= least AND o_orderpriority <> :left_out;
+    END;
+    """
+    job = SyncJob("orders", text, "orders", ["o_orderkey"], parameters={"thousands": 100, "left_out": "5-LOW"})
+    return job.frame(spark)
