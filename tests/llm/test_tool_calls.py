@@ -1,8 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm.tool_calls import calls_of_chats, levels, link_calls
+from tidemark.llm.tool_calls import calls_of_chats, levels, link_calls, with_numbers
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after string, status string, level int"
 RESULTS = "conv_id long, turn long, call_id string, content string, json string"
@@ -86,3 +87,56 @@ def test_chats(spark):
         ("call-0", None, '{"turn":0}'), ("call-1", None, '{"text":"é","turn":1,"length":1}'), ("call-3", "call-1", '{"text":"","turn":3,"length":0}'),
     ]
     assert [(r.call_id, len(r.content)) for r in results.collect()] == [("call-1", 100000)]
+
+
+NUMBERS = [  # spellings of one number, and its text
+    (["1000", "1000.0", "1e3", "1E+3", "10000e-1", "0.1e4"], "1000"), (["1e-7", "0.0000001", "0.00000010", "10E-8"], "0.0000001"),
+    (["0", "-0", "0.0", "0e5", "-0.00E-99999999999999999999"], "0"), (["-2.50", "-25e-1"], "-2.5"),
+    (["1" * 38, "1" * 38 + ".0"], "1" * 38), (["12345678901234567890123456789012345678901234567890", "1.2345678901234567890123456789012345678901234567890e49"], "1.2345678901234567E49"),
+    (["1e300", "10e299", "0.1E301"], "1.0E300"),
+]
+
+
+def test_equal_numbers_have_one_text_at_every_depth(spark):
+    rows, expected = [], {}
+    for k, (spellings, text) in enumerate(NUMBERS):
+        for i, x in enumerate(spellings):
+            call = f"{k}-{i}"
+            rows.append(("c", i, call, "any", '{"s":"1e3 \\\\ \\" 007", "a":[%s,{"b":[[%s]]}], "n":%s}' % (x, x, x), None))
+            expected[call] = text
+    schemas = spark.createDataFrame([("any", f, "whatever", False) for f in "san"], "name string, field string, type string, required boolean")
+    results = spark.createDataFrame([], "conv_id string, turn int, call_id string, content string")
+    calls = spark.createDataFrame(rows, "conv_id string, turn int, call_id string, name string, arguments string, after string")
+    got = link_calls(calls, results, schemas).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text, body = expected[r.call_id], json.loads(r.json)["arguments"]
+        assert r.errors == [] and body["s"] == '1e3 \\ " 007'
+        assert {float(x) for x in (body["n"], body["a"][0], body["a"][1]["b"][0][0])} == {float(text)}
+        assert f'"n":{text},' in r.json
+    for k in range(len(NUMBERS)):
+        assert len({r.json.split('"call_id"')[0] for r in got if r.call_id.startswith(f"{k}-")}) == 1
+
+
+@pytest.mark.parametrize("bad", ["1e400", "-1e400", "1e-400", "9" * 400, "1e99999999999999999999"])
+def test_numbers_out_of_range_are_errors(spark, bad):
+    rows = [("c", 1, "x", "f", '{"n":%s,"m":[1,{"k":%s}],"i":5,"s":"Infinity 1e400"}' % (bad, bad), None)]
+    schemas = spark.createDataFrame([("f", f, t, True) for f, t in (("n", "number"), ("m", "array"), ("i", "integer"), ("s", "string"))], "name string, field string, type string, required boolean")
+    results = spark.createDataFrame([("c", 2, "x", "done")], "conv_id string, turn int, call_id string, content string")
+    calls = spark.createDataFrame(rows, "conv_id string, turn int, call_id string, name string, arguments string, after string")
+    (r,) = link_calls(calls, results, schemas).collect()
+    assert r.status == "invalid" and r.errors == ["range:m", "range:n"]
+    assert json.loads(r.json)["arguments"] == {"n": None, "m": [1, {"k": None}], "i": 5, "s": "Infinity 1e400"}
+
+
+@pytest.mark.parametrize("text", ['{"n":01}', '{"n":1-2}', '{"n":.5}', '{"n":+1}', '{"n":1.}', '{"n":--1}', '{"a"'])
+def test_what_is_no_number_is_malformed(spark, text):
+    found = spark.createDataFrame([(text,)], "j string").select(F.try_parse_json(with_numbers(F.col("j"), "null")).isNull()).first()[0]
+    assert found
+
+
+def test_long_escaped_texts_keep_their_meaning(spark):
+    body = 'line "quoted" \\ 1e3\n' * 20_000
+    df = spark.createDataFrame([(json.dumps({"t": body, "n": 1.50}),)], "j string")
+    written = df.select(with_numbers(F.col("j"), "null")).first()[0]
+    assert json.loads(written) == {"t": body, "n": 1.5} and written.endswith("1.5}")

@@ -4,7 +4,12 @@ Calls and results are joined by conversation and identifier. Calls are ordered
 topologically by the call that each comes after: their levels are found by
 doubling, so a chain of n calls takes log2(n) joins. Arguments are parsed as
 variants, checked against the schema of their tool, and written as canonical JSON:
-keys sorted at every depth, no blanks, numbers in one form.
+keys sorted at every depth (by UTF-16 unit), no blanks, numbers in one form.
+
+Equal numbers have one text, whatever their spelling: plain digits, without needless zeros,
+if the integer digits and the decimal places are 38 at most together, else the double
+nearest to it in exponent form. Numbers that no double comes near (too large, or so small
+that they would become 0) are errors.
 """
 
 from __future__ import annotations
@@ -42,8 +47,53 @@ def levels(calls: DataFrame) -> DataFrame:
     return steps.select("conv_id", "call_id", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
 
 
-def schema_errors(arguments: str, fields: str) -> Column:
-    """What is wrong with a map of variants, given the fields (field, type, required) of its tool; sorted."""
+def number(token: Column, outside: str) -> Column:
+    """The one text of a JSON number; ``outside`` for those out of range. What is no JSON number stays as it is."""
+    pattern = r"^(-?)(0|[1-9][0-9]*)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?$"
+    part = lambda k: F.regexp_extract(token, pattern, k)
+    digits = F.concat(part(2), part(3))
+    short = F.ltrim(digits, F.lit("0"))
+    kept = F.rtrim(short, F.lit("0"))
+    power = F.when(part(4) == "", F.lit(0).cast("bigint")).otherwise(part(4).try_cast("bigint"))
+    # the value is 0.kept times ten to the power of point
+    point = F.length(part(2)) - (F.length(digits) - F.length(short)) + power
+    n, zeros = F.length(kept), lambda k: F.repeat(F.lit("0"), k.cast("int"))
+    plain = (
+        F.when(point >= n, F.concat(kept, zeros(F.least(point - n, F.lit(38)))))
+        .when(point > 0, F.concat(F.substr(kept, F.lit(1), point.cast("int")), F.lit("."), F.substr(kept, point.cast("int") + 1)))
+        .otherwise(F.concat(F.lit("0."), zeros(F.least(-point, F.lit(38))), kept))
+    )
+    fits = point.isNotNull() & (F.greatest(point, F.lit(0)) + F.greatest(n - point, F.lit(0)) <= 38)
+    rest = F.substr(kept, F.lit(2))
+    long = F.concat(F.substr(kept, F.lit(1), F.lit(1)), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e"), (point - 1).cast("string"))
+    size = long.try_cast("double")
+    inside = F.coalesce((point.between(-400, 400)) & (size > 0) & (size < float("inf")), F.lit(False))
+    return (
+        F.when(~token.rlike(pattern), token)
+        .when(kept == "", "0")
+        .when(fits, F.concat(part(1), plain))
+        .when(inside, F.concat(part(1), long))
+        .otherwise(outside)
+    )
+
+
+def with_numbers(json: Column, outside: str) -> Column:
+    """A JSON text whose numbers are in one form (see ``number``), at every depth.
+
+    Escaped quotes and backslashes are written by their numbers first, which means the
+    same; then every other part between quotes lies outside of strings.
+    """
+    plain = F.replace(F.replace(json, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    tokens = lambda part: F.regexp_extract_all(part, F.lit(r"-?[0-9][0-9.eE+-]*|[^0-9-]+|-"), F.lit(0))
+    written = lambda part: F.array_join(F.transform(tokens(part), lambda t: number(t, outside)), "")
+    return F.array_join(F.transform(F.split(plain, '"'), lambda part, k: F.when(k % 2 == 0, written(part)).otherwise(part)), '"')
+
+
+def schema_errors(arguments: str, bare: str, fields: str) -> Column:
+    """What is wrong with a map of variants, given the fields (field, type, required) of its tool; sorted.
+
+    ``bare`` is the same map with null for numbers out of range, so where both differ there are some.
+    """
     got, wanted = F.col(arguments), F.col(fields)
     kind = lambda f: F.schema_of_variant(got[f.field])
     fits = lambda f: F.coalesce(*[F.when(f.type == t, kind(f).rlike(pattern)) for t, pattern in TYPES.items()], F.lit(True))
@@ -51,7 +101,9 @@ def schema_errors(arguments: str, fields: str) -> Column:
     wrong = F.transform(F.filter(wanted, lambda f: F.map_contains_key(got, f.field) & ~fits(f)), lambda f: F.concat(F.lit("type:"), f.field))
     names = F.transform(wanted, lambda f: f.field)
     extra = F.transform(F.array_except(F.map_keys(got), names), lambda k: F.concat(F.lit("unexpected:"), k))
-    return F.array_sort(F.concat(missing, wrong, extra))
+    text = lambda m, k: F.to_json(F.struct(m[k]))
+    far = F.transform(F.filter(F.map_keys(got), lambda k: ~text(got, k).eqNullSafe(text(F.col(bare), k))), lambda k: F.concat(F.lit("range:"), k))
+    return F.array_sort(F.concat(missing, wrong, far, extra))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -68,7 +120,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     ``extra_result`` (the call has an earlier one, by turn, then content). Sorting by
     conv_id, level, turn and call_id gives a topological order; level is null
     for cycles, calls without identifier and results left over. Errors: malformed
-    (not a JSON object), unknown_tool, missing:, type: and unexpected: with the field,
+    (not a JSON object), unknown_tool, missing:, type:, range: (a number in it is out of range
+    and null in ``json``) and unexpected: with the field, sorted by byte,
     unknown_call (``after`` is no call), early_result (not after its call). Rows
     repeated whole get the same status. Null conversations are one like others.
     ``json`` is canonical, without keys whose value is null. More columns are not looked at.
@@ -93,13 +146,15 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     linked = linked.join(known, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("after") == F.col("i")), "left").withColumn("after_known", F.col("i").isNotNull()).drop("c", "i")
     linked = linked.join(fields, "name", "left")
 
-    linked = linked.withColumn("variant", F.try_parse_json("arguments"))
-    linked = linked.withColumn("map", F.expr("try_variant_get(variant, '$', 'map<string,variant>')"))
+    linked = linked.withColumn("variant", F.try_parse_json(with_numbers(F.col("arguments"), "null")))
+    linked = linked.withColumn("whole", F.try_parse_json(with_numbers(F.col("arguments"), "0")))
+    linked = linked.withColumn("bare", F.expr("try_variant_get(variant, '$', 'map<string,variant>')"))
+    linked = linked.withColumn("map", F.expr("try_variant_get(whole, '$', 'map<string,variant>')"))
     single = lambda what, name: F.when(what, F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
     wrong = (
         F.when(F.col("map").isNull(), F.array(F.lit("malformed")))
         .when(F.col("fields").isNull(), F.array(F.lit("unknown_tool")))
-        .otherwise(schema_errors("map", "fields"))
+        .otherwise(schema_errors("map", "bare", "fields"))
     )
     errors = F.concat(
         wrong,
