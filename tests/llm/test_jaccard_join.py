@@ -4,10 +4,11 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import shingles
 from tidemark.llm.components import components
-from tidemark.llm.jaccard_join import drop_similar, similar_sets
+from tidemark.llm.jaccard_join import BITMAP, drop_similar, may_link, meetings, similar_sets
 
 SCHEMA = "doc_id long, text string, n int, id string, component long"
 
@@ -95,3 +96,29 @@ def test_components(spark):
         for a, b in links:
             root[a] = root[b] = min(root.get(a, a), root.get(b, b))
     assert got == {k: v for k, v in root.items() if any(k in p and p[0] != p[1] for p in links)}
+
+
+def placed(spark, rows):
+    """Rows (token, node, n, at), every set a component of its own, with empty bitmaps."""
+    df = spark.createDataFrame(rows, "token long, node long, n int, at int")
+    return df.withColumn("component", F.col("node")).withColumns({b: F.lit(0).cast("long") for b in BITMAP})
+
+
+def test_late_sets_do_not_meet(spark):
+    """Unlinked sets of one template: what is paired does not follow the square of their number."""
+    for number in (100, 200, 400):
+        rows = [(t, k, 300 + k % 7, 36 + t) for k in range(number) for t in range(4)]
+        rows += [(0, number, 300, 1)]  # one set that is early
+        assert meetings(placed(spark, rows), 85).count() <= 3 * number
+
+
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_all_that_may_link_meet(spark, percent):
+    rnd = random.Random(percent)
+    sizes = [rnd.randrange(1, 120) for _ in range(150)]
+    rows = [(0, k, n, rnd.randrange(n - (percent * n + 99) // 100 + 1)) for k, n in enumerate(sizes)]
+    mixed = placed(spark, rows)
+    pair = lambda df: {(min(r.a, r.b), max(r.a, r.b)) for r in df.where("a <> b").where(may_link("a", "b", percent)).select("a", "b").collect()}
+    x, y = (mixed.select(F.col("node").alias(c), F.col("n").alias(f"{c}n"), F.col("at").alias(f"{c}at")) for c in "ab")
+    every = pair(x.join(y, F.col("a") < F.col("b")))
+    assert every and pair(meetings(mixed, percent)) == every

@@ -11,7 +11,9 @@
    So does a bitmap of each set: two bitmaps differ in no more bits than the sets
    differ in shingles. Every shingle first links its sets to one hub only. What this joins to a
    component needs no more links among itself, so of the pairs that share a
-   shingle only those between different components follow, all of them.
+   shingle only those between different components follow, all of them. A set
+   whose place alone rules out a partner like itself meets only sets that are not
+   like that, so sets with much in common and too much of their own are not paired.
 4. *Counting.* The order is cut into ``fragments`` of equal weight. The overlap of
    a candidate pair is counted in each fragment on its own and summed per pair.
    Before that, the overlap in the part of the order that both prefixes cover bounds
@@ -19,7 +21,7 @@
 5. *Components* of the links found.
 
 The number of pairs follows the number of components that meet, not the square
-of a group's size. Nothing is capped; a pair is left out only if its bound rules
+of a group's size, as long as the sets of unlinked components meet late in their order. Nothing is capped; a pair is left out only if its bound rules
 it out or both its sets are in one component already.
 """
 
@@ -143,6 +145,24 @@ def bitmaps_allow(x: str, y: str, percent: int) -> Column:
     return differing * (100 + percent) <= (n + m) * (100 - percent)
 
 
+def meetings(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets that share a token, of which a is outside the token's main component, before any filter.
+
+    A set is early if ``may_link`` allows it a partner with the same size and place. If it
+    does so for two sets, it does for one of them with itself: the mean of what is left
+    of both is no less than the smaller, no more than the larger. So late sets meet early ones only.
+    """
+    sizes = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("sets"))
+    main = sizes.groupBy("token").agg(F.max(F.struct("sets", "component")).alias("main")).select("token", F.col("main.component").alias("main"))
+    early = 100 * (F.col("n") - F.col("at")) >= percent * (F.col("n") + F.col("at"))
+    mixed = mixed.withColumn("early", early)
+    part = lambda df, x: df.select("token", F.col("node").alias(x), *[F.col(c).alias(f"{x}{c}") for c in ("n", "at", "component", *BITMAP)])
+    minor = mixed.join(main, "token").where("component <> main")
+    with_all = part(minor.where("early"), "a").join(part(mixed, "b"), "token")
+    with_early = part(minor.where("not early"), "a").join(part(mixed.where("early"), "b"), "token")
+    return with_all.unionByName(with_early)
+
+
 def plausible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, an, b, bn) that can be links after counting the overlap where both prefixes reach.
 
@@ -220,11 +240,7 @@ def similar_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width:
     owned = owned.join(classes.select("node", *BITMAP), "node")
     tokens = owned.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     mixed = saved(owned.join(tokens, "token", "left_semi"), "mixed", folder)
-    sizes = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("sets"))
-    main = sizes.groupBy("token").agg(F.max(F.struct("sets", "component")).alias("main")).select("token", F.col("main.component").alias("main"))
-    part = lambda df, x: df.select("token", F.col("node").alias(x), *[F.col(c).alias(f"{x}{c}") for c in ("n", "at", "component", *BITMAP)])
-    minor, every = part(mixed.join(main, "token").where("component <> main"), "a"), part(mixed, "b")
-    pairs = minor.join(every, "token").where(F.col("acomponent") != F.col("bcomponent"))
+    pairs = meetings(mixed, percent).where(F.col("acomponent") != F.col("bcomponent"))
     pairs = pairs.where(may_link("a", "b", percent)).where(bitmaps_allow("a", "b", percent))
     swap = F.col("a") > F.col("b")
     pairs = pairs.select(*[F.when(swap, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("an", "bn"), ("b", "a"), ("bn", "an"))])
