@@ -15,7 +15,7 @@ from tidemark.operators.merge import apply_counts, exists_in, match_target, merg
 from tidemark.operators.quality import dup_keys
 from tidemark.plans.sync import Workspace, run_cycle
 from tidemark.sources.tables import UpsertTable
-from tidemark.streaming.loop import snapshots_of
+from tidemark.streaming.loop import newest_rows
 
 LCASE, RTRIM = "UTF8_LCASE", "UTF8_LCASE_RTRIM"
 
@@ -77,7 +77,7 @@ def test_classification_takes_spellings_for_one_key(spark):
 
 def test_stream_takes_the_newest_spelling(spark):
     df = spark.createDataFrame([("A7", 1, 1), ("a7", 2, 2), ("b", 3, 1)], "k string, v int, at int")
-    (newest,) = snapshots_of(df, ["k"], "at", False, LCASE)
+    newest = newest_rows(df, ["k"], "at", LCASE)
     assert rows(newest) == [("a7", 2), ("b", 3)]
 
 

@@ -113,7 +113,52 @@ def test_history_gets_every_version_of_an_epoch_once(spark, folder):
     rows = read_history(spark, f"{folder}/h/staff", schema).collect()
     assert sorted((r["id"], r["name"]) for r in rows) == [(1, "A"), (1, "B"), (2, "X")]
     assert staff(spark, folder) == [(1, "B"), (2, "X")]
-    assert sent == [[(1, "A")], [(1, "B"), (2, "X")]]
+    # a destination that keeps one version gets the newest
+    assert sent == [[(1, "B"), (2, "X")]]
+
+
+def test_ten_thousand_snapshots_are_one_pass(spark, folder):
+    """A row timestamp as the order: every change of a key arrives, equal versions in a row are one, and jobs stay few."""
+    work, out = Workspace(spark, f"{folder}/work"), [Destination("h", f"{folder}/h", mode="history"), Destination("d", f"{folder}/d")]
+    arrive(spark, folder, (0, "v0", -1), (7, "old", -1))
+    run(spark, folder, work, out)
+    rows = spark.range(10_000).selectExpr("int(id % 2) AS id", "concat('v', int(id / 20)) AS name", "int(id) AS taken")
+    rows.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    run(spark, folder, work, out)
+    schema = T.StructType.fromDDL("id int, name string")
+    found = sorted((r["id"], r["name"]) for r in read_history(spark, f"{folder}/h/staff", schema).collect())
+    # key 0 was v0 already
+    assert found == sorted([(k, f"v{n}") for k in (0, 1) for n in range(500)] + [(7, "old")])
+    assert staff(spark, folder) == [(0, "v499"), (1, "v499"), (7, "old")]
+    last = {r["destination"]: r["changes"] for r in work.run_metrics().where("cycle_id = 'epoch-1'").collect()}
+    assert last == {"h": 999, "d": 2}
+    state = work.state.read().groupBy("destination_id").count().collect()
+    assert {r["destination_id"]: r["count"] for r in state} == {"h": 3, "d": 3}
+
+
+def test_versions_that_come_back_are_versions(spark, folder):
+    work, out = Workspace(spark, f"{folder}/work"), [Destination("h", f"{folder}/h", mode="history")]
+    schema = T.StructType.fromDDL("id int, name string")
+    for rows in ([(1, "A", 1)], [(1, "A", 2), (1, "B", 3), (1, "B", None), (1, "A", 4)], [(1, "A", 5)]):
+        arrive(spark, folder, *rows)
+        run(spark, folder, work, out)
+    # a null order comes first: B, A, B, A after A
+    found = sorted(r["name"] for r in read_history(spark, f"{folder}/h/staff", schema).collect())
+    assert found == ["A", "A", "A", "B", "B"]
+    assert [r["changes"] for r in work.run_metrics().orderBy("cycle_id").collect()] == [1, 4, 0]
+
+
+def test_an_epoch_that_a_destination_has_is_not_sent_again(spark, folder, monkeypatch):
+    """The driver ends between the commit and the end of the epoch: the replay sends nothing twice."""
+    work, out = Workspace(spark, f"{folder}/work"), [Destination("h", f"{folder}/h", mode="history")]
+    arrive(spark, folder, (1, "A", 1), (1, "B", 2), (1, "C", 3))
+    with monkeypatch.context() as patch:
+        patch.setattr(work, "store_metrics", lambda *_: (_ for _ in ()).throw(OSError("the driver is gone")))
+        with pytest.raises(Exception, match="driver is gone"):
+            run(spark, folder, work, out)
+    run(spark, folder, Workspace(spark, f"{folder}/work"), out)
+    schema = T.StructType.fromDDL("id int, name string")
+    assert sorted(r["name"] for r in read_history(spark, f"{folder}/h/staff", schema).collect()) == ["A", "B", "C"]
 
 
 def test_keys_that_repeat_in_a_snapshot_are_refused(spark, folder):

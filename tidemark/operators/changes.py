@@ -6,10 +6,10 @@ vanish from a snapshot stay in the state and are never sent as deletes.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 NEW, UPDATED = "NEW", "UPDATED"
@@ -35,7 +35,29 @@ def classify(snapshot: DataFrame, state: DataFrame, stream: str, destination: st
     )
 
 
-def classify_all(snapshot: DataFrame, state: DataFrame, streams: Mapping[str, str]) -> DataFrame:
+def in_line(versions: DataFrame) -> DataFrame:
+    """Fingerprinted rows of several snapshots, told apart by ``moment``: each with what its key's line says about it.
+
+    ``before`` is the data hash of the key's version before, NULL for the first; ``newest`` marks the
+    last one and ``final_hash`` is its hash; ``copies`` is 2 for a row that repeats a key within a moment. One window over
+    the key hash; the line of a key is sorted by one task, which spills, and is never collected.
+    """
+    line = Window.partitionBy("key_hash").orderBy(F.col("moment").asc_nulls_first())
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    again = (F.row_number().over(line) > 1) & F.lag("moment").over(line).eqNullSafe(F.col("moment"))
+    return versions.withColumns(
+        {
+            "copies": F.when(again, 2).otherwise(1),
+            "before": F.lag("data_hash").over(line),
+            "newest": F.lead("data_hash").over(line).isNull(),
+            "final_hash": F.last("data_hash").over(whole),
+        }
+    )
+
+
+def classify_all(
+    snapshot: DataFrame, state: DataFrame, streams: Mapping[str, str], every: Collection[str] | None = None
+) -> DataFrame:
     """Changes for every destination in ``streams`` (destination id -> stream id).
 
     The state is folded to one row per key that holds a hash per destination
@@ -43,6 +65,9 @@ def classify_all(snapshot: DataFrame, state: DataFrame, streams: Mapping[str, st
     for all of them and a row is repeated only for destinations that need it.
     A ``seq`` column in the state tells older hashes of a key from its last one;
     the fold then settles both questions in the aggregation the join needs anyway.
+
+    With ``every``, the snapshot holds several versions of a key (see :func:`in_line`). The
+    destinations in it get each version that differs from the one before, the others the newest.
     """
     matches = [
         (F.col("stream_id") == s) & (F.col("destination_id") == d) for d, s in streams.items()
@@ -59,19 +84,17 @@ def classify_all(snapshot: DataFrame, state: DataFrame, streams: Mapping[str, st
         )
     )
     joined = snapshot.join(folded, "key_hash", "left")
-    pending = F.array(
-        *[
-            F.when(
-                F.col(f"_known_{i}").isNull() | (F.col(f"_known_{i}") != F.col("data_hash")),
-                F.struct(
-                    F.lit(d).alias("destination_id"),
-                    F.lit(s).alias("stream_id"),
-                    F.when(F.col(f"_known_{i}").isNull(), NEW).otherwise(UPDATED).alias("change_kind"),
-                ),
-            )
-            for i, (d, s) in enumerate(streams.items())
-        ]
-    )
+    pending = []
+    for i, (d, s) in enumerate(streams.items()):
+        known = F.col(f"_known_{i}")
+        if every is not None and d in every:
+            known = F.coalesce("before", known)
+        due = known.isNull() | (known != F.col("data_hash"))
+        if every is not None and d not in every:
+            due = due & F.col("newest")
+        kind = F.when(known.isNull(), NEW).otherwise(UPDATED).alias("change_kind")
+        pending.append(F.when(due, F.struct(F.lit(d).alias("destination_id"), F.lit(s).alias("stream_id"), kind)))
+    pending = F.array(*pending)
     return (
         joined.withColumn("_to", F.explode(F.array_compact(pending)))
         .select(*snapshot.columns, "_to.*")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.collation import BINARY, key_column
@@ -15,12 +14,10 @@ from tidemark.model import Destination, SyncJob, check_destinations
 from tidemark.operators.latest import keep_latest, newest_first
 from tidemark.plans.sync import Workspace, blank_metrics, run_job
 from tidemark.session import remove_path
-from tidemark.sources.tables import read_or_empty
 
 BatchFunction = Callable[[DataFrame, int], None]
 
 COUNTS = ("changes", "inserted", "updated", "errors")
-PROGRESS = T.StructType([T.StructField("destination", T.StringType()), T.StructField("done", T.IntegerType())])
 
 
 class DeliveryPaused(RuntimeError):
@@ -42,33 +39,26 @@ def guarded(batch_fn: BatchFunction, latched: Callable[[], bool]) -> BatchFuncti
     return run
 
 
-def snapshots_of(
-    df: DataFrame, keys: Sequence[str], order: str, versions: bool, collation: str = BINARY
-) -> Iterator[DataFrame]:
-    """The snapshots that a micro-batch holds: rows with the same ``order``, oldest first.
+def newest_rows(df: DataFrame, keys: Sequence[str], order: str, collation: str = BINARY) -> DataFrame:
+    """Of each key the rows with the newest ``order``, without it.
 
-    Without ``versions`` one snapshot of the newest rows stands for all: deletes are never
-    sent, so for a target that keeps one version a part is as good as a whole.
-    A key that repeats within one ``order`` stays repeated, and the check of keys finds it.
+    They stand for all snapshots of a micro-batch: deletes are never sent, so for a target that
+    keeps one version a part is as good as a whole. A key that repeats within one ``order``
+    stays repeated, and the check of keys finds it.
     """
-    if versions:
-        # as many values as snapshots arrived since the last epoch
-        for value in df.select(order).distinct().orderBy(F.col(order).asc_nulls_first()).collect():
-            yield df.where(F.col(order).eqNullSafe(F.lit(value[0]))).drop(order)
-    else:
-        newest = keep_latest(df.select(*keys, order).distinct(), list(keys), newest_first(order), collation)
-        newest = newest.select(*[F.col(k).alias(f"_on_{i}") for i, k in enumerate(keys)], F.col(order).alias("_newest"))
-        same = [key_column(df, k, collation).eqNullSafe(key_column(newest, f"_on_{i}", collation)) for i, k in enumerate(keys)]
-        yield df.join(newest, [*same, df[order].eqNullSafe(newest["_newest"])], "left_semi").drop(order)
+    newest = keep_latest(df.select(*keys, order).distinct(), list(keys), newest_first(order), collation)
+    newest = newest.select(*[F.col(k).alias(f"_on_{i}") for i, k in enumerate(keys)], F.col(order).alias("_newest"))
+    same = [key_column(df, k, collation).eqNullSafe(key_column(newest, f"_on_{i}", collation)) for i, k in enumerate(keys)]
+    return df.join(newest, [*same, df[order].eqNullSafe(newest["_newest"])], "left_semi").drop(order)
 
 
 def sync_batches(
     workspace: Workspace, job: SyncJob, destinations: Sequence[Destination], order: str, scope: str
 ) -> BatchFunction:
-    """foreachBatch body: every snapshot in the micro-batch is synced, then the epoch ends well or raises.
+    """foreachBatch body: the snapshots in the micro-batch are synced in one pass, then the epoch ends well or raises.
 
-    History destinations get every version, so with one of them the snapshots
-    are synced one after the other. ``order`` itself is not delivered. A delivery that
+    History destinations get every version that differs from the one before, others the
+    newest. ``order`` itself is not delivered. A delivery that
     failed or was left out because the latch tripped raises after all is recorded: the
     checkpoint stays, and the replay sends only what the state does not know.
     """
@@ -76,28 +66,17 @@ def sync_batches(
     name = stream_id(job.name, "epoch", [])
 
     def run(df: DataFrame, epoch: int) -> None:
-        spark, cycle, run_name = workspace.spark, f"epoch-{epoch}", f"{name}-{epoch}"
+        cycle, run_name = f"epoch-{epoch}", f"{name}-{epoch}"
         before = workspace.metrics_of(run_name)
-        progress = f"{workspace.root}/epochs/{run_name}"
-        done = {r["destination"]: r["done"] for r in read_or_empty(spark, progress, PROGRESS).collect()}
+        marks = f"{workspace.root}/epochs/{run_name}"
         metrics: list[dict] = []
-        complete = True
         try:
-            for k, snapshot in enumerate(snapshots_of(df, job.keys, order, versions, job.key_collation)):
-                # a replay must not send an older version again to a destination that has a newer one
-                waiting = [d for d in destinations if done.get(d.id, 0) <= k]
-                if not waiting:
-                    continue
-                found = run_job(workspace, job, waiting, cycle, snapshot, scope)
-                metrics += found
-                reached = {m["destination"] for m in found if not m["errors"]}
-                done.update(dict.fromkeys(reached, k + 1))
-                if versions:
-                    rows = spark.createDataFrame(list(done.items()), PROGRESS)
-                    rows.coalesce(1).write.mode("overwrite").parquet(progress)
-                if reached != {d.id for d in waiting}:
-                    complete = False
-                    break
+            if versions:
+                metrics = run_job(workspace, job, destinations, cycle, df, scope, order, marks)
+            else:
+                newest = newest_rows(df, job.keys, order, job.key_collation)
+                metrics = run_job(workspace, job, destinations, cycle, newest, scope)
+            complete = {m["destination"] for m in metrics if not m["errors"]} == {d.id for d in destinations}
         except Exception as error:
             complete = False
             workspace.failures.record(scope, workspace.clock(), job.name, None, str(error))
@@ -106,7 +85,7 @@ def sync_batches(
         if not complete:
             failed = [m["destination"] for m in metrics if m["errors"]]
             raise DeliveryFailed(f"epoch {epoch} of job {job.name!r} did not reach all destinations; failed: {failed}")
-        remove_path(spark, progress)
+        remove_path(workspace.spark, marks)
 
     return run
 
