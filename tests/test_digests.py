@@ -1,0 +1,104 @@
+import random
+
+import pytest
+
+from tests.test_sync import history, job, memory, numbers, people, place, target  # noqa: F401
+from tidemark.functions.fingerprint import with_fingerprints
+from tidemark.model import Destination
+from tidemark.operators.digests import differing, digests
+from tidemark.plans import sync
+from tidemark.plans.sync import run_cycle
+
+
+def fingerprints(spark, *rows):
+    return with_fingerprints(people(spark, *rows), ["id"])
+
+
+def test_digests_tell_values_and_copies_apart_and_not_order(spark):
+    rows = [(k, f"n{k}") for k in range(200)]
+    base = digests(fingerprints(spark, *rows))
+    assert sum(d[0] for d in base.values()) == 200 and len(base) == 16
+    assert digests(fingerprints(spark, *rows[::-1]).repartition(7)) == base
+    changed = digests(fingerprints(spark, *rows[1:], (0, "other")))
+    assert len(differing(changed, [base])) == 1
+    assert len(differing(digests(fingerprints(spark, *rows, rows[5])), [base])) == 1
+    assert len(differing(digests(fingerprints(spark, *rows, rows[5], rows[5])), [base])) == 1
+    assert differing(base, [base, None]) == sorted(base) and differing({}, [None]) == []
+
+
+def test_an_idle_cycle_compares_no_rows(spark, place, monkeypatch):  # noqa: F811
+    work, folder = place
+    out = [Destination("d", f"{folder}/d", mode="history"), Destination("e", f"{folder}/e")]
+    task = job(people(spark, *[(k, "A") for k in range(50)]), digests=True)
+    run_cycle(work, [task], out)
+    with monkeypatch.context() as patch:
+        patch.setattr(sync, "classify_all", lambda *_: pytest.fail("the state was read"))
+        assert numbers(run_cycle(work, [task], out), "rows_read", "changes", "errors") == [(50, 0, 0)] * 2
+    # a destination that is new has no digests, the others keep theirs
+    found = run_cycle(work, [task], [*out, Destination("f", f"{folder}/f")])
+    assert numbers(found, "destination", "changes") == [("d", 0), ("e", 0), ("f", 50)]
+
+
+def test_one_changed_key_compares_its_range(spark, place, monkeypatch):  # noqa: F811
+    work, folder = place
+    out, seen = [Destination("d", f"{folder}/d")], []
+    rows = [(k, "A") for k in range(64)]
+    run_cycle(work, [job(people(spark, *rows), digests=True)], out)
+    whole = sync.classify_all
+
+    def watch(snapshot, state, *rest):
+        seen.append((snapshot.count(), state.count()))
+        return whole(snapshot, state, *rest)
+
+    monkeypatch.setattr(sync, "classify_all", watch)
+    found = run_cycle(work, [job(people(spark, *rows[1:], (0, "B")), digests=True)], out)
+    assert numbers(found, "rows_read", "changes", "updated") == [(64, 1, 1)]
+    assert seen[0][0] == seen[0][1] < 20
+    assert target(spark, f"{folder}/d") == sorted([*rows[1:], (0, "B")], key=str)
+
+
+def test_a_state_that_moved_on_is_compared(spark, place):  # noqa: F811
+    """Another run of the same stream without digests: those kept are of no use any more."""
+    work, folder = place
+    out = [Destination("d", f"{folder}/d", mode="history")]
+    first, second = people(spark, (1, "A")), people(spark, (1, "B"))
+    run_cycle(work, [job(first, digests=True)], out)
+    run_cycle(work, [job(second)], out)
+    run_cycle(work, [job(first, digests=True)], out)
+    assert history(spark, folder) == [(1, "A"), (1, "A"), (1, "B")]
+
+
+def test_repeated_keys_and_failures_keep_no_digests(spark, place):  # noqa: F811
+    work, folder = place
+    twice = job(people(spark, (1, "A"), (1, "A")), digests=True)
+    for _ in range(2):
+        assert numbers(run_cycle(work, [twice], [Destination("d", f"{folder}/d")]), "errors") == [(1,)]
+    sent, left = [], [1]
+
+    def once(*given):
+        if left:
+            left.pop()
+            raise OSError("down")
+        return memory(sent)(*given)
+
+    out = [Destination("s", deliver=once)]
+    task = job(people(spark, (2, "B")), digests=True, target_table="other")
+    assert [numbers(run_cycle(work, [task], out), "changes", "errors") for _ in range(3)] == [[(1, 1)], [(1, 0)], [(0, 0)]]
+    assert len(sent) == 1
+
+
+def test_same_changes_with_and_without(spark, folder):
+    rnd, held, found = random.Random(3), {}, {}
+    snapshots = [[]]
+    for _ in range(4):
+        for _ in range(rnd.choice([0, 2, 30])):
+            held[rnd.randrange(60)] = rnd.choice("ABC")
+        if rnd.random() < 0.5:
+            held.pop(next(iter(held), None), None)
+        snapshots.append(sorted(held.items()))
+    for flag in (False, True):
+        work = sync.Workspace(spark, f"{folder}/work{flag}")
+        out = [Destination("d", f"{folder}/{flag}/d", mode="history"), Destination("e", f"{folder}/{flag}/e")]
+        cycles = [numbers(run_cycle(work, [job(people(spark, *rows), digests=flag)], out), "rows_read", "changes", "inserted", "updated", "errors") for rows in snapshots]
+        found[flag] = cycles, history(spark, f"{folder}/{flag}"), target(spark, f"{folder}/{flag}/e")
+    assert found[True] == found[False]
