@@ -10,7 +10,7 @@ from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
 # whole sync cycles and streams; their plans only read what these wrote
-LONG = {"sync_target", "history_append", "sync_reserved_names", "stream_sync_target", "stream_failure_latch", "stream_failure_counts", "stream_polled_sync"}
+LONG = {"sync_target", "history_append", "sync_reserved_names", "stream_sync_target", "stream_failure_latch", "stream_failure_counts", "stream_polled_sync", "sync_digest_target", "stream_history_versions"}
 
 
 @pytest.fixture(scope="module")

@@ -30,7 +30,7 @@ from tidemark.sources.tables import UpsertTable, read_history
 from tidemark.streaming.failure_counts import FailureCounts
 from tidemark.streaming.failure_state import failure_state
 from tidemark.streaming.loop import stream_sync
-from workload.registry import fingerprint_sql, query, table
+from workload.registry import SQL, fingerprint_sql, query, table
 from workload.report_queries import LINE_KEYS, LINE_ORDER
 
 COLUMNS = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity", "l_returnflag"]
@@ -333,13 +333,13 @@ def state_summary_query(spark, sf):
     return state_summary(party_state(spark, sf))
 
 
-def two_cycles(spark, sf, mode: str):
+def two_cycles(spark, sf, mode: str, periods=(EARLIER, LATER), **options):
     """Deliver the earlier and then the later snapshot through the whole sync."""
     root = f"{shared_folder(spark)}/sync-{uuid.uuid4().hex}"
     workspace = Workspace(spark, f"{root}/workspace")
     destination = Destination("erp", f"{root}/erp", mode=mode)
-    for period in (EARLIER, LATER):
-        job = SyncJob("lines", lambda s, p=period: snapshot(s, sf, p), "erp_lines", LINE_KEYS, decimals=DECIMALS)
+    for period in periods:
+        job = SyncJob("lines", lambda s, p=period: snapshot(s, sf, p), "erp_lines", LINE_KEYS, decimals=DECIMALS, **options)
         metrics = run_cycle(workspace, [job], [destination])
         if any(m["errors"] for m in metrics):
             raise RuntimeError([r.reason for r in workspace.failures.failures().collect()])
@@ -365,6 +365,16 @@ def sync_target(spark, sf):
     return UpsertTable(spark, path, _line_schema(spark, sf), LINE_KEYS).read()
 
 
+@query("sync_digest_target", SQL["sync_target"])
+def sync_digest_target(spark, sf):
+    """The cycle with digests by key range; the last poll finds nothing changed and reads no state."""
+    workspace, path = two_cycles(spark, sf, "upsert", (EARLIER, LATER, LATER), digests=True)
+    idle = workspace.run_metrics().groupBy("cycle_id").agg(F.sum("changes").alias("changes")).where("changes = 0").count()
+    if idle != 1:
+        raise RuntimeError(f"{idle} of three polls were idle")
+    return UpsertTable(spark, path, _line_schema(spark, sf), LINE_KEYS).read()
+
+
 @query(
     "history_append",
     f"""
@@ -421,6 +431,27 @@ def stream_sync_target(spark, sf):
     return UpsertTable(spark, f"{root}/erp/erp_lines", _line_schema(spark, sf), LINE_KEYS).read()
 
 
+@query(
+    "stream_history_versions",
+    """
+    SELECT user_id, event_type FROM (
+      SELECT user_id, event_type, event_id, lag(event_type) OVER line AS before, row_number() OVER line AS place
+      FROM events WINDOW line AS (PARTITION BY user_id ORDER BY event_id))
+    WHERE place = 1 OR event_type IS DISTINCT FROM before
+    """,
+)
+def stream_history_versions(spark, sf):
+    """Every event is a snapshot of its user's last action: history gets each change of it, in one pass."""
+    root = f"{shared_folder(spark)}/versions-{uuid.uuid4().hex}"
+    actions = _stream(spark, sf, "events").select("user_id", "event_type", "event_id")
+    job = SyncJob("actions", "arrives as a stream", "actions", ["user_id"])
+    to = [Destination("log", f"{root}/log", mode="history"), Destination("erp", f"{root}/erp")]
+    workspace = Workspace(spark, f"{root}/workspace")
+    stream_sync(actions, workspace, job, to, "event_id", f"{root}/checkpoint", poll=None).awaitTermination()
+    schema = table(spark, sf, "events").select("user_id", "event_type").schema
+    return read_history(spark, f"{root}/log/actions", schema).drop("batch_id")
+
+
 @query(
     "stream_failure_latch",
     """
