@@ -89,6 +89,24 @@ def test_scripts_and_bound_parameters(spark):
     assert ids("SELECT id FROM names WHERE id = :wanted", wanted="x' OR '1' = '1") == ["x' OR '1' = '1"]
 
 
+def test_scripts_leave_their_rows_with_spark(spark, folder):
+    spark.range(10).createOrReplaceTempView("numbers")
+
+    def ids(text, **parameters):
+        frame = SyncJob("j", text, "t", ["id"], parameters=parameters).frame(spark, f"{folder}/script")
+        assert "LocalTableScan" not in frame._jdf.queryExecution().executedPlan().toString()  # nothing went through the driver
+        return sorted(r.id for r in frame.collect())
+
+    assert ids("-- ; select\nBEGIN DECLARE b INT DEFAULT :b; SELECT id FROM numbers WHERE id > b; END;", b=7) == [8, 9]
+    branches = "BEGIN SELECT 1 AS id; IF {} THEN SELECT id, '; SELECT 1' AS t FROM numbers WHERE id < 2; ELSE SELECT 9 AS id; END IF; END"
+    assert ids(branches.format("2 > 1")) == [0, 1] and ids(branches.format("1 > 2")) == [9]
+    loop = "BEGIN DECLARE i INT DEFAULT 0; WHILE i < 3 DO SET i = i + 1; WITH w AS (SELECT id FROM numbers) SELECT * FROM w WHERE id = i; END WHILE; END"
+    assert ids(loop) == [3]
+    assert ids("BEGIN (SELECT CASE WHEN id > 3 THEN id ELSE (SELECT max(id) FROM numbers) END AS id FROM numbers WHERE id IN (2, 4)); END") == [4, 9]
+    assert ids("BEGIN SELECT id FROM numbers WHERE id > 99; END") == []
+    assert SyncJob("j", "BEGIN DECLARE x INT; SET x = 1; END", "t", ["id"]).frame(spark, f"{folder}/script").columns == []
+
+
 def test_unknown_parameters_are_errors_before_anything_is_read():
     for text, given in (("SELECT :a", {}), ("SELECT 1", {"a": 1}), ("BEGIN SELECT 1; SELECT :b; END", {"a": 1})):
         with pytest.raises(ConformanceError, match="has parameters"):
