@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.fingerprint import stream_id, with_fingerprints
+from tidemark.functions.fingerprint import packed, stream_id, unpacked, with_fingerprints
 from tidemark.operators import changes, conform, merge, quality, reports
 from tidemark.operators.audit import audit_flags, cycle_totals, retain
 from tidemark.operators.latest import keep_latest, newest_first
@@ -326,3 +326,43 @@ def test_retain_and_totals(spark):
         "cycle_id string, job string, destination string, rows_read long, changes long, errors long",
     )
     assert rows(cycle_totals(metrics)) == [("c", 10, 3, 2, 1)]
+
+
+def _exchanges(df):
+    """Exchanges by key hash in the final plan, without those that are used again, and the types they shuffle the hashes as."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len([line for line in plan.splitlines() if "Exchange hashpartitioning(key_hash" in line and "Reused" not in line])
+
+
+def test_packed_hashes_are_texts_again(spark):
+    texts = ["ab" * 32, "AB" * 32, "ab" * 32 + "\n", "ab" * 31, "", "\0" * 33, "é" * 16, "k", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select("t", packed(F.col("t")).alias("p")).select("t", "p", unpacked(F.col("p")).alias("u")).collect()
+    assert [r.u for r in found] == texts and len({bytes(r.p) for r in found if r.p is not None}) == len(texts) - 1
+    assert [len(r.p) for r in found[:2]] == [32, 97]
+
+
+def test_commit_classifies_once_and_shuffles_bytes(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held, now = [with_fingerprints(spark.range(n, n + 100).withColumn("v", F.col("id") % m), ["id"]) for n, m in ((0, 7), (50, 5))]
+        state = held.select(F.lit("s").alias("stream_id"), F.lit("d").alias("destination_id"), "key_hash", "data_hash")
+        found = changes.classify(now, state, "s", "d").withColumns({"stream_id": F.lit("s"), "destination_id": F.lit("d")})
+        committed = changes.commit(state, found)
+        assert committed.count() == 150 and committed.schema["key_hash"].dataType.simpleString() == "string"
+        assert _exchanges(committed) == 3  # state, snapshot and changed keys, each once
+        plan = changes.classify(now, state, "s", "d")._jdf.queryExecution().analyzed().toString()
+        assert "unhex(key_hash" in plan and "isnotnull(sha2" not in committed._jdf.queryExecution().optimizedPlan().toString()
+        wanted = {(r.key_hash, r.data_hash) for r in now.collect()} | {(r.key_hash, r.data_hash) for r in held.where("id < 50").collect()}
+        assert {(r.key_hash, r.data_hash) for r in committed.collect()} == wanted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_commit_keeps_repeated_and_missing_keys(spark):
+    ddl = "stream_id string, destination_id string, key_hash string, data_hash string"
+    state = spark.createDataFrame([("s", "d", "k", "1"), ("s", "d", "k", "2"), ("s", "d", None, "3"), ("s", "e", "k", None), ("s", "d", "m", "4"), ("s", "d", "m", "4")], ddl)
+    new = spark.createDataFrame([("s", "d", "k", "5"), ("s", "d", None, "6")], ddl)
+    found = sorted(map(str, ((r.destination_id, r.key_hash, r.data_hash) for r in changes.commit(state, new).collect())))
+    assert found == sorted(map(str, [("d", "k", "5"), ("d", None, "3"), ("d", None, "6"), ("e", "k", None), ("d", "m", "4"), ("d", "m", "4")]))

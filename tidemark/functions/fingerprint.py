@@ -74,8 +74,11 @@ def fingerprint(
     columns: Sequence[str] | None = None,
     decimals: Mapping[str, tuple[int, int]] | None = None,
     collation: str = BINARY,
+    inside: str | None = None,
 ) -> Column:
-    """64 hex characters over ``columns`` (default: every column of ``df``).
+    """64 hex characters over ``columns`` (default: every column of ``df``), never NULL.
+
+    ``inside`` names a struct column that holds the columns of ``df`` as its fields, in a frame made from it.
 
     ``decimals`` declares (precision, scale) for floating-point columns. Declared
     columns are hashed as fixed-point text, which any engine reproduces and no
@@ -85,14 +88,30 @@ def fingerprint(
     declared = decimals or {}
     segments = []
     for name in sorted(columns if columns is not None else df.columns):
-        value, kind = F.col(f"`{name}`"), df.schema[name].dataType
+        value, kind = F.col(f"{inside}.`{name}`" if inside else f"`{name}`"), df.schema[name].dataType
         if name in declared:
             kind = T.DecimalType(*declared[name])
             value = value.cast(kind)
         elif is_text(df, name):
             value = folded(value, collation)
         segments.append(_named(name, value, kind))
-    return F.sha2(F.concat(*segments), 256)
+    # SHA-256 of a text is a text; said to Spark, joins on it need no filter, and a shuffle that two of them need is made once
+    return F.coalesce(F.sha2(F.concat(*segments), 256), F.lit(""))
+
+
+def packed(hashes: Column, nullable: bool = True) -> Column:
+    """Hex fingerprints as their 32 bytes, any other text as its bytes and 33 more: :func:`unpacked` gives each text back.
+
+    What is shuffled, sorted and compared is then half as long.
+    """
+    value = F.when(hashes.rlike(r"\A[0-9a-f]{64}\z"), F.unhex(hashes)).otherwise(F.concat(hashes.cast("binary"), F.lit(bytes(33))))
+    return value if nullable else F.coalesce(value, F.lit(b""))
+
+
+def unpacked(value: Column) -> Column:
+    """The text that :func:`packed` made ``value`` of."""
+    text = F.substring(value, F.lit(1), F.octet_length(value) - 33).cast("string")
+    return F.when(F.octet_length(value) == 32, F.lower(F.hex(value))).otherwise(text)
 
 
 def with_fingerprints(

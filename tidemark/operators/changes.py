@@ -11,10 +11,28 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.fingerprint import packed, unpacked
 
 NEW, UPDATED = "NEW", "UPDATED"
 
 
+HASHES = ("key_hash", "data_hash")
+
+
+def with_packed(df: DataFrame) -> DataFrame:
+    """``df`` with its hashes as bytes; those that are bytes already stay."""
+    texts = [f for f in df.schema.fields if f.name in HASHES and isinstance(f.dataType, T.StringType)]
+    return df.withColumns({f.name: packed(F.col(f.name), f.nullable) for f in texts}) if texts else df
+
+
+def with_unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df`` with its hashes as texts where they are texts in ``like``."""
+    texts = [f.name for f in like.schema.fields if f.name in HASHES and isinstance(f.dataType, T.StringType)]
+    return df.withColumns({name: unpacked(F.col(name)) for name in texts if name in df.columns}) if texts else df
+
+
 def join_state(snapshot: DataFrame, state: DataFrame, stream: str, destination: str) -> DataFrame:
     """Snapshot rows with ``known_hash``, NULL for a key never delivered."""
     known = state.where((F.col("stream_id") == stream) & (F.col("destination_id") == destination))
@@ -25,14 +43,15 @@ def join_state(snapshot: DataFrame, state: DataFrame, stream: str, destination:
 def classify(snapshot: DataFrame, state: DataFrame, stream: str, destination: str) -> DataFrame:
     """NEW and UPDATED rows for one destination; unchanged rows are dropped.
 
-    Key hashes are uniform, so the one shuffle of the snapshot is even.
+    Key hashes are uniform, so the one shuffle of the snapshot is even. Hashes travel as bytes.
     """
-    joined = join_state(snapshot, state, stream, destination)
-    return (
+    joined = join_state(with_packed(snapshot), with_packed(state), stream, destination)
+    changes = (
         joined.where(F.col("known_hash").isNull() | (F.col("known_hash") != F.col("data_hash")))
         .withColumn("change_kind", F.when(F.col("known_hash").isNull(), NEW).otherwise(UPDATED))
         .drop("known_hash")
     )
+    return with_unpacked(changes, snapshot)
 
 
 def in_line(versions: DataFrame) -> DataFrame:
@@ -65,6 +84,7 @@ def classify_all(
     for all of them and a row is repeated only for destinations that need it.
     A ``seq`` column in the state tells older hashes of a key from its last one;
     the fold then settles both questions in the aggregation the join needs anyway.
+    Hashes travel as bytes; a snapshot whose hashes are bytes keeps them so.
 
     With ``every``, the snapshot holds several versions of a key (see :func:`in_line`). The
     destinations in it get each version that differs from the one before, the others the newest.
@@ -74,7 +94,7 @@ def classify_all(
     ]
     age = F.col("seq") if "seq" in state.columns else F.lit(0)
     folded = (
-        state.where(reduce(lambda a, b: a | b, matches))
+        with_packed(state.where(reduce(lambda a, b: a | b, matches)))
         .groupBy("key_hash")
         .agg(
             *[
@@ -83,7 +103,7 @@ def classify_all(
             ]
         )
     )
-    joined = snapshot.join(folded, "key_hash", "left")
+    joined = with_packed(snapshot).join(folded, "key_hash", "left")
     pending = []
     for i, (d, s) in enumerate(streams.items()):
         known = F.col(f"_known_{i}")
@@ -95,10 +115,8 @@ def classify_all(
         kind = F.when(known.isNull(), NEW).otherwise(UPDATED).alias("change_kind")
         pending.append(F.when(due, F.struct(F.lit(d).alias("destination_id"), F.lit(s).alias("stream_id"), kind)))
     pending = F.array(*pending)
-    return (
-        joined.withColumn("_to", F.explode(F.array_compact(pending)))
-        .select(*snapshot.columns, "_to.*")
-    )
+    due = joined.withColumn("_to", F.explode(F.array_compact(pending))).select(*snapshot.columns, "_to.*")
+    return with_unpacked(due, snapshot)
 
 
 def change_counts(changes: DataFrame) -> DataFrame:
@@ -110,7 +128,8 @@ def commit(state: DataFrame, changes: DataFrame) -> DataFrame:
     """State after delivery: changed keys replaced or added, all others kept."""
     ids = ["stream_id", "destination_id", "key_hash"]
     delivered = changes.select(*ids, "data_hash")
-    return state.select(*ids, "data_hash").join(delivered, ids, "left_anti").unionByName(delivered)
+    held = with_packed(state.select(*ids, "data_hash")).join(with_packed(delivered).select(*ids), ids, "left_anti")
+    return with_unpacked(held, state).select(*ids, "data_hash").unionByName(delivered)
 
 
 def migrate(state: DataFrame, source: str, target: str) -> DataFrame:
