@@ -20,7 +20,7 @@ from tidemark.operators.changes import change_counts, classify, classify_all, co
 from tidemark.operators.latest import keep_latest, newest_first
 from tidemark.operators.merge import apply_counts, exists_in, match_target, merge_upsert
 from tidemark.operators.reports import distinct_sketches, united_distincts
-from tidemark.plans.sync import Workspace, run_cycle
+from tidemark.plans.sync import Workspace, run_cycle, through_table
 from tidemark.session import shared_folder
 from tidemark.sources.failure_log import FailureLog
 from tidemark.sources.polled import folder_ranges, polled_stream
@@ -171,6 +171,8 @@ def merge_upsert_query(spark, sf):
     target = snapshot(spark, sf, EARLIER).withColumn("note", F.lit("kept"))
     changes = line_changes(spark, sf).select(*SUPPLIED)
     changes = changes.withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R")))
+    # staged as in the cycle: the merge reads its changes three times
+    changes = through_table(changes, f"{shared_folder(spark)}/changes-{uuid.uuid4().hex}")
     return merge_upsert(target, changes, LINE_KEYS, {"note": F.lit("default")})
 
 
