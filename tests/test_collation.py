@@ -78,7 +78,10 @@ def test_classification_takes_spellings_for_one_key(spark):
 def test_stream_takes_the_newest_spelling(spark):
     df = spark.createDataFrame([("A7", 1, 1), ("a7", 2, 2), ("b", 3, 1)], "k string, v int, at int")
     newest = newest_rows(df, ["k"], "at", LCASE)
+    assert newest._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert rows(newest) == [("a7", 2), ("b", 3)]
+    twice = spark.createDataFrame([(None, 1, None), (None, 2, None), ("b", 3, 1), ("B", 4, 1), ("b", 5, None)], "k string, v int, at int")
+    assert rows(newest_rows(twice, ["k"], "at", LCASE)) == [("B", 4), ("b", 3), (None, 1), (None, 2)]
 
 
 def test_cycle(spark, folder):

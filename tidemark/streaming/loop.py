@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.collation import BINARY, key_column
 from tidemark.functions.fingerprint import stream_id
 from tidemark.model import Destination, SyncJob, check_destinations
-from tidemark.operators.latest import keep_latest, newest_first
+from tidemark.operators.latest import newest_first
 from tidemark.plans.sync import Workspace, blank_metrics, run_job
 from tidemark.session import remove_path
 
@@ -44,12 +44,10 @@ def newest_rows(df: DataFrame, keys: Sequence[str], order: str, collation: str =
 
     They stand for all snapshots of a micro-batch: deletes are never sent, so for a target that
     keeps one version a part is as good as a whole. A key that repeats within one ``order``
-    stays repeated, and the check of keys finds it.
+    stays repeated, and the check of keys finds it. A map task sends the newest rows it has of a key.
     """
-    newest = keep_latest(df.select(*keys, order).distinct(), list(keys), newest_first(order), collation)
-    newest = newest.select(*[F.col(k).alias(f"_on_{i}") for i, k in enumerate(keys)], F.col(order).alias("_newest"))
-    same = [key_column(df, k, collation).eqNullSafe(key_column(newest, f"_on_{i}", collation)) for i, k in enumerate(keys)]
-    return df.join(newest, [*same, df[order].eqNullSafe(newest["_newest"])], "left_semi").drop(order)
+    line = Window.partitionBy(*[key_column(df, k, collation) for k in keys]).orderBy(*newest_first(f"`{order}`"))
+    return df.withColumn("_rank", F.rank().over(line)).where("_rank = 1").drop("_rank", order)
 
 
 def sync_batches(
