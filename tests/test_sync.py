@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.fingerprint import stream_id
+from tidemark.functions.fingerprint import stream_id, with_fingerprints
 from tidemark.model import Destination, SyncJob, check_destinations, check_jobs, extracts
 from tidemark.operators.quality import ConformanceError
+from tidemark.plans import sync
 from tidemark.plans.sync import Workspace, run_cycle
-from tidemark.session import subfolders
+from tidemark.session import path_exists, subfolders
 from tidemark.sources import tables
 from tidemark.sources.tables import SlotTable, StateTable, UpsertTable, read_history
 
@@ -230,6 +231,43 @@ def test_crash_between_write_and_commit(spark, place, monkeypatch, mode):
     assert numbers(run_cycle(work, [job(people(spark, (1, "A2"), (2, "B")))], out), "changes") == [(0,), (0,)]
 
 
+def test_hashes_are_made_of_the_rows_again(spark, place, monkeypatch):
+    work, folder = place
+    plans, whole = [], sync.classify_all
+
+    def watch(snapshot, *rest):
+        plans.append(snapshot._jdf.queryExecution().executedPlan().toString())
+        return whole(snapshot, *rest)
+
+    monkeypatch.setattr(sync, "classify_all", watch)
+    out = [Destination("d", f"{folder}/d", mode="history"), Destination("e", f"{folder}/e")]
+    for rows in ([(1, "A"), (2, "B")], [(1, "A2"), (2, "B"), (3, None)]):
+        run_cycle(work, [job(people(spark, *rows))], out)
+    for plan in plans:  # one shuffle of the rows by their key's hash, for the check of the keys and for the join
+        assert plan.count("Exchange hashpartitioning") == 1 and "AS key_hash" not in plan.split("Exchange hashpartitioning")[1]
+    staged = spark.read.parquet(work.scratch("people", "changes"))
+    assert set(staged.columns) == {"row", "stream_id", "change_kind", "destination_id"}
+    assert not path_exists(spark, f"{work.root}/pending")
+    wanted = {(r.key_hash, r.data_hash) for r in with_fingerprints(people(spark, (1, "A2"), (2, "B"), (3, None)), ["id"]).collect()}
+    held = work.state.read().collect()
+    assert {(r.key_hash, r.data_hash) for r in held} == wanted and len(held) == 6
+    flags = {(r.row_fingerprint, r.data_fingerprint) for r in work.audit().where("event = 'UPDATED' OR event = 'NEW'").collect()}
+    assert {(k[:24], d[:24]) for k, d in wanted} <= flags
+
+
+def test_many_rows_stay_where_they_are_when_written(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "MANY", 10)
+    rows = spark.range(40).repartition(4)
+    for count, files in ((40, 4), (9, 1), (None, 1)):
+        tables.append_history(rows, f"{folder}/{count}", "b", count)
+        found = spark.read.parquet(f"{folder}/{count}/batch_id=b")
+        assert found.count() == 40 and len(found.inputFiles()) == files
+    state = StateTable(spark, f"{folder}/state")
+    delivered = rows.select(*[F.col("id").cast("string").alias(c) for c in ("key_hash", "data_hash", "batch_id")], F.lit("s").alias("stream_id"), F.lit("d").alias("destination_id"))
+    state.commit(delivered, "s", "d")
+    assert state.read().count() == 40 and len(state.slots.read().inputFiles()) == 4
+
+
 def test_renamed_table_keeps_its_state(spark, place):
     work, folder = place
     data = people(spark, (1, "A"))
